@@ -37,6 +37,8 @@ VIEW_SQL = {
 }
 
 
-def with_views(sql: str, *names: str) -> str:
-    ctes = ",\n".join(f"{n} as ({VIEW_SQL[n]})" for n in names)
+def with_views(sql: str, *names: str, extra: list[tuple[str, str]] | None = None) -> str:
+    """``with <views>, <extra ctes> <sql>``."""
+    parts = [(n, VIEW_SQL[n]) for n in names] + list(extra or [])
+    ctes = ",\n".join(f"{n} as ({body})" for n, body in parts)
     return f"with {ctes}\n{sql}"
