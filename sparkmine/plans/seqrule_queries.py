@@ -25,13 +25,22 @@ def _mine(spark, d, max_a, max_c):
     return SR.sequential_rules(V.sequences(spark, d), MIN_SUPPORT, MIN_CONFIDENCE, max_a, max_c)
 
 
-_BASE = [
-    ("nseq", "select count(distinct seq_id) as n from sequences"),
-    ("mc", f"select ceil({MIN_SUPPORT}::double * n) as m from nseq"),
-    ("loc", "select seq_id, item, min(pos) as f, max(pos) as l from sequences group by seq_id, item"),
+# Heavier benchmark: (user, week) sequences over 20 items, rules up to 2 => 2.
+WEEKLY_MIN_SUPPORT = 0.05
+WEEKLY_MIN_CONFIDENCE = 0.1
+
+
+def _base(view: str = "sequences", min_support: float = MIN_SUPPORT) -> list[tuple[str, str]]:
+    return [
+        ("nseq", f"select count(distinct seq_id) as n from {view}"),
+        ("mc", f"select ceil({min_support}::double * n) as m from nseq"),
+        ("loc", f"select seq_id, item, min(pos) as f, max(pos) as l from {view} group by seq_id, item"),
     ("fr", "select item, count(*) as c from loc group by item having count(*) >= (select m from mc)"),
-    ("lf", "select * from loc where item in (select item from fr)"),
-]
+        ("lf", "select * from loc where item in (select item from fr)"),
+    ]
+
+
+_BASE = _base()
 
 _M = "(select m from mc)"
 _RULES = [
@@ -59,12 +68,13 @@ _RULES = [
 ]
 
 
-def _rules_sql(parts: list[str], final: str | None = None) -> str:
+def _rules_sql(parts: list[str], final: str | None = None, view: str = "sequences",
+               min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> str:
     body = "\nunion all\n".join(f"select * from {p}" for p in parts)
-    ctes = _BASE + _RULES + [("allr", body), ("rules", f"""select r.antecedent, r.consequent, r.support,
-  r.support / (select n from nseq) as support_rel, r.support / c.cover as confidence
-  from allr r join cov c on c.antecedent = r.antecedent where r.support / c.cover >= {MIN_CONFIDENCE}""")]
-    return W(final or "select * from rules", "sequences", extra=ctes)
+    ctes = _base(view, min_support) + _RULES + [("allr", body), ("rules", f"""select r.antecedent, r.consequent,
+  r.support, r.support / (select n from nseq) as support_rel, r.support / c.cover as confidence
+  from allr r join cov c on c.antecedent = r.antecedent where r.support / c.cover >= {min_confidence}""")]
+    return W(final or "select * from rules", view, extra=ctes)
 
 
 @register("frequent_items", W("select item, c as nseq from fr", "sequences", extra=_BASE))
@@ -122,3 +132,10 @@ def seq_rules_summary(spark, d):
 def rules_binned(spark, d):
     r = SR.binned(_mine(spark, d, 2, 2), BIN_INTERVAL)
     return _flat(r).withColumn("conf_bin", F.floor(F.col("confidence") * (1 / BIN_INTERVAL)) / (1 / BIN_INTERVAL))
+
+
+@register("seq_rules_weekly", _rules_sql(["r11", "r21", "r12", "r22"], view="weekly_sequences",
+                                         min_support=WEEKLY_MIN_SUPPORT, min_confidence=WEEKLY_MIN_CONFIDENCE))
+def seq_rules_weekly(spark, d):
+    seqs = V.weekly_sequences(spark, d)
+    return _flat(SR.sequential_rules(seqs, WEEKLY_MIN_SUPPORT, WEEKLY_MIN_CONFIDENCE, 2, 2))

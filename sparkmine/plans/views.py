@@ -117,6 +117,19 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seq.select("seq_id", (F.row_number().over(w) - 1).cast("bigint").alias("pos"), "item")
 
 
+def weekly_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sequence per (user, ISO week); item = event type and the props number mod 4."""
+    ev = table(spark, sf_dir, "events")
+    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int") % 4
+    seq = ev.select(
+        F.concat(F.col("user_id").cast("string"), F.lit("_"), F.weekofyear("ts").cast("string")).alias("seq_id"),
+        "ts", "event_id",
+        F.concat(F.col("event_type"), F.lit("_"), k.cast("string")).alias("item"),
+    )
+    w = Window.partitionBy("seq_id").orderBy("ts", "event_id")
+    return seq.select("seq_id", (F.row_number().over(w) - 1).cast("bigint").alias("pos"), "item")
+
+
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One clickstream per user: (user_id, pos, category)."""
     ev = table(spark, sf_dir, "events")
