@@ -25,6 +25,7 @@ reference does). Threshold = ``max(2, n * min_support)`` with ``>=``, n = basket
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,15 +83,19 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
     k = 2
     while max_size is None or k <= max_size:
         nxt = tx.select("_b", F.col("_i").alias("_next"))
+        # Candidate occurrences of this level, computed once and reused for both the
+        # counts and the next occurrence table.
         cand = (occ.join(nxt, "_b").filter(F.col("_next") > F.col("_last"))
-                .select("_b", F.concat("items", F.array("_next")).alias("items"), F.col("_next").alias("_last")))
+                .select("_b", F.concat("items", F.array("_next")).alias("items"), F.col("_next").alias("_last"))
+                .persist(StorageLevel.MEMORY_AND_DISK))
         fk = (cand.groupBy("items").agg(F.count(F.lit(1)).alias("support"))
-              .filter(F.col("support") >= F.lit(thr)))
-        fk = cut_lineage(fk)
+              .filter(F.col("support") >= F.lit(thr))).persist(StorageLevel.MEMORY_AND_DISK)
         if fk.isEmpty():
+            cand.unpersist()
             break
         levels.append(fk.select("items", F.lit(k).alias("size"), "support"))
         occ = cut_lineage(cand.join(fk.select("items"), "items", "left_semi"))
+        cand.unpersist()
         k += 1
 
     out = levels[0]

@@ -108,8 +108,18 @@ def rated_products(ratings: DataFrame, min_count: int) -> DataFrame:
 
 
 def join_sales(products: DataFrame, details: DataFrame, orders: DataFrame) -> DataFrame:
-    """products x order_details x orders on their keys."""
-    return details.join(products, "prod_id").join(orders, "order_id")
+    """order_details x orders x products. The (usually filtered) orders are joined
+    first, so the big detail table shrinks before it meets the product table; Spark
+    does not reorder joins on its own without cost-based optimisation."""
+    return details.join(orders, "order_id").join(products, "prod_id")
+
+
+def units_per_product(details: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+    """``(prod_id, units)``: detail rows per product (of the given orders), aggregated
+    before any product attribute is joined, so only one row per product is shuffled
+    to the product join instead of every detail row."""
+    d = details if orders is None else details.join(orders.select("order_id"), "order_id")
+    return d.groupBy("prod_id").agg(F.count(F.lit(1)).alias("units"))
 
 
 def month_range(col: str, year: int, month: int) -> Column:

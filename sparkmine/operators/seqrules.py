@@ -15,10 +15,10 @@ location table on the sequence key only:
 * right growth (only while |X| = 1): add c > max(Y), c not in X, with last(c) > fx;
 * left growth: add c > max(X), c not in Y, with first(c) < ly.
 
-Growing in increasing item order builds each rule exactly once. Candidates are counted
-per rule (partial aggregation), thresholded, semi-joined back and checkpointed to the
-shared checkpoint folder, so the plan never grows and a lost executor never replays
-earlier levels. Antecedent coverage is grown the same way, as equi-joins on
+Growing in increasing item order builds each rule exactly once. Candidates are computed
+once per level (cached), counted per rule (partial aggregation), thresholded,
+semi-joined back and checkpointed to the shared checkpoint folder, so the plan never
+grows and a lost executor never replays earlier levels. Antecedent coverage is grown the same way, as equi-joins on
 ``(seq, item)``. The join key is the sequence; a hot sequence is split by AQE's skew
 join, and a sequence contributes at most one location row per distinct item.
 """
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,13 +88,16 @@ def rule_supports(locf: DataFrame, min_cnt: int, max_antecedent: int = 0, max_co
 
     levels = []
     while True:
+        occ = occ.persist(StorageLevel.MEMORY_AND_DISK)
         sup = (occ.groupBy("X", "Y").agg(F.count(F.lit(1)).alias("support"))
-               .filter(F.col("support") >= min_cnt))
-        sup = cut_lineage(sup)
+               .filter(F.col("support") >= min_cnt)).persist(StorageLevel.MEMORY_AND_DISK)
         if sup.isEmpty():
+            occ.unpersist()
             break
         levels.append(sup)
-        occ = cut_lineage(occ.join(sup.select("X", "Y"), ["X", "Y"], "left_semi"))
+        kept = cut_lineage(occ.join(sup.select("X", "Y"), ["X", "Y"], "left_semi"))
+        occ.unpersist()
+        occ = kept
 
         grown = []
         right_ok = F.size("X") == 1

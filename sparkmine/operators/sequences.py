@@ -2,22 +2,27 @@
 statistics (visits, refreshes, revisits).
 
 Input is the long form ``(seq, pos, item)``. The reference's hand loops over each
-sequence become window functions partitioned by (sequence, item): runs of equal
-items are islands ``pos - row_number()``, revisits come from ``lag(pos)``. Every step
-is a built-in expression, so it runs in codegen; all aggregates are partial
-(map-side) before their shuffle.
+sequence become ordered scans per (sequence, item): runs of equal items are islands
+``pos - row_number()``, revisits come from the previous position. The scans are the
+skew-safe grouped scans of ``scan.py``: when a group (say a user holding a third of
+all visits) is too large for one task it is cut into ranges over many tasks; small
+groups use plain windows (``skew_safe`` = "auto" / True / False). All aggregates
+are partial (map-side) before their shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.operators.scan import grouped_scan
 
-def with_positions(df: DataFrame, seq: str, order: list[str], pos: str = "pos") -> DataFrame:
+
+def with_positions(df: DataFrame, seq: str | list[str], order: list[str], pos: str = "pos",
+                   skew_safe: bool | str = "auto") -> DataFrame:
     """0-based position of each row in its sequence, ties broken by the later order keys."""
-    w = Window.partitionBy(seq).orderBy(*order)
-    return df.withColumn(pos, (F.row_number().over(w) - 1).cast("bigint"))
+    out = grouped_scan(df, seq, order, sums={"_rn": F.lit(1).cast("bigint")}, skew_safe=skew_safe)
+    return out.withColumn(pos, (F.col("_rn") - 1).cast("bigint")).drop("_rn")
 
 
 def item_locations(df: DataFrame, seq: str = "seq_id", item: str = "item", pos: str = "pos") -> DataFrame:
@@ -33,15 +38,16 @@ def category_visits(df: DataFrame, user: str = "user_id", cat: str = "category")
     )
 
 
-def _runs(df: DataFrame, user: str, cat: str, pos: str) -> DataFrame:
+def _runs(df: DataFrame, user: str, cat: str, pos: str, skew_safe: bool | str = "auto") -> DataFrame:
     """Maximal runs of one category inside a user's sequence: ``(user, cat, start, L)``."""
-    w = Window.partitionBy(user, cat).orderBy(pos)
-    island = df.select(user, cat, pos, (F.col(pos) - F.row_number().over(w)).alias("_island"))
+    numbered = grouped_scan(df.select(user, cat, pos), [user, cat], [pos],
+                            sums={"_rn": F.lit(1).cast("bigint")}, skew_safe=skew_safe)
+    island = numbered.select(user, cat, pos, (F.col(pos) - F.col("_rn")).alias("_island"))
     return island.groupBy(user, cat, "_island").agg(F.min(pos).alias("start"), F.count(F.lit(1)).alias("L"))
 
 
 def refresh_emissions(df: DataFrame, user: str = "user_id", cat: str = "category", pos: str = "pos",
-                      mode: str = "runs") -> DataFrame:
+                      mode: str = "runs", skew_safe: bool | str = "auto") -> DataFrame:
     """One row per counted refresh streak: ``(user, cat, emitted)``.
 
     ``runs``: a run of L >= 2 equal visits is L-1 refreshes (the documented intent).
@@ -50,27 +56,32 @@ def refresh_emissions(df: DataFrame, user: str = "user_id", cat: str = "category
     each run with L >= 2; c = (earlier single runs in the group) mod 2; a run with
     L >= 2 emits L-1+c, a single run emits 1 when c = 1.
     """
-    runs = _runs(df, user, cat, pos)
+    if mode not in ("runs", "carry"):
+        raise ValueError("mode must be 'runs' or 'carry'")
+    runs = _runs(df, user, cat, pos, skew_safe)
     if mode == "runs":
         return runs.filter(F.col("L") >= 2).select(user, cat, (F.col("L") - 1).alias("emitted"))
-    if mode != "carry":
-        raise ValueError("mode must be 'runs' or 'carry'")
-    before = Window.partitionBy(user, cat).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    grouped = runs.withColumn("_grp", F.coalesce(F.sum((F.col("L") >= 2).cast("int")).over(before), F.lit(0)))
-    in_group = Window.partitionBy(user, cat, "_grp").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    carried = grouped.withColumn(
-        "_c", F.coalesce(F.sum((F.col("L") == 1).cast("int")).over(in_group), F.lit(0)) % 2)
+    long_run = (F.col("L") >= 2).cast("bigint")
+    single = (F.col("L") == 1).cast("bigint")
+    # group = long runs strictly before this run; c = single runs before it in its group, mod 2
+    grouped = grouped_scan(runs.withColumn("_long", long_run), [user, cat], ["start"],
+                           sums={"_g_incl": F.col("_long")}, skew_safe=skew_safe)
+    grouped = grouped.withColumn("_grp", F.col("_g_incl") - F.col("_long")).drop("_g_incl", "_long")
+    carried = grouped_scan(grouped.withColumn("_single", single), [user, cat, "_grp"], ["start"],
+                           sums={"_s_incl": F.col("_single")}, skew_safe=skew_safe)
+    carried = carried.withColumn("_c", (F.col("_s_incl") - F.col("_single")) % 2)
     emitted = (F.when(F.col("L") >= 2, F.col("L") - 1 + F.col("_c"))
                .when(F.col("_c") == 1, F.lit(1)))
     return carried.select(user, cat, emitted.cast("bigint").alias("emitted")).filter(F.col("emitted").isNotNull())
 
 
-def revisit_distances(df: DataFrame, user: str = "user_id", cat: str = "category", pos: str = "pos") -> DataFrame:
+def revisit_distances(df: DataFrame, user: str = "user_id", cat: str = "category", pos: str = "pos",
+                      skew_safe: bool | str = "auto") -> DataFrame:
     """Each return to a category after other pages: ``(user, cat, distance)`` with
     distance = pages visited in between (adjacent repeats are refreshes, not revisits)."""
-    w = Window.partitionBy(user, cat).orderBy(pos)
-    gap = F.col(pos) - F.lag(pos).over(w)
-    return (df.select(user, cat, gap.alias("_gap"))
+    prev = grouped_scan(df.select(user, cat, pos), [user, cat], [pos], lags={"_prev": pos}, skew_safe=skew_safe)
+    gap = F.col(pos) - F.col("_prev")
+    return (prev.select(user, cat, gap.alias("_gap"))
             .filter(F.col("_gap") > 1)
             .select(user, cat, (F.col("_gap") - 1).alias("distance")))
 
@@ -86,15 +97,17 @@ def _summary(events: DataFrame, user: str, cat: str, value: str, prefix: str, si
 
 
 def refresh_stats(df: DataFrame, user: str = "user_id", cat: str = "category", pos: str = "pos",
-                  mode: str = "runs") -> DataFrame:
+                  mode: str = "runs", skew_safe: bool | str = "auto") -> DataFrame:
     """Per category: refreshes, users with one, longest and shortest streak."""
-    return _summary(refresh_emissions(df, user, cat, pos, mode), user, cat, "emitted", "refreshes", "refresh",
+    return _summary(refresh_emissions(df, user, cat, pos, mode, skew_safe), user, cat, "emitted", "refreshes",
+                    "refresh",
                     F.sum("emitted"))
 
 
-def revisit_stats(df: DataFrame, user: str = "user_id", cat: str = "category", pos: str = "pos") -> DataFrame:
+def revisit_stats(df: DataFrame, user: str = "user_id", cat: str = "category", pos: str = "pos",
+                  skew_safe: bool | str = "auto") -> DataFrame:
     """Per category: revisits, users with one, longest and shortest distance."""
-    return _summary(revisit_distances(df, user, cat, pos), user, cat, "distance", "revisits", "revisit",
+    return _summary(revisit_distances(df, user, cat, pos, skew_safe), user, cat, "distance", "revisits", "revisit",
                     F.count(F.lit(1)))
 
 
@@ -103,7 +116,7 @@ STAT_COLUMNS = ("visits", "unique_visits", "refreshes", "unique_refreshes", "rev
 
 
 def category_stats(df: DataFrame, user: str = "user_id", cat: str = "category", pos: str = "pos",
-                   mode: str = "carry", categories: DataFrame | None = None) -> DataFrame:
+                   mode: str = "carry", categories: DataFrame | None = None, skew_safe: bool | str = "auto") -> DataFrame:
     """The full ten-column table; every category of the dimension is kept, with zeros.
 
     ``categories`` is the category dimension (one column named like ``cat``); by
@@ -112,7 +125,7 @@ def category_stats(df: DataFrame, user: str = "user_id", cat: str = "category",
     """
     dim = categories if categories is not None else df.select(cat).distinct()
     out = (dim.join(category_visits(df, user, cat), cat, "left")
-           .join(refresh_stats(df, user, cat, pos, mode), cat, "left")
-           .join(revisit_stats(df, user, cat, pos), cat, "left"))
+           .join(refresh_stats(df, user, cat, pos, mode, skew_safe), cat, "left")
+           .join(revisit_stats(df, user, cat, pos, skew_safe), cat, "left"))
     cols: list[Column] = [F.col(cat)] + [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in STAT_COLUMNS]
     return out.select(*cols)

@@ -121,9 +121,14 @@ _SALES = ("from order_details od join products p on p.prod_id = od.prod_id "
           f"where month(o.order_date) = {REPORT_MONTH} and year(o.order_date) = {REPORT_YEAR}")
 
 
-def _month_sales(spark, d):
-    orders = V.sales_orders(spark, d).filter(R.month_range("order_date", REPORT_YEAR, REPORT_MONTH))
-    return R.join_sales(V.products(spark, d), V.order_details(spark, d), orders)
+def _month_orders(spark, d):
+    return V.sales_orders(spark, d).filter(R.month_range("order_date", REPORT_YEAR, REPORT_MONTH))
+
+
+def _month_units(spark, d):
+    """Units per product sold in the report month, joined to price and cost."""
+    units = R.units_per_product(V.order_details(spark, d), _month_orders(spark, d))
+    return units.join(V.products(spark, d), "prod_id")
 
 
 @register("verify_order", W(f"""select o.order_id, c.c_name as lname, c.c_mktsegment as fname, o.order_date, p.name
@@ -134,35 +139,40 @@ where month(o.order_date) = {REPORT_MONTH} and year(o.order_date) = {REPORT_YEAR
 def verify_order(spark, d):
     c = V.table(spark, d, "customer").filter(F.col("c_name").like(f"{CUSTOMER_PREFIX}%")).select(
         F.col("c_custkey").alias("cust_id"), F.col("c_name").alias("lname"), F.col("c_mktsegment").alias("fname"))
-    s = _month_sales(spark, d).join(c, "cust_id")
+    o = _month_orders(spark, d).join(c, "cust_id")
+    s = V.order_details(spark, d).join(o, "order_id").join(V.products(spark, d), "prod_id")
     return s.select("order_id", "lname", "fname", "order_date", "name")
 
 
 @register("top_products", W("""select name, count(name) as total from products p join order_details od on p.prod_id = od.prod_id
 group by name order by total desc, name limit 3""", "products", "order_details"))
 def top_products(spark, d):
-    j = V.order_details(spark, d).join(V.products(spark, d), "prod_id")
-    t = j.groupBy("name").agg(F.count("name").alias("total"))
+    units = R.units_per_product(V.order_details(spark, d))
+    j = units.join(V.products(spark, d), "prod_id").filter(F.col("name").isNotNull())
+    t = j.groupBy("name").agg(F.sum("units").alias("total"))
     return R.top_k(t, 3, F.col("total").desc(), F.col("name").asc())
 
 
 @register("monthly_revenue", W(f"select cast(sum(price) as bigint) as total {_SALES}",
                                "order_details", "products", "sales_orders"))
 def monthly_revenue(spark, d):
-    return _month_sales(spark, d).agg(F.sum("price").cast("bigint").alias("total"))
+    return _month_units(spark, d).agg(F.sum(F.col("price") * F.col("units")).cast("bigint").alias("total"))
 
 
 @register("monthly_profit", W(f"select cast(sum(price) - sum(cost) as bigint) as total {_SALES}",
                               "order_details", "products", "sales_orders"))
 def monthly_profit(spark, d):
-    return _month_sales(spark, d).agg((F.sum("price") - F.sum("cost")).cast("bigint").alias("total"))
+    u = _month_units(spark, d)
+    return u.agg((F.sum(F.col("price") * F.col("units")) - F.sum(F.col("cost") * F.col("units")))
+                 .cast("bigint").alias("total"))
 
 
 @register("monthly_profit_text", W(f"select printf('$%.2f', (sum(price) - sum(cost)) / 100) as total {_SALES}",
                                    "order_details", "products", "sales_orders"))
 def monthly_profit_text(spark, d):
-    s = _month_sales(spark, d)
-    return s.agg(F.format_string("$%.2f", (F.sum("price") - F.sum("cost")) / F.lit(100.0)).alias("total"))
+    u = _month_units(spark, d)
+    profit = F.sum(F.col("price") * F.col("units")) - F.sum(F.col("cost") * F.col("units"))
+    return u.agg(F.format_string("$%.2f", profit / F.lit(100.0)).alias("total"))
 
 
 @register("customer_count_distinct", W("select count(distinct cust_id) as total from sales_orders", "sales_orders"))

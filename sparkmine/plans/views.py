@@ -8,9 +8,11 @@ underlying table. The DuckDB text of the same views lives in ``oracle_views``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkmine.operators.sequences import with_positions
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -113,8 +115,7 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         F.col("event_type").alias("item"),
     )
-    w = Window.partitionBy("seq_id").orderBy("ts", "event_id")
-    return seq.select("seq_id", (F.row_number().over(w) - 1).cast("bigint").alias("pos"), "item")
+    return with_positions(seq, "seq_id", ["ts", "event_id"]).select("seq_id", "pos", "item")
 
 
 def weekly_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,19 +127,13 @@ def weekly_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts", "event_id",
         F.concat(F.col("event_type"), F.lit("_"), k.cast("string")).alias("item"),
     )
-    w = Window.partitionBy("seq_id").orderBy("ts", "event_id")
-    return seq.select("seq_id", (F.row_number().over(w) - 1).cast("bigint").alias("pos"), "item")
+    return with_positions(seq, "seq_id", ["ts", "event_id"]).select("seq_id", "pos", "item")
 
 
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One clickstream per user: (user_id, pos, category)."""
-    ev = table(spark, sf_dir, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return ev.select(
-        "user_id",
-        (F.row_number().over(w) - 1).cast("bigint").alias("pos"),
-        F.col("event_type").alias("category"),
-    )
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.col("event_type").alias("category"))
+    return with_positions(ev, "user_id", ["ts", "event_id"]).select("user_id", "pos", "category")
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

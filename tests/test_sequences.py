@@ -74,3 +74,13 @@ def test_category_dimension_keeps_zero_rows(spark):
     rows = {r.category: r for r in S.category_stats(df, categories=dim).collect()}
     assert rows[2].visits == 0 and rows[2].refreshes == 0
     assert rows[1].refreshes == 1
+
+
+def test_skew_safe_path_equals_window_path(spark):
+    rnd = random.Random(11)
+    seqs = [[rnd.randint(1, 3) for _ in range(rnd.randint(1, 12))] for _ in range(200)]
+    seqs.append([rnd.randint(1, 3) for _ in range(3000)])  # one hot user
+    df = _visits(spark, seqs)
+    a = sorted(tuple(r) for r in S.category_stats(df, mode="carry", skew_safe=True).collect())
+    b = sorted(tuple(r) for r in S.category_stats(df, mode="carry", skew_safe=False).collect())
+    assert a == b
