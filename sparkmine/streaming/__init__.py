@@ -1,0 +1,2 @@
+"""No streaming operators: the reference has no streams, watermarks, windows over time
+or state, so there is nothing to rebuild here."""
