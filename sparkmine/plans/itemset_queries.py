@@ -39,11 +39,12 @@ def item_support_occ(spark, d):
     return I.item_support(V.baskets(spark, d), "occurrence")
 
 
-def _levels_ctes(min_support: float, max_size: int) -> list[tuple[str, str]]:
+def _levels_ctes(min_support: float, max_size: int, mode: str = "transaction") -> list[tuple[str, str]]:
     """CTEs ending in ``fi(itemset, size, support)``: frequent itemsets up to ``max_size``
-    by unrolled self-joins (transaction support)."""
+    by unrolled self-joins (single items by baskets or by occurrences)."""
     thr = f"(select greatest(2, n * {min_support}) from nb)"
-    parts = [f"""select item as itemset, 1 as size, count(*) as support from tx group by item
+    singles = "tx" if mode == "transaction" else "baskets"
+    parts = [f"""select item as itemset, 1 as size, count(*) as support from {singles} group by item
 having count(*) >= {thr}"""]
     for k in range(2, max_size + 1):
         al = [f"t{i}" for i in range(k)]
@@ -61,8 +62,8 @@ group by {keys} having count(*) >= {thr}""")
     ]
 
 
-def _levels_sql(min_support: float, max_size: int) -> str:
-    return W("select * from fi", "baskets", extra=_levels_ctes(min_support, max_size))
+def _levels_sql(min_support: float, max_size: int, mode: str = "transaction") -> str:
+    return W("select * from fi", "baskets", extra=_levels_ctes(min_support, max_size, mode))
 
 
 @register("itemsets_2", _levels_sql(MIN_SUPPORT_PAIRS, 3))
@@ -75,7 +76,7 @@ def itemsets_3(spark, d):
     return _flat(I.frequent_itemsets(V.baskets(spark, d), MIN_SUPPORT))
 
 
-def _rules_sql(min_support: float, max_size: int, where: str) -> str:
+def _rules_sql(min_support: float, max_size: int, where: str, mode: str = "transaction") -> str:
     """Rules from the unrolled itemsets: every proper subset as antecedent."""
     rule_ctes = [
         ("fl", "select itemset, size, support, string_split(itemset, ',') as items from fi"),
@@ -87,7 +88,7 @@ def _rules_sql(min_support: float, max_size: int, where: str) -> str:
     ]
     return W(f"""select r.antecedent, r.consequent, r.support, r.support / a.support as confidence
 from r join fi a on a.itemset = r.antecedent where {where}""", "baskets",
-             extra=_levels_ctes(min_support, max_size) + rule_ctes)
+             extra=_levels_ctes(min_support, max_size, mode) + rule_ctes)
 
 
 @register("assoc_rules", _rules_sql(MIN_SUPPORT, 4, f"r.support / a.support >= {MIN_CONFIDENCE}"))
@@ -101,3 +102,16 @@ and r.support / a.support >= {MIN_CONFIDENCE}"""))
 def assoc_predict(spark, d):
     fi = I.frequent_itemsets(V.baskets(spark, d), MIN_SUPPORT)
     return _rules_flat(I.predict(I.candidate_rules(fi), PREDICT_ITEMS, MIN_CONFIDENCE))
+
+
+@register("itemsets_occ", _levels_sql(MIN_SUPPORT, 4, "occurrence"))
+def itemsets_occ(spark, d):
+    """As the reference counts: single items by occurrence, larger sets by basket."""
+    return _flat(I.frequent_itemsets(V.baskets(spark, d), MIN_SUPPORT, mode="occurrence"))
+
+
+@register("assoc_rules_occ", _rules_sql(MIN_SUPPORT, 4, f"r.support / a.support >= {MIN_CONFIDENCE}", "occurrence"))
+def assoc_rules_occ(spark, d):
+    """Rules whose one-item antecedents divide by occurrence counts, as the reference."""
+    fi = I.frequent_itemsets(V.baskets(spark, d), MIN_SUPPORT, mode="occurrence")
+    return _rules_flat(I.association_rules(fi, MIN_CONFIDENCE))

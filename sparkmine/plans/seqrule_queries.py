@@ -139,3 +139,12 @@ def rules_binned(spark, d):
 def seq_rules_weekly(spark, d):
     seqs = V.weekly_sequences(spark, d)
     return _flat(SR.sequential_rules(seqs, WEEKLY_MIN_SUPPORT, WEEKLY_MIN_CONFIDENCE, 2, 2))
+
+
+@register("seq_rules_weekly_all")
+def seq_rules_weekly_all(spark, d):
+    """No caps on either side (0 = no cap): rules of every size the data supports.
+    Rows-only in the driver; ``tests/test_seqrules.py`` checks the miner against the
+    closed form by brute force."""
+    seqs = V.weekly_sequences(spark, d)
+    return _flat(SR.sequential_rules(seqs, WEEKLY_MIN_SUPPORT, WEEKLY_MIN_CONFIDENCE, 0, 0))

@@ -68,3 +68,18 @@ def test_predict(spark):
 def test_threshold_floor_of_two():
     assert I.support_threshold(10, 0.01) == 2.0
     assert I.support_threshold(1000, 0.01) == 10.0
+
+
+def test_matches_spark_fpgrowth(spark):
+    """Cross-check with Spark ML's FP-growth (transaction support, threshold as a fraction)."""
+    from pyspark.ml.fpm import FPGrowth
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(21)
+    baskets = [sorted(set(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 6)))) for _ in range(400)]
+    df = _baskets(spark, baskets)
+    ours = {(tuple(r["items"]), r.support) for r in I.frequent_itemsets(df, 0.05, n=len(baskets)).collect()}
+    tx = spark.createDataFrame([(b,) for b in baskets], "items array<string>")
+    model = FPGrowth(itemsCol="items", minSupport=0.05).fit(tx)
+    theirs = {(tuple(sorted(r["items"])), r.freq) for r in model.freqItemsets.select("items", "freq").collect()}
+    assert ours == theirs
