@@ -153,7 +153,7 @@ def src_sequences(spark, d):
 
 
 @register("src_vectors", W("""select dim, count(*) as n, round(sum(x), 6) as sum_x from
-(select generate_subscripts(v, 1) - 1 as dim, unnest(v) as x from vectors) group by dim""", "vectors"))
+(select cast(generate_subscripts(v, 1) - 1 as int) as dim, unnest(v) as x from vectors) group by dim""", "vectors"))
 def src_vectors(spark, d):
     path = scratch_path(spark, "vectors_txt")
     vec = V.vectors(spark, d)
@@ -165,7 +165,7 @@ def src_vectors(spark, d):
 
 # ---- nested delimited text -----------------------------------------------------------------
 
-_LOYALTY_SQL = """select c_custkey as cust_id, c_mktsegment as fname, c_name as lname,
+_LOYALTY_SQL = """select cast(c_custkey as int) as cust_id, c_mktsegment as fname, c_name as lname,
   'c' || cast(c_custkey as varchar) || '@example.com' as email,
   case when c_acctbal >= 5000 then 'GOLD' else 'SILVER' end as level,
   case when c_custkey % 3 = 0 then null else cast(4440000 + c_custkey as varchar) end as home_phone,

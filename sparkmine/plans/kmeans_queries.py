@@ -47,14 +47,15 @@ def kmeans_assign(spark, d):
     return K.assign(pts, init).select("vec_id", "cid")
 
 
-@register("kmeans_step", W("select cid, dim, round(x, 6) as x from m0", "vectors", extra=_rounds(1)))
+@register("kmeans_step", W("select cid, cast(dim as int) as dim, round(x, 6) as x from m0", "vectors",
+                           extra=_rounds(1)))
 def kmeans_step(spark, d):
     pts = _points(spark, d)
     init = K.initial_centroids(pts, K_CLUSTERS)
     return K.update(K.assign(pts, init)).select("cid", "dim", F.round("x", 6).alias("x"))
 
 
-@register("kmeans_3_rounds", W(f"select cid, dim, round(x, 6) as x from m{ROUNDS - 1}", "vectors",
+@register("kmeans_3_rounds", W(f"select cid, cast(dim as int) as dim, round(x, 6) as x from m{ROUNDS - 1}", "vectors",
                                extra=_rounds(ROUNDS)))
 def kmeans_3_rounds(spark, d):
     pts = _points(spark, d)

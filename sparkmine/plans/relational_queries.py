@@ -50,8 +50,8 @@ def total_clicks(spark, d):
     return R.total_clicks(_clean_ads(spark, d))
 
 
-@register("projected_cost", _wc("""select max(cpc) as max_cpc, count_if(was_clicked = 1) as clicks,
-cast(max(cpc) as bigint) * count_if(was_clicked = 1) * 3 as projected_cost from {clean}"""))
+@register("projected_cost", _wc("""select max(cpc) as max_cpc, cast(count_if(was_clicked = 1) as bigint) as clicks,
+cast(cast(max(cpc) as bigint) * count_if(was_clicked = 1) * 3 as bigint) as projected_cost from {clean}"""))
 def projected_cost(spark, d):
     return R.projected_cost(_clean_ads(spark, d))
 
