@@ -7,8 +7,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkmine.session import cut_lineage
-
 # The 17 clickstream categories, in code order (code 1 = first name).
 CATEGORIES = (
     "frontpage news tech local opinion on-air misc weather msn-news health living business "
@@ -28,14 +26,15 @@ def with_line_id(df: DataFrame, name: str = "line_id") -> DataFrame:
     """Contiguous 0-based line numbers in file order: by file path, then split offset,
     then position inside the split. ``df`` must be a direct file scan.
 
-    The scan with its split coordinates is checkpointed once (ids stay stable even if an
-    executor is lost), the per-split row counts (one row per file split, not per line)
-    give the offsets, and every line gets offset + rank inside its split.
+    The per-split row counts (one row per file split, not per line) give the offsets,
+    and every line gets offset + rank inside its split. The rank comes from the row's
+    place in its scan task, which is a pure function of the file listing (path, split
+    offset, position), so a re-read after a lost executor yields the same ids; no copy
+    of the input is made.
     """
     base = df.select("*", F.col("_metadata.file_path").alias("_f"),
                      F.col("_metadata.file_block_start").alias("_blk"),
                      F.monotonically_increasing_id().alias("_mid"))
-    base = cut_lineage(base)
     splits = base.groupBy("_f", "_blk").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_f", "_blk").rowsBetween(Window.unboundedPreceding, -1)
     offs = splits.select("_f", "_blk", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
