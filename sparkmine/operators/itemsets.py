@@ -65,19 +65,26 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
                       n: int | None = None) -> DataFrame:
     """All frequent itemsets: ``(items array<string> sorted, size int, support bigint)``."""
     _check_fraction("min_support", min_support)
+    if mode not in ("transaction", "occurrence"):
+        raise ValueError("mode must be 'transaction' or 'occurrence'")
+    # Distinct (basket, item), materialised once: the basket count, the transaction
+    # supports and every level read it instead of recomputing the input.
+    tx_all = cut_lineage(baskets.select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct())
     if n is None:
-        n = basket_count(baskets, basket)
+        n = tx_all.agg(F.count_distinct("_b")).first()[0]
     thr = support_threshold(n, min_support)
 
-    f1 = item_support(baskets, mode, basket, item).filter(F.col("support") >= F.lit(thr))
-    f1 = cut_lineage(f1)
+    if mode == "transaction":
+        singles = tx_all.groupBy(F.col("_i").alias(item)).agg(F.count(F.lit(1)).alias("support"))
+    else:
+        singles = item_support(baskets, mode, basket, item)
+    f1 = singles.filter(F.col("support") >= F.lit(thr)).persist(StorageLevel.MEMORY_AND_DISK)
     levels = [f1.select(F.array(F.col(item)).alias("items"), F.lit(1).alias("size"), "support")]
     if max_size is not None and max_size < 2:
         return levels[0]
 
-    # Distinct (basket, frequent item); repeats inside a basket go first.
-    tx = baskets.select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct()
-    tx = cut_lineage(tx.join(f1.select(F.col(item).alias("_i")), "_i", "left_semi"))
+    # Baskets' frequent items only (repeats already gone).
+    tx = tx_all.join(f1.select(F.col(item).alias("_i")), "_i", "left_semi")
     occ = tx.select("_b", F.array("_i").alias("items"), F.col("_i").alias("_last"))
 
     k = 2

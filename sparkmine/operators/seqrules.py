@@ -168,11 +168,13 @@ def sequential_rules(seqs: DataFrame, min_support: float, min_confidence: float,
                      n: int | None = None) -> DataFrame:
     """All rules: ``(antecedent, consequent, support, support_rel, confidence)``."""
     _check(min_support, min_confidence, max_antecedent, max_consequent)
+    # Item locations, materialised once; the sequence count and every level read them.
+    loc = cut_lineage(item_locations(seqs, seq, item, pos))
     if n is None:
-        n = sequence_count(seqs, seq)
+        n = loc.agg(F.count_distinct(seq)).first()[0]
     mc = min_count(n, min_support)
-    locf, _ = frequent_items(seqs, mc, seq, item, pos)
-    locf = cut_lineage(locf)
+    freq = loc.groupBy(item).agg(F.count(F.lit(1)).alias("nseq")).filter(F.col("nseq") >= mc)
+    locf = loc.join(freq.select(item), item, "left_semi")
     sup = cut_lineage(rule_supports(locf, mc, max_antecedent, max_consequent, seq, item))
     cover = antecedent_cover(sup, locf, seq, item)
     rules = sup.join(cover, "antecedent")

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.operators.scan import grouped_scan
+from sparkmine.session import cut_lineage
 
 
 def with_positions(df: DataFrame, seq: str | list[str], order: list[str], pos: str = "pos",
@@ -59,6 +60,8 @@ def refresh_emissions(df: DataFrame, user: str = "user_id", cat: str = "category
     if mode not in ("runs", "carry"):
         raise ValueError("mode must be 'runs' or 'carry'")
     runs = _runs(df, user, cat, pos, skew_safe)
+    if mode == "carry":
+        runs = cut_lineage(runs)  # read by two ordered scans
     if mode == "runs":
         return runs.filter(F.col("L") >= 2).select(user, cat, (F.col("L") - 1).alias("emitted"))
     long_run = (F.col("L") >= 2).cast("bigint")
@@ -123,6 +126,7 @@ def category_stats(df: DataFrame, user: str = "user_id", cat: str = "category",
     default the categories seen in the data. The three per-category tables are tiny
     (one row per category), so the joins between them are cheap.
     """
+    df = cut_lineage(df.select(user, cat, pos))  # read by every statistic below
     dim = categories if categories is not None else df.select(cat).distinct()
     out = (dim.join(category_visits(df, user, cat), cat, "left")
            .join(refresh_stats(df, user, cat, pos, mode, skew_safe), cat, "left")
