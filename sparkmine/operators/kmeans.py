@@ -87,10 +87,11 @@ def update(assigned: DataFrame, vec: str = "v") -> DataFrame:
 
 
 def _collect_centroids(long: DataFrame) -> list[tuple[int, list[float]]]:
-    """k x d values to the driver (bounded by the parameters)."""
-    wide = long.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("_v"))
-    rows = wide.select("cid", F.col("_v.x").alias("v")).collect()
-    return sorted((int(r["cid"]), list(r["v"])) for r in rows)
+    """The k x d centroid values to the driver (bounded by the parameters, not the data)."""
+    cents: dict[int, dict[int, float]] = {}
+    for r in long.collect():
+        cents.setdefault(int(r["cid"]), {})[int(r["dim"])] = float(r["x"])
+    return [(c, [v[i] for i in range(len(v))]) for c, v in sorted(cents.items())]
 
 
 def initial_centroids(points: DataFrame, k: int, id_col: str = "vec_id", vec: str = "v",

@@ -33,3 +33,11 @@ def test_numpy_path_matches_inline(spark, monkeypatch):
 def test_empty_cluster_disappears(spark):
     cents, _ = K.fit(_points(spark), init=[(0, [1.0, 2.0]), (1, [100.0, 100.0])], max_iter=1)
     assert [c for c, _ in cents] == [0]
+
+
+def test_seeded_initial_centroids_repeatable(spark):
+    pts = _points(spark)
+    a = K.initial_centroids(pts, 3, seed=7)
+    b = K.initial_centroids(pts, 3, seed=7)
+    assert a == b and len({tuple(v) for _, v in a}) == 3
+    assert [c for c, _ in K.initial_centroids(pts, 2)] == [0, 1]

@@ -80,6 +80,8 @@ def test_table_lifecycle(spark):
     TB.create_typed_table(spark, "t_life", df, loc)
     TB.append_into(spark, "t_life", spark.createDataFrame([(3, "c")], "id int, level string"))
     assert spark.table("t_life").count() == 3
+    assert [(r.col_name, r.data_type) for r in TB.describe(spark, "t_life").collect()][:2] == [
+        ("id", "int"), ("level", "string")]
     TB.rename_column(spark, "t_life", "level", "status", scratch_path(spark, "tbl2"))
     assert "status" in spark.table("t_life").columns
     TB.rename_table(spark, "t_life", "t_life2")
