@@ -2,12 +2,16 @@
 
 import math
 import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
 from sparkmine.plans.views import TABLES
+from test_plans import assert_clean_plan
 
 SF = os.environ.get("SPARKMINE_ORACLE_SF", "/root/testdata/sf0.01")
 NAMES = sorted(E.oracle_sql())
@@ -38,6 +42,7 @@ def con():
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
+    assert_clean_plan(df)
     res = con.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(res.columns)
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(res.columns, res.fetchall())
@@ -46,7 +51,9 @@ def test_query_matches_oracle(spark, con, name):
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
 def test_rows_only_queries_run(spark, name):
-    assert E.queries()[name](spark, SF).count() > 0
+    df = E.queries()[name](spark, SF)
+    assert_clean_plan(df)
+    assert df.count() > 0
 
 
 def test_entry_smoke(spark):
