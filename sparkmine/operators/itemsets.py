@@ -164,3 +164,20 @@ def predict_batch(rules: DataFrame, queries: DataFrame, min_confidence: float, i
     """Batch form: for each query row, the rules whose antecedent equals its item set."""
     q = queries.withColumn("antecedent", F.array_sort(F.array_distinct(F.col(items))))
     return q.join(rules.filter(F.col("confidence") >= F.lit(min_confidence)), "antecedent")
+
+
+def frequent_itemsets_fpgrowth(baskets: DataFrame, min_support: float, basket: str = "basket_id",
+                               item: str = "item") -> DataFrame:
+    """Second path: Spark ML's parallel FP-growth over one item array per basket
+    (transaction support). It needs each basket's distinct items in one row, so it
+    suits baskets of bounded size (orders, sessions); the join path above has no such
+    requirement. Same output and threshold (``>= max(2, n * min_support)``)."""
+    from pyspark.ml.fpm import FPGrowth
+
+    _check_fraction("min_support", min_support)
+    sets = (baskets.select(basket, item).distinct()
+            .groupBy(basket).agg(F.collect_list(item).alias("items")))
+    model = FPGrowth(itemsCol="items", minSupport=min_support).fit(sets)
+    found = model.freqItemsets
+    return found.filter(F.col("freq") >= 2).select(
+        F.array_sort("items").alias("items"), F.size("items").alias("size"), F.col("freq").alias("support"))

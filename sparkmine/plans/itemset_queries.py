@@ -76,6 +76,12 @@ def itemsets_3(spark, d):
     return _flat(I.frequent_itemsets(V.baskets(spark, d), MIN_SUPPORT))
 
 
+@register("itemsets_fpgrowth", _levels_sql(MIN_SUPPORT, 4))
+def itemsets_fpgrowth(spark, d):
+    """Same itemsets through Spark ML's FP-growth (orders are bounded baskets)."""
+    return _flat(I.frequent_itemsets_fpgrowth(V.baskets(spark, d), MIN_SUPPORT))
+
+
 def _rules_sql(min_support: float, max_size: int, where: str, mode: str = "transaction") -> str:
     """Rules from the unrolled itemsets: every proper subset as antecedent."""
     rule_ctes = [

@@ -64,3 +64,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         return cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 65_536) -> dict[str, str]:
+    """Suggested session settings for a cluster run over ``input_bytes`` of input:
+    file splits of ``partition_bytes``, enough shuffle partitions that each holds about
+    that much before AQE coalesces small ones, and AQE skew-join splitting on. Apply
+    with ``SparkSession.builder.config(map=...)`` when building the cluster session."""
+    parts = int(min(max_partitions, max(200, input_bytes // partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
