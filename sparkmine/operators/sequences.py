@@ -15,10 +15,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.operators.scan import grouped_scan
+from sparkmine.operators.scan import grouped_scan, hot_group_rows, largest_group
 from sparkmine.session import cut_lineage
 
 
+def _decide(df: DataFrame, user: str, skew_safe: bool | str) -> bool:
+    """One measurement on the coarsest grouping (the user): every group the statistics
+    scan (user x category, runs) is a subset of one user's visits."""
+    if skew_safe == "auto":
+        return largest_group(df, [user]) > hot_group_rows(df.sparkSession)
+    return bool(skew_safe)
+
+
 def with_positions(df: DataFrame, seq: str | list[str], order: list[str], pos: str = "pos",
                    skew_safe: bool | str = "auto") -> DataFrame:
     """0-based position of each row in its sequence, ties broken by the later order keys."""
@@ -59,6 +67,7 @@ def refresh_emissions(df: DataFrame, user: str = "user_id", cat: str = "category
     """
     if mode not in ("runs", "carry"):
         raise ValueError("mode must be 'runs' or 'carry'")
+    skew_safe = _decide(df, user, skew_safe)
     runs = _runs(df, user, cat, pos, skew_safe)
     if mode == "carry":
         runs = cut_lineage(runs)  # read by two ordered scans
@@ -82,7 +91,8 @@ def revisit_distances(df: DataFrame, user: str = "user_id", cat: str = "category
                       skew_safe: bool | str = "auto") -> DataFrame:
     """Each return to a category after other pages: ``(user, cat, distance)`` with
     distance = pages visited in between (adjacent repeats are refreshes, not revisits)."""
-    prev = grouped_scan(df.select(user, cat, pos), [user, cat], [pos], lags={"_prev": pos}, skew_safe=skew_safe)
+    prev = grouped_scan(df.select(user, cat, pos), [user, cat], [pos], lags={"_prev": pos},
+                        skew_safe=_decide(df, user, skew_safe))
     gap = F.col(pos) - F.col("_prev")
     return (prev.select(user, cat, gap.alias("_gap"))
             .filter(F.col("_gap") > 1)
@@ -127,6 +137,7 @@ def category_stats(df: DataFrame, user: str = "user_id", cat: str = "category",
     (one row per category), so the joins between them are cheap.
     """
     df = cut_lineage(df.select(user, cat, pos))  # read by every statistic below
+    skew_safe = _decide(df, user, skew_safe)
     dim = categories if categories is not None else df.select(cat).distinct()
     out = (dim.join(category_visits(df, user, cat), cat, "left")
            .join(refresh_stats(df, user, cat, pos, mode, skew_safe), cat, "left")
