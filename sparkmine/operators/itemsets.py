@@ -39,10 +39,6 @@ def _check_fraction(name: str, v: float) -> None:
         raise ValueError(f"{name} must be between 0 and 1")
 
 
-def basket_count(baskets: DataFrame, basket: str = "basket_id") -> int:
-    return baskets.agg(F.count_distinct(basket)).first()[0]
-
-
 def support_threshold(n: int, min_support: float) -> float:
     """Absolute threshold: ``n * min_support``, never below 2."""
     t = n * min_support

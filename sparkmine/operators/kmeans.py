@@ -136,9 +136,3 @@ def fit(points: DataFrame, k: int | None = None, init: list[tuple[int, list[floa
     finally:
         pts.unpersist()
     return cents, rounds
-
-
-def centroids_frame(spark, cents: list[tuple[int, list[float]]], digits: int = 6) -> DataFrame:
-    """Long form ``(cid, dim, x)`` of k centroids (k x d rows, a parameter-sized table)."""
-    rows = [(int(c), int(i), round(float(x), digits)) for c, v in cents for i, x in enumerate(v)]
-    return spark.createDataFrame(rows, "cid bigint, dim int, x double")

@@ -7,8 +7,6 @@ map side before the shuffle (which also absorbs a hot grouping key).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,7 +85,8 @@ def distinct_counts(df: DataFrame, col: str) -> DataFrame:
     """Both distinct counts: ``COUNT(DISTINCT c)`` skips null, ``distinct().count()`` keeps it."""
     return df.agg(
         F.count_distinct(col).alias("n_count_distinct"),
-        (F.count_distinct(col) + F.max(F.col(col).isNull().cast("int"))).cast("bigint").alias("n_distinct_rows"),
+        (F.count_distinct(col) + F.coalesce(F.max(F.col(col).isNull().cast("int")), F.lit(0)))
+        .cast("bigint").alias("n_distinct_rows"),
     )
 
 
@@ -107,13 +106,6 @@ def rated_products(ratings: DataFrame, min_count: int) -> DataFrame:
     )
 
 
-def join_sales(products: DataFrame, details: DataFrame, orders: DataFrame) -> DataFrame:
-    """order_details x orders x products. The (usually filtered) orders are joined
-    first, so the big detail table shrinks before it meets the product table; Spark
-    does not reorder joins on its own without cost-based optimisation."""
-    return details.join(orders, "order_id").join(products, "prod_id")
-
-
 def units_per_product(details: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """``(prod_id, units)``: detail rows per product (of the given orders), aggregated
     before any product attribute is joined, so only one row per product is shuffled
@@ -130,7 +122,3 @@ def month_range(col: str, year: int, month: int) -> Column:
     end = f"{ny:04d}-{nm:02d}-01"
     c = F.col(col)
     return (c >= F.lit(start).cast("timestamp_ntz")) & (c < F.lit(end).cast("timestamp_ntz"))
-
-
-def sorted_by(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
-    return df.orderBy(*keys)

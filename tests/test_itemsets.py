@@ -83,3 +83,11 @@ def test_matches_spark_fpgrowth(spark):
     model = FPGrowth(itemsCol="items", minSupport=0.05).fit(tx)
     theirs = {(tuple(sorted(r["items"])), r.freq) for r in model.freqItemsets.select("items", "freq").collect()}
     assert ours == theirs
+
+
+def test_predict_batch(spark):
+    baskets = [["a", "b"], ["a", "b"], ["a", "c"], ["b", "a", "c"]]
+    fi = I.frequent_itemsets(_baskets(spark, baskets), 0.5)
+    q = spark.createDataFrame([(1, ["b"]), (2, ["b", "a", "b"])], "qid long, items array<string>")
+    got = {(r.qid, tuple(r.consequent)) for r in I.predict_batch(I.candidate_rules(fi), q, 0.0).collect()}
+    assert (1, ("a",)) in got and all(qid == 1 for qid, _ in got)
