@@ -93,12 +93,14 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
                 .persist(StorageLevel.MEMORY_AND_DISK))
         fk = (cand.groupBy("items").agg(F.count(F.lit(1)).alias("support"))
               .filter(F.col("support") >= F.lit(thr))).persist(StorageLevel.MEMORY_AND_DISK)
-        if fk.isEmpty():
-            cand.unpersist()
-            break
-        levels.append(fk.select("items", F.lit(k).alias("size"), "support"))
+        # One pass computes the counts (cached) and the next occurrence table; the
+        # emptiness test then reads the written table.
         occ = cut_lineage(cand.join(fk.select("items"), "items", "left_semi"))
         cand.unpersist()
+        if occ.isEmpty():
+            fk.unpersist()
+            break
+        levels.append(fk.select("items", F.lit(k).alias("size"), "support"))
         k += 1
 
     out = levels[0]

@@ -91,12 +91,14 @@ def rule_supports(locf: DataFrame, min_cnt: int, max_antecedent: int = 0, max_co
         occ = occ.persist(StorageLevel.MEMORY_AND_DISK)
         sup = (occ.groupBy("X", "Y").agg(F.count(F.lit(1)).alias("support"))
                .filter(F.col("support") >= min_cnt)).persist(StorageLevel.MEMORY_AND_DISK)
-        if sup.isEmpty():
-            occ.unpersist()
-            break
-        levels.append(sup)
+        # One pass computes the counts (cached) and the surviving occurrences; the
+        # emptiness test then reads the written table.
         kept = cut_lineage(occ.join(sup.select("X", "Y"), ["X", "Y"], "left_semi"))
         occ.unpersist()
+        if kept.isEmpty():
+            sup.unpersist()
+            break
+        levels.append(sup)
         occ = kept
 
         grown = []

@@ -61,15 +61,20 @@ def read_baskets(spark: SparkSession, path: str | list[str], sep: str = ",") ->
     return lines.select("basket_id", F.posexplode(F.split("value", _quote(sep), -1)).alias("pos", "item"))
 
 
-def read_sequences(spark: SparkSession, path: str | list[str], names: list[str] | None = CATEGORIES) -> DataFrame:
-    """``(seq_id, pos, item, category)`` from lines of whitespace-separated integer codes.
+def read_sequences(spark: SparkSession, path: str | list[str], names: list[str] | None = CATEGORIES,
+                   sep: str = "blank") -> DataFrame:
+    """``(seq_id, pos, item, category)`` from lines of integer codes separated by blanks
+    (``.seq`` files, ``sep='blank'``) or by commas (``.csv`` files, ``sep=','``).
     Header lines (``%``), blank lines and other non-numeric lines are dropped; codes
     outside 1..len(names) get a null category (never a wrapped-around one)."""
     lines = read_text_lines(spark, path)
-    # Only digits and blanks, at least one digit (no repeated regex group: lines may be long).
-    numeric = F.col("value").rlike("[0-9]") & ~F.col("value").rlike(r"[^0-9\s]")
+    split_re, extra = (r"\s+", "") if sep == "blank" else (r"\s*" + _quote(sep) + r"\s*", _quote(sep))
+    # Only digits, blanks and separators, at least one digit (no repeated regex group:
+    # lines may be long).
+    numeric = F.col("value").rlike("[0-9]") & ~F.col("value").rlike(r"[^0-9\s" + extra + "]")
     lines = with_line_id(lines, "seq_id").filter(numeric)
-    seqs = lines.select("seq_id", F.posexplode(F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\s+", -1)).alias("pos", "_code"))
+    body = F.regexp_replace("value", r"^\s+|\s+$", "")
+    seqs = lines.select("seq_id", F.posexplode(F.split(body, split_re, -1)).alias("pos", "_code"))
     seqs = seqs.select("seq_id", F.col("pos").cast("bigint").alias("pos"), F.col("_code").cast("int").alias("item"))
     if not names:
         return seqs

@@ -87,3 +87,10 @@ def test_table_lifecycle(spark):
     TB.rename_table(spark, "t_life", "t_life2")
     assert {r.tableName for r in TB.show_tables(spark).collect()} >= {"t_life2"}
     TB.drop_table(spark, "t_life2")
+
+
+def test_read_comma_sequences(spark):
+    path = _write_lines(spark, ["1,1", "3, 2,2", ""], "seqcsv")
+    rows = L.read_sequences(spark, path, sep=",").orderBy("seq_id", "pos").collect()
+    assert [(r.item, r.category) for r in rows] == [(1, "frontpage"), (1, "frontpage"), (3, "tech"),
+                                                   (2, "news"), (2, "news")]
