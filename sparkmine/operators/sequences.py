@@ -28,10 +28,20 @@ def _decide(df: DataFrame, user: str, skew_safe: bool | str) -> bool:
 
 
 def with_positions(df: DataFrame, seq: str | list[str], order: list[str], pos: str = "pos",
-                   skew_safe: bool | str = "auto") -> DataFrame:
-    """0-based position of each row in its sequence, ties broken by the later order keys."""
-    out = grouped_scan(df, seq, order, sums={"_rn": F.lit(1).cast("bigint")}, skew_safe=skew_safe)
-    return out.withColumn(pos, (F.col("_rn") - 1).cast("bigint")).drop("_rn")
+                   skew_safe: bool | str = "auto", itemsets: bool = False) -> DataFrame:
+    """0-based position of each row in its sequence, ties broken by the later order keys.
+
+    ``itemsets=True``: rows equal on the first order key (simultaneous events) share
+    one position, i.e. form one itemset step (a dense rank on that key)."""
+    if not itemsets:
+        out = grouped_scan(df, seq, order, sums={"_rn": F.lit(1).cast("bigint")}, skew_safe=skew_safe)
+        return out.withColumn(pos, (F.col("_rn") - 1).cast("bigint")).drop("_rn")
+    key = order[0]
+    prev = grouped_scan(df, seq, order, lags={"_prev_key": key}, skew_safe=skew_safe)
+    step = (F.col("_prev_key").isNull() | (F.col("_prev_key") != F.col(key))).cast("bigint")
+    out = grouped_scan(prev.withColumn("_step", step).drop("_prev_key"), seq, order,
+                       sums={"_rank": F.col("_step")}, skew_safe=skew_safe)
+    return out.withColumn(pos, (F.col("_rank") - 1).cast("bigint")).drop("_rank", "_step")
 
 
 def item_locations(df: DataFrame, seq: str = "seq_id", item: str = "item", pos: str = "pos") -> DataFrame:

@@ -84,3 +84,12 @@ def test_skew_safe_path_equals_window_path(spark):
     a = sorted(tuple(r) for r in S.category_stats(df, mode="carry", skew_safe=True).collect())
     b = sorted(tuple(r) for r in S.category_stats(df, mode="carry", skew_safe=False).collect())
     assert a == b
+
+
+def test_itemset_positions_share_simultaneous_events(spark):
+    df = spark.createDataFrame([(1, 10, 1), (1, 10, 2), (1, 20, 3), (2, 5, 4)], "u long, ts long, eid long")
+    for safe in (True, False):
+        got = {r.eid: r.pos for r in S.with_positions(df, "u", ["ts", "eid"], itemsets=True, skew_safe=safe).collect()}
+        assert got == {1: 0, 2: 0, 3: 1, 4: 0}
+        got = {r.eid: r.pos for r in S.with_positions(df, "u", ["ts", "eid"], skew_safe=safe).collect()}
+        assert got == {1: 0, 2: 1, 3: 2, 4: 0}
