@@ -79,7 +79,7 @@ def src_tsv_header(spark, d):
 was_clicked, cpc from ads""", "ads"))
 def src_glob(spark, d):
     """Reads ``ad_data[12]``: the USA and CAN folders, not the third copy beside them."""
-    base = scratch_path(spark, "dualcore")
+    base = scratch_path(spark, "ads_by_country")
     ads = V.ads(spark, d)
     D.write_delimited(R.etl_country(ads, "USA"), f"{base}/ad_data1")
     D.write_delimited(R.etl_country(ads, "CAN"), f"{base}/ad_data2")
@@ -138,7 +138,7 @@ from c join cat on c.code = cat.code group by cat.category""")
 def src_sequences(spark, d):
     """Clickstream-format file (``%`` header, names line, one line of codes per
     sequence), read back with category names; visits and sequences per category."""
-    path = scratch_path(spark, "msnbc")
+    path = scratch_path(spark, "clickstream")
     docs = V.table(spark, d, "documents")
     codes = F.transform(F.split(F.trim("text"), r"\s+", -1), lambda w: ((F.length(w) % 17) + 1).cast("string"))
     body = docs.select(F.concat_ws(" ", codes).alias("value"))
