@@ -143,7 +143,8 @@ def antecedent_cover(antecedents: DataFrame, locf: DataFrame, seq: str = "seq_id
     an equi-join on ``(seq, item)``: only sequences that already hold the prefix are
     touched.
     """
-    ante = cut_lineage(antecedents.select(F.col("antecedent").alias("X")).distinct())
+    # Small (one row per antecedent) and cheap to recompute from its cached inputs.
+    ante = antecedents.select(F.col("antecedent").alias("X")).distinct().persist(StorageLevel.MEMORY_AND_DISK)
     c = locf.select(F.col(seq).alias("_s"), F.col(item).alias("_c"))
     one = ante.filter(F.size("X") == 1).select(F.element_at("X", 1).alias("_c"), "X")
     cov = cut_lineage(c.join(one, "_c").select("X", "_s"))
@@ -177,7 +178,9 @@ def sequential_rules(seqs: DataFrame, min_support: float, min_confidence: float,
     mc = min_count(n, min_support)
     freq = loc.groupBy(item).agg(F.count(F.lit(1)).alias("nseq")).filter(F.col("nseq") >= mc)
     locf = loc.join(freq.select(item), item, "left_semi")
-    sup = cut_lineage(rule_supports(locf, mc, max_antecedent, max_consequent, seq, item))
+    # The union of the cached per-level rule tables: rule-sized, recomputed from the
+    # last checkpointed level if a cached block is lost.
+    sup = rule_supports(locf, mc, max_antecedent, max_consequent, seq, item).persist(StorageLevel.MEMORY_AND_DISK)
     cover = antecedent_cover(sup, locf, seq, item)
     rules = sup.join(cover, "antecedent")
     return rules.select(
