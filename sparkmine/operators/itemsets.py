@@ -29,7 +29,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.session import cut_lineage
+from sparkmine.session import broadcast_if_small, bucketed_table, shuffle_partitions
 
 MAX_RULE_ITEMS = 20  # 2^k subsets per itemset when building rules
 
@@ -63,9 +63,14 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
     _check_fraction("min_support", min_support)
     if mode not in ("transaction", "occurrence"):
         raise ValueError("mode must be 'transaction' or 'occurrence'")
-    # Distinct (basket, item), materialised once: the basket count, the transaction
-    # supports and every level read it instead of recomputing the input.
-    tx_all = cut_lineage(baskets.select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct())
+    # Distinct (basket, item), hash-partitioned by basket and written once as a table
+    # bucketed by basket: the basket count, the supports and every level read it, and
+    # each level's occurrence table is bucketed the same way, so the basket join of
+    # every level runs without an exchange.
+    spark = baskets.sparkSession
+    nb = shuffle_partitions(spark)
+    tx_all = bucketed_table(baskets.select(F.col(basket).alias("_b"), F.col(item).alias("_i"))
+                            .repartition(nb, "_b").distinct(), "_b", nb, "baskets")
     if n is None:
         n = tx_all.agg(F.count_distinct("_b")).first()[0]
     thr = support_threshold(n, min_support)
@@ -75,32 +80,36 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
     else:
         singles = item_support(baskets, mode, basket, item)
     f1 = singles.filter(F.col("support") >= F.lit(thr)).persist(StorageLevel.MEMORY_AND_DISK)
+    n1 = f1.count()
     levels = [f1.select(F.array(F.col(item)).alias("items"), F.lit(1).alias("size"), "support")]
-    if max_size is not None and max_size < 2:
+    if (max_size is not None and max_size < 2) or n1 == 0:
         return levels[0]
 
-    # Baskets' frequent items only (repeats already gone).
-    tx = tx_all.join(f1.select(F.col(item).alias("_i")), "_i", "left_semi")
+    # Baskets' frequent items only (repeats already gone); a broadcast semi-join keeps
+    # the basket partitioning.
+    tx = tx_all.join(broadcast_if_small(f1.select(F.col(item).alias("_i")), n1), "_i", "left_semi")
     occ = tx.select("_b", F.array("_i").alias("items"), F.col("_i").alias("_last"))
 
     k = 2
     while max_size is None or k <= max_size:
         nxt = tx.select("_b", F.col("_i").alias("_next"))
-        # Candidate occurrences of this level, computed once and reused for both the
-        # counts and the next occurrence table.
+        # Candidate occurrences of this level (co-partitioned join on the basket),
+        # computed once and reused for the counts and the next occurrence table.
         cand = (occ.join(nxt, "_b").filter(F.col("_next") > F.col("_last"))
                 .select("_b", F.concat("items", F.array("_next")).alias("items"), F.col("_next").alias("_last"))
                 .persist(StorageLevel.MEMORY_AND_DISK))
         fk = (cand.groupBy("items").agg(F.count(F.lit(1)).alias("support"))
               .filter(F.col("support") >= F.lit(thr))).persist(StorageLevel.MEMORY_AND_DISK)
-        # One pass computes the counts (cached) and the next occurrence table; the
-        # emptiness test then reads the written table.
-        occ = cut_lineage(cand.join(fk.select("items"), "items", "left_semi"))
-        cand.unpersist()
-        if occ.isEmpty():
-            fk.unpersist()
+        nk = fk.count()
+        if nk == 0:
+            cand.unpersist()
             break
         levels.append(fk.select("items", F.lit(k).alias("size"), "support"))
+        # Frequent sets broadcast behind their counted size: the semi-join keeps the
+        # basket partitioning for the next level.
+        occ = bucketed_table(cand.join(broadcast_if_small(fk.select("items"), nk), "items", "left_semi"),
+                             "_b", nb, "itemset_level")
+        cand.unpersist()
         k += 1
 
     out = levels[0]

@@ -80,3 +80,32 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partition
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
     }
+
+
+# Largest row count of a computed table that is broadcast to a join (about tens of MB
+# for the narrow tables involved); anything larger goes through a shuffle join.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its counted ``rows`` are within ``limit``, else ``df``
+    unchanged (Spark then plans a shuffle join): the broadcast side is size-checked."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if rows <= limit else df
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bucketed_table(df: DataFrame, key: str, buckets: int, name: str = "level") -> DataFrame:
+    """Write ``df`` as a parquet table bucketed by ``key`` into the shared checkpoint
+    folder and read it back. Like ``cut_lineage`` it ends the lineage and survives
+    executor loss; in addition the scan reports hash partitioning on ``key``, so a
+    join of two such tables (same key, same bucket count) runs without an exchange,
+    and an input already hash-partitioned that way is written without one."""
+    spark = df.sparkSession
+    table = f"sparkmine_{name}_{uuid.uuid4().hex[:12]}"
+    df.write.format("parquet").bucketBy(buckets, key).option("path", scratch_path(spark, table)).saveAsTable(table)
+    return spark.table(table)
