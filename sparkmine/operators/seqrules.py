@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.operators.sequences import item_locations
-from sparkmine.session import cut_lineage
+from sparkmine.session import broadcast_if_small, bucketed_table, cut_lineage, shuffle_partitions
 
 
 def _check(min_support: float, min_confidence: float, max_antecedent: int, max_consequent: int) -> None:
@@ -77,8 +77,13 @@ def _locs(locf: DataFrame, seq: str, item: str) -> DataFrame:
 
 
 def rule_supports(locf: DataFrame, min_cnt: int, max_antecedent: int = 0, max_consequent: int = 0,
-                  seq: str = "seq_id", item: str = "item") -> DataFrame:
-    """All frequent rules ``(antecedent, consequent, support)`` (arrays sorted)."""
+                  seq: str = "seq_id", item: str = "item", buckets: int | None = None) -> DataFrame:
+    """All frequent rules ``(antecedent, consequent, support)`` (arrays sorted).
+
+    With ``locf`` hash-partitioned (bucketed) by sequence into ``buckets``, every
+    level's occurrence table is written bucketed the same way, so the growth joins on
+    the sequence key run without an exchange; only the per-rule counts shuffle."""
+    nb = buckets or shuffle_partitions(locf.sparkSession)
     c = _locs(locf, seq, item)
     a = c.select("_s", F.col("_c").alias("_x"), F.col("_cf").alias("fx"))
     b = c.select("_s", F.col("_c").alias("_y"), F.col("_cl").alias("ly"))
@@ -91,14 +96,16 @@ def rule_supports(locf: DataFrame, min_cnt: int, max_antecedent: int = 0, max_co
         occ = occ.persist(StorageLevel.MEMORY_AND_DISK)
         sup = (occ.groupBy("X", "Y").agg(F.count(F.lit(1)).alias("support"))
                .filter(F.col("support") >= min_cnt)).persist(StorageLevel.MEMORY_AND_DISK)
-        # One pass computes the counts (cached) and the surviving occurrences; the
-        # emptiness test then reads the written table.
-        kept = cut_lineage(occ.join(sup.select("X", "Y"), ["X", "Y"], "left_semi"))
-        occ.unpersist()
-        if kept.isEmpty():
-            sup.unpersist()
+        ns = sup.count()
+        if ns == 0:
+            occ.unpersist()
             break
         levels.append(sup)
+        # Frequent rules broadcast behind their counted size; the semi-join keeps the
+        # sequence partitioning of the occurrences it filters.
+        kept = occ.join(broadcast_if_small(sup.select("X", "Y"), ns), ["X", "Y"], "left_semi")
+        kept = bucketed_table(kept, "_s", nb, "rule_level")
+        occ.unpersist()
         occ = kept
 
         grown = []
@@ -171,16 +178,19 @@ def sequential_rules(seqs: DataFrame, min_support: float, min_confidence: float,
                      n: int | None = None) -> DataFrame:
     """All rules: ``(antecedent, consequent, support, support_rel, confidence)``."""
     _check(min_support, min_confidence, max_antecedent, max_consequent)
-    # Item locations, materialised once; the sequence count and every level read them.
-    loc = cut_lineage(item_locations(seqs, seq, item, pos))
+    # Item locations, hash-partitioned by sequence and written once as a table bucketed
+    # by sequence; the sequence count and every level read them.
+    nb = shuffle_partitions(seqs.sparkSession)
+    loc = bucketed_table(item_locations(seqs.repartition(nb, seq), seq, item, pos), seq, nb, "locations")
     if n is None:
         n = loc.agg(F.count_distinct(seq)).first()[0]
     mc = min_count(n, min_support)
-    freq = loc.groupBy(item).agg(F.count(F.lit(1)).alias("nseq")).filter(F.col("nseq") >= mc)
-    locf = loc.join(freq.select(item), item, "left_semi")
+    freq = (loc.groupBy(item).agg(F.count(F.lit(1)).alias("nseq")).filter(F.col("nseq") >= mc)
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    locf = loc.join(broadcast_if_small(freq.select(item), freq.count()), item, "left_semi")
     # The union of the cached per-level rule tables: rule-sized, recomputed from the
     # last checkpointed level if a cached block is lost.
-    sup = rule_supports(locf, mc, max_antecedent, max_consequent, seq, item).persist(StorageLevel.MEMORY_AND_DISK)
+    sup = rule_supports(locf, mc, max_antecedent, max_consequent, seq, item, nb).persist(StorageLevel.MEMORY_AND_DISK)
     cover = antecedent_cover(sup, locf, seq, item)
     rules = sup.join(cover, "antecedent")
     return rules.select(
