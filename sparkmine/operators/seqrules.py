@@ -181,7 +181,8 @@ def sequential_rules(seqs: DataFrame, min_support: float, min_confidence: float,
     # Item locations, hash-partitioned by sequence and written once as a table bucketed
     # by sequence; the sequence count and every level read them.
     nb = shuffle_partitions(seqs.sparkSession)
-    loc = bucketed_table(item_locations(seqs.repartition(nb, seq), seq, item, pos), seq, nb, "locations")
+    # (aggregate first: only one row per (sequence, item) crosses the repartition)
+    loc = bucketed_table(item_locations(seqs, seq, item, pos).repartition(nb, seq), seq, nb, "locations")
     if n is None:
         n = loc.agg(F.count_distinct(seq)).first()[0]
     mc = min_count(n, min_support)
