@@ -28,10 +28,13 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.operators.sequences import item_locations
+
+# Up to this many frequent items, item sets are encoded as bits of one bigint.
+MASK_ITEMS = 62
 from sparkmine.session import broadcast_if_small, bucketed_table, cut_lineage, shuffle_partitions
 
 
@@ -175,8 +178,11 @@ def antecedent_cover(antecedents: DataFrame, locf: DataFrame, seq: str = "seq_id
 
 def sequential_rules(seqs: DataFrame, min_support: float, min_confidence: float, max_antecedent: int = 0,
                      max_consequent: int = 0, seq: str = "seq_id", item: str = "item", pos: str = "pos",
-                     n: int | None = None) -> DataFrame:
-    """All rules: ``(antecedent, consequent, support, support_rel, confidence)``."""
+                     n: int | None = None, mask_items: int = MASK_ITEMS) -> DataFrame:
+    """All rules: ``(antecedent, consequent, support, support_rel, confidence)``.
+
+    When at most ``mask_items`` items are frequent, item sets travel as 64-bit masks
+    (see ``_masked_rules``); otherwise as sorted arrays. Same rules either way."""
     _check(min_support, min_confidence, max_antecedent, max_consequent)
     # Item locations, hash-partitioned by sequence and written once as a table bucketed
     # by sequence; the sequence count and every level read them.
@@ -188,7 +194,10 @@ def sequential_rules(seqs: DataFrame, min_support: float, min_confidence: float,
     mc = min_count(n, min_support)
     freq = (loc.groupBy(item).agg(F.count(F.lit(1)).alias("nseq")).filter(F.col("nseq") >= mc)
             .persist(StorageLevel.MEMORY_AND_DISK))
-    locf = loc.join(broadcast_if_small(freq.select(item), freq.count()), item, "left_semi")
+    n_freq = freq.count()
+    if 0 < n_freq <= mask_items:
+        return _masked_rules(loc, freq, n, mc, min_confidence, max_antecedent, max_consequent, seq, item, nb)
+    locf = loc.join(broadcast_if_small(freq.select(item), n_freq), item, "left_semi")
     # The union of the cached per-level rule tables: rule-sized, recomputed from the
     # last checkpointed level if a cached block is lost.
     sup = rule_supports(locf, mc, max_antecedent, max_consequent, seq, item, nb).persist(StorageLevel.MEMORY_AND_DISK)
@@ -221,3 +230,100 @@ def binned(rules: DataFrame, bin_interval: float = 0.0) -> DataFrame:
     out = rules.withColumn("conf_bin", key)
     return out.orderBy(F.col("conf_bin").desc(), F.col("confidence").desc(),
                        F.col("antecedent").asc(), F.col("consequent").asc())
+
+
+def _bit(b: Column) -> Column:
+    """``1 << b`` as a bigint (exact: b <= 62)."""
+    return F.pow(F.lit(2.0), b).cast("bigint")
+
+
+def _masked_rules(loc: DataFrame, freq: DataFrame, n: int, mc: int, min_confidence: float, max_antecedent: int,
+                  max_consequent: int, seq: str, item: str, nb: int) -> DataFrame:
+    """The same level-wise growth with item sets as bit masks over the frequent items.
+
+    The dictionary (at most ``MASK_ITEMS`` item names, ordered, so bit order = item
+    order) is a parameter-sized constant. Growth tests become bit operations, the
+    per-rule counts group by two longs instead of two arrays, and the level tables
+    shrink; masks are decoded to sorted item arrays only for the final rules."""
+    names = sorted(r[0] for r in freq.select(item).collect())
+    code = F.create_map(*[x for i, name in enumerate(names) for x in (F.lit(name), F.lit(i))])
+    c = (loc.join(broadcast_if_small(freq.select(item), len(names)), item, "left_semi")
+         .select(F.col(seq).alias("_s"), F.element_at(code, F.col(item)).cast("int").alias("_cb"),
+                 F.col("first").alias("_cf"), F.col("last").alias("_cl"))
+         .withColumn("_cm", _bit(F.col("_cb"))))
+    a = c.select("_s", F.col("_cm").alias("X"), F.col("_cb").alias("xl"), F.col("_cf").alias("fx"))
+    b = c.select("_s", F.col("_cm").alias("Y"), F.col("_cb").alias("yl"), F.col("_cl").alias("ly"))
+    occ = a.join(b, "_s").filter((F.col("X") != F.col("Y")) & (F.col("fx") < F.col("ly")))
+
+    levels = []
+    while True:
+        occ = occ.persist(StorageLevel.MEMORY_AND_DISK)
+        sup = (occ.groupBy("X", "Y", "xl").agg(F.count(F.lit(1)).alias("support"))
+               .filter(F.col("support") >= mc)).persist(StorageLevel.MEMORY_AND_DISK)
+        ns = sup.count()
+        if ns == 0:
+            occ.unpersist()
+            break
+        levels.append(sup)
+        kept = occ.join(broadcast_if_small(sup.select("X", "Y"), ns), ["X", "Y"], "left_semi")
+        kept = bucketed_table(kept.select("_s", "X", "Y", "fx", "ly", "xl", "yl"), "_s", nb, "rule_level")
+        occ.unpersist()
+        occ = kept
+
+        right_ok = F.bit_count("X") == 1
+        if max_consequent:
+            right_ok = right_ok & (F.bit_count("Y") < max_consequent)
+        right = (occ.filter(right_ok).join(c, "_s")
+                 .filter((F.col("_cb") > F.col("yl")) & (F.col("X").bitwiseAND(F.col("_cm")) == 0)
+                         & (F.col("_cl") > F.col("fx")))
+                 .select("_s", "X", F.col("Y").bitwiseOR(F.col("_cm")).alias("Y"), "fx",
+                         F.least("ly", "_cl").alias("ly"), "xl", F.col("_cb").alias("yl")))
+        left_src = occ if not max_antecedent else occ.filter(F.bit_count("X") < max_antecedent)
+        left = (left_src.join(c, "_s")
+                .filter((F.col("_cb") > F.col("xl")) & (F.col("Y").bitwiseAND(F.col("_cm")) == 0)
+                        & (F.col("_cf") < F.col("ly")))
+                .select("_s", F.col("X").bitwiseOR(F.col("_cm")).alias("X"), "Y",
+                        F.greatest("fx", "_cf").alias("fx"), "ly", F.col("_cb").alias("xl"), "yl"))
+        occ = right.unionByName(left)
+
+    if not levels:
+        return levels_empty(loc).select("antecedent", "consequent", "support",
+                                        F.lit(0.0).alias("support_rel"), F.lit(0.0).alias("confidence"))
+    sup = levels[0]
+    for lv in levels[1:]:
+        sup = sup.unionByName(lv)
+    sup = sup.persist(StorageLevel.MEMORY_AND_DISK)
+
+    # Antecedent cover, grown by prefix: X minus its highest item (bit xl) is the
+    # antecedent of the parent rule, so cover(X) extends cover(prefix) by an equi-join
+    # on (sequence, item).
+    ante = sup.select("X", "xl").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    cs = c.select("_s", "_cb", "_cm")
+    cov = cut_lineage(cs.join(ante.filter(F.bit_count("X") == 1).select(F.col("X").alias("_cm")), "_cm")
+                      .select(F.col("_cm").alias("X"), "_s"))
+    parts = [cov.groupBy("X").agg(F.count(F.lit(1)).alias("cover"))]
+    size = 1
+    while True:
+        need = ante.filter(F.bit_count("X") == size + 1)
+        if need.isEmpty():
+            break
+        need = need.select("X", (F.col("X") - _bit(F.col("xl"))).alias("_p"), F.col("xl").alias("_cb"))
+        cov = cut_lineage(cov.select(F.col("X").alias("_p"), "_s").join(need, "_p")
+                          .join(cs.select("_s", "_cb"), ["_s", "_cb"]).select("X", "_s"))
+        parts.append(cov.groupBy("X").agg(F.count(F.lit(1)).alias("cover")))
+        size += 1
+    cover = parts[0]
+    for p in parts[1:]:
+        cover = cover.unionByName(p)
+
+    dictionary = F.array(*[F.lit(x) for x in names])
+
+    def decode(mask: str) -> Column:
+        return F.filter(dictionary, lambda x, i: F.col(mask).bitwiseAND(_bit(i)) != 0)
+
+    rules = sup.join(cover, "X")
+    return rules.select(
+        decode("X").alias("antecedent"), decode("Y").alias("consequent"), "support",
+        (F.col("support") / F.lit(float(n))).alias("support_rel"),
+        (F.col("support") / F.col("cover")).alias("confidence"),
+    ).filter(F.col("confidence") >= F.lit(min_confidence))
