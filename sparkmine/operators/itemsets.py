@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from sparkmine.session import broadcast_if_small, bucketed_table, shuffle_partitions
 
 MAX_RULE_ITEMS = 20  # 2^k subsets per itemset when building rules
+MASK_ITEMS = 62      # up to this many frequent items, sets travel as bits of one bigint
 
 
 def _check_fraction(name: str, v: float) -> None:
@@ -58,7 +59,7 @@ def item_support(baskets: DataFrame, mode: str = "transaction", basket: str = "b
 
 def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | None = None,
                       mode: str = "transaction", basket: str = "basket_id", item: str = "item",
-                      n: int | None = None) -> DataFrame:
+                      n: int | None = None, mask_items: int = MASK_ITEMS) -> DataFrame:
     """All frequent itemsets: ``(items array<string> sorted, size int, support bigint)``."""
     _check_fraction("min_support", min_support)
     if mode not in ("transaction", "occurrence"):
@@ -88,7 +89,34 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
     # Baskets' frequent items only (repeats already gone); a broadcast semi-join keeps
     # the basket partitioning.
     tx = tx_all.join(broadcast_if_small(f1.select(F.col(item).alias("_i")), n1), "_i", "left_semi")
-    occ = tx.select("_b", F.array("_i").alias("items"), F.col("_i").alias("_last"))
+    # With few frequent items, a set is the bigint of its items' bits (bit = rank of the
+    # item in a parameter-sized dictionary, so bit order = item order); otherwise a
+    # sorted array. Levels are decoded to sorted arrays as they are emitted.
+    masked = n1 <= mask_items
+    if masked:
+        names = sorted(r[0] for r in f1.select(item).collect())
+        code = F.create_map(*[x for i, name in enumerate(names) for x in (F.lit(name), F.lit(i))])
+        tx = tx.select("_b", F.try_element_at(code, F.col("_i")).cast("int").alias("_i"))
+        dictionary = F.array(*[F.lit(x) for x in names])
+
+        def one(c: Column) -> Column:
+            return _pow2(c)
+
+        def grow(items: Column, c: Column) -> Column:
+            return items.bitwiseOR(_pow2(c))
+
+        def decode(items: Column) -> Column:
+            return F.filter(dictionary, lambda x, i: items.bitwiseAND(_pow2(i)) != 0)
+    else:
+        def one(c: Column) -> Column:
+            return F.array(c)
+
+        def grow(items: Column, c: Column) -> Column:
+            return F.concat(items, F.array(c))
+
+        def decode(items: Column) -> Column:
+            return items
+    occ = tx.select("_b", one(F.col("_i")).alias("items"), F.col("_i").alias("_last"))
 
     k = 2
     while max_size is None or k <= max_size:
@@ -96,7 +124,7 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
         # Candidate occurrences of this level (co-partitioned join on the basket),
         # computed once and reused for the counts and the next occurrence table.
         cand = (occ.join(nxt, "_b").filter(F.col("_next") > F.col("_last"))
-                .select("_b", F.concat("items", F.array("_next")).alias("items"), F.col("_next").alias("_last"))
+                .select("_b", grow(F.col("items"), F.col("_next")).alias("items"), F.col("_next").alias("_last"))
                 .persist(StorageLevel.MEMORY_AND_DISK))
         fk = (cand.groupBy("items").agg(F.count(F.lit(1)).alias("support"))
               .filter(F.col("support") >= F.lit(thr))).persist(StorageLevel.MEMORY_AND_DISK)
@@ -104,7 +132,7 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
         if nk == 0:
             cand.unpersist()
             break
-        levels.append(fk.select("items", F.lit(k).alias("size"), "support"))
+        levels.append(fk.select(decode(F.col("items")).alias("items"), F.lit(k).alias("size"), "support"))
         # Frequent sets broadcast behind their counted size: the semi-join keeps the
         # basket partitioning for the next level.
         occ = bucketed_table(cand.join(broadcast_if_small(fk.select("items"), nk), "items", "left_semi"),

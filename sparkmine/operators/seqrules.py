@@ -248,7 +248,7 @@ def _masked_rules(loc: DataFrame, freq: DataFrame, n: int, mc: int, min_confiden
     names = sorted(r[0] for r in freq.select(item).collect())
     code = F.create_map(*[x for i, name in enumerate(names) for x in (F.lit(name), F.lit(i))])
     c = (loc.join(broadcast_if_small(freq.select(item), len(names)), item, "left_semi")
-         .select(F.col(seq).alias("_s"), F.element_at(code, F.col(item)).cast("int").alias("_cb"),
+         .select(F.col(seq).alias("_s"), F.try_element_at(code, F.col(item)).cast("int").alias("_cb"),
                  F.col("first").alias("_cf"), F.col("last").alias("_cl"))
          .withColumn("_cm", _bit(F.col("_cb"))))
     a = c.select("_s", F.col("_cm").alias("X"), F.col("_cb").alias("xl"), F.col("_cf").alias("fx"))

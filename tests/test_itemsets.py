@@ -3,6 +3,8 @@
 import itertools
 import random
 
+import pytest
+
 from sparkmine.operators import itemsets as I
 
 
@@ -38,11 +40,13 @@ def _brute(baskets, min_support, mode):
     return out
 
 
-def test_random_itemsets_and_rules(spark):
+@pytest.mark.parametrize("mask_items", [I.MASK_ITEMS, 0])
+def test_random_itemsets_and_rules(spark, mask_items):
+    """Bit-mask sets (few frequent items) and array sets (forced) against brute force."""
     rnd = random.Random(3)
     baskets = [[rnd.choice("abcdefg") for _ in range(rnd.randint(0, 6))] or [""] for _ in range(120)]
     for mode in ("transaction", "occurrence"):
-        fi = I.frequent_itemsets(_baskets(spark, baskets), 0.05, mode=mode, n=len(baskets))
+        fi = I.frequent_itemsets(_baskets(spark, baskets), 0.05, mode=mode, n=len(baskets), mask_items=mask_items)
         got = {tuple(r["items"]): r.support for r in fi.collect()}
         exp = _brute(baskets, 0.05, mode)
         assert got == exp
