@@ -55,8 +55,9 @@ def sentences(text: Column | str) -> Column:
 
 def ngrams_of(tokens: Column, n: int, sep: str = " ") -> Column:
     """All contiguous n-grams of a token array, each joined by ``sep``; empty if too short."""
+    # Each gram is built from n direct element lookups (no intermediate slice array).
     grams = F.transform(F.sequence(F.lit(0), F.size(tokens) - n),
-                        lambda i: F.array_join(F.slice(tokens, i + 1, n), sep))
+                        lambda i: F.concat_ws(sep, *[F.element_at(tokens, i + (j + 1)) for j in range(n)]))
     return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
