@@ -8,8 +8,11 @@ reference's cartesian products:
   joined to the basket's frequent items on ``basket`` with ``item > last`` (each
   k-set is built once, in sorted order), counted per itemset, thresholded, and
   semi-joined back so the next level only grows frequent sets (anti-monotone pruning).
-  Each level's occurrence table is checkpointed to the shared checkpoint folder, so a
-  lost executor never replays earlier levels and the plan does not grow.
+  The distinct basket table and each level's occurrence table are written as tables
+  bucketed by basket in the shared checkpoint folder: the basket join of the next
+  level needs no exchange, a lost executor never replays earlier levels, and the plan
+  does not grow. With at most ``MASK_ITEMS`` frequent items a set is one bigint of
+  item bits (decoded to a sorted array per level), otherwise a sorted array.
 * rules: every proper non-empty subset of a frequent set is exploded by bitmask and
   equi-joined to its own support. No cartesian product anywhere.
 

@@ -16,11 +16,15 @@ location table on the sequence key only:
 * left growth: add c > max(X), c not in Y, with first(c) < ly.
 
 Growing in increasing item order builds each rule exactly once. Candidates are computed
-once per level (cached), counted per rule (partial aggregation), thresholded,
-semi-joined back and checkpointed to the shared checkpoint folder, so the plan never
-grows and a lost executor never replays earlier levels. Antecedent coverage is grown the same way, as equi-joins on
-``(seq, item)``. The join key is the sequence; a hot sequence is split by AQE's skew
-join, and a sequence contributes at most one location row per distinct item.
+once per level (cached), counted per rule (partial aggregation), thresholded, and the
+surviving occurrences are kept with a size-checked broadcast semi-join and written as
+a table bucketed by sequence in the shared checkpoint folder (like the location
+table): the next level's growth joins need no exchange, the plan never grows and a
+lost executor never replays earlier levels. Antecedent coverage is grown by prefix,
+as equi-joins on ``(seq, item)``. The join key is the sequence; a hot sequence is
+split by AQE's skew join, and a sequence contributes at most one location row per
+distinct item. With at most ``MASK_ITEMS`` frequent items, X and Y are bigint masks
+of item bits (``_masked_rules``), otherwise sorted arrays.
 """
 
 from __future__ import annotations
