@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import chat, mixing, simhash, warc
-from sparkmine.llm.common import materialised, table
+from sparkmine.llm import chat, langid, mixing, permutation, quality, simhash, vafile, warc
+from sparkmine.llm.common import crc_bucket, materialised, table
 from sparkmine.session import checkpoint_dir, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,22 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+@query
+def op2_vafile_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
+
+
+ORACLE["op2_vafile_top_k"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from p)
+select query_id, rank, vec_id, score from r where rank <= 5"""
+
+
 @query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
@@ -62,6 +78,33 @@ select conv_id, count(*)::bigint as n_turns,
 from g group by conv_id"""
 
 
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_bucket(F.col("doc_id"), 4) == 2
+    net = langid.train(docs.filter(~held_out))
+    found = langid.identify(docs.select("doc_id", "text"), net)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+def quality_weights(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """Learned from the labels outside the held-out fifth of the ids."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return quality.train(docs, labels.filter(crc_bucket(F.col("doc_id"), 5) != 0))
+
+
+@query
+def op9_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.classify(docs, quality_weights(spark, docs, sf_dir), threshold=0.3)
+    return scored.select("doc_id", (crc_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 @query
 def op10_warc_content_addressed(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint_dir(spark)
