@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.llm import blocks
+from sparkmine.llm.blocks import stacked
 
 PIVOTS = 256
 PREFIX = 64
@@ -89,8 +90,8 @@ def nearest(rows: DataFrame, is_query: Column, *, k: int = 10, vec_id: str = "ve
     indexed = index(fine, chosen, width)
 
     def meet(block: pd.DataFrame, asking: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-        frame, x = blocks.stacked(block)
-        queries, q = blocks.stacked(asking)
+        frame, x = stacked(block)
+        queries, q = stacked(asking)
         ids, files = frame["id"].to_numpy(), inverted_files(np.array(frame["order"].tolist()), len(chosen))
         take = max(LEAST_CANDIDATES, int(np.ceil(candidates * len(x))))
         out = []

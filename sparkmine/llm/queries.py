@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import chat, langid, mixing, permutation, quality, simhash, vafile, warc
+from sparkmine.llm import bpe, chat, langid, mixing, permutation, quality, simhash, vafile, warc
 from sparkmine.llm.common import crc_bucket, materialised, table
 from sparkmine.session import checkpoint_dir, scratch_path
 
@@ -44,6 +44,20 @@ r as (select *, row_number() over (partition by query_id order by score desc, ve
 select query_id, rank, vec_id, score from r where rank <= 5"""
 
 
+def vocabulary(path: str | None = None) -> tuple[bpe.Ranks, str]:
+    """(ranks, pattern) of a public tokenizer; ``path``: its rank file."""
+    import public_tokenizers
+
+    return bpe.Ranks.read(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+@query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = vocabulary()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(bpe.encode(docs, ranks, pattern), ranks)
+
+
 @query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.llm import blocks
+from sparkmine.llm.blocks import stacked
 
 CELLS = 32
 READ = 32  # exact vectors read at once
@@ -84,8 +85,8 @@ def top_k(rows: DataFrame, is_query: Column, *, k: int = 5, vec_id: str = "vec_i
     fine = fine.withColumn("v", F.transform("v", lambda x: F.rint(F.floor(x * scale).cast("double"))))
 
     def meet(block: pd.DataFrame, asking: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-        frame, x = blocks.stacked(block)
-        queries, q = blocks.stacked(asking)
+        frame, x = stacked(block)
+        queries, q = stacked(asking)
         return search(x, frame["id"].to_numpy(), q, queries["id"].to_numpy(), k)
 
     return blocks.nearest(fine, fine.filter(is_query), meet, k, score="long", descending=True)
