@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.llm.common import materialised
+from sparkmine.llm.common import let, materialised
 
 TABLE_WORDS = 100_000
 TABLE_WORD_BYTES = 48
@@ -138,11 +138,6 @@ class Ranks:
         return ids
 
 
-def let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 @dataclass(frozen=True)
 class Tables:
     """Names and contents of the literal arrays that one expression binds."""

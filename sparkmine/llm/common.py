@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,11 @@ def crc_bucket(key: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % modulus, F.lit(-1)).cast("int")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once and standing in the plan once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: the lineage ends
     there, so a lost executor never replays what came before."""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import bpe, chat, langid, mixing, permutation, quality, simhash, vafile, warc
+from sparkmine.llm import bpe, chat, langid, mixing, permutation, quality, secret_scan, simhash, vafile, warc
 from sparkmine.llm.common import crc_bucket, materialised, table
 from sparkmine.session import checkpoint_dir, scratch_path
 
@@ -44,6 +44,15 @@ r as (select *, row_number() over (partition by query_id order by score desc, ve
 select query_id, rank, vec_id, score from r where rank <= 5"""
 
 
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = secret_scan.scan(docs, secret_scan.forest_for(docs), path="source")
+    f = found.select("doc_id", F.posexplode_outer("findings").alias("finding", "f")).filter(F.col("f").isNotNull())
+    return f.select("doc_id", "finding", "f.start", F.length("f.value").alias("length"),
+                    F.sha2("f.value", 256).alias("value_sha256"), "f.score", "f.is_secret")
+
+
 def vocabulary(path: str | None = None) -> tuple[bpe.Ranks, str]:
     """(ranks, pattern) of a public tokenizer; ``path``: its rank file."""
     import public_tokenizers
