@@ -292,8 +292,9 @@ def decode(ids: Column, ranks: Ranks) -> Column:
     return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))
 
 
-def digests(encoded: DataFrame, ranks: Ranks, doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of encoded rows."""
+def digests(encoded: DataFrame, ranks: Ranks, *, doc_id: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``keep``, n_tokens, ids_sha256 and decoded_sha256 of encoded rows."""
+    ids = F.col("ids")
     return encoded.select(
-        doc_id, F.size("ids").cast("long").alias("n_tokens"), F.sha2(little_endian(F.col("ids"), ranks), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+        doc_id, *keep, F.size(ids).cast("long").alias("n_tokens"), F.sha2(little_endian(ids, ranks), 256).alias("ids_sha256"),
+        F.sha2(decode(ids, ranks), 256).alias("decoded_sha256"))

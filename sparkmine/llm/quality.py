@@ -8,8 +8,8 @@ log(1 + n) and scaled to length 1 within words and within shapes. The score is t
 logistic of the sum of the weights of these places.
 
 Training takes a bounded sample: the ``max_train`` labelled rows with the smallest hash of
-their id. They are dealt to ``shards`` tasks, each of which goes through its rows several
-times with per-coordinate FTRL-proximal updates; the shards' weights are averaged.
+their id. They are dealt to up to ``shards`` tasks, each of which goes through its rows
+several times with per-coordinate FTRL-proximal updates; the shards' weights are averaged.
 
 Defined cases: null and empty texts have no n-gram and are scored by the bias alone; rows
 whose id is null are never trained on; labels other than 0 and 1 are left out, several
@@ -27,12 +27,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.llm.common import materialised
+
 BITS = 18
 MAX_TRAIN = 12_000
 SHARDS = 4
-EPOCHS = 3
+SHARD_ROWS = 2_000  # of fewer than twice as many rows one shard is made
+VISITS = 12_000  # of rows in a shard, over all its epochs
 CHUNK = 1 << 20  # bytes of a text hashed at once
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.5
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.005, 0.05
 
 _U = np.uint64
 _RANDOM = np.random.default_rng(2024).integers(1, 1 << 63, size=64, dtype=np.uint64) | _U(1)
@@ -147,12 +150,15 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int, epochs: int)
 
 
 def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-          max_train: int = MAX_TRAIN, shards: int = SHARDS, epochs: int = EPOCHS, bits: int = BITS) -> np.ndarray:
+          max_train: int = MAX_TRAIN, shards: int = SHARDS, bits: int = BITS) -> np.ndarray:
     """Weights learned from the texts of ``docs`` and ``labels`` (doc_id, label 0 or 1)."""
     order = F.xxhash64(F.lit(9), "id")
     chosen = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y"))
     chosen = chosen.filter(F.col("id").isNotNull() & F.col("y").isin(0, 1)).groupBy("id").agg(F.max("y").alias("y"))
-    chosen = chosen.orderBy(order, "id").limit(max_train)  # so many rows at most are broadcast
+    chosen = materialised(chosen.orderBy(order, "id").limit(max_train), "labelled")  # so many rows at most are broadcast
+    n = chosen.count()
+    shards = max(1, min(shards, n // SHARD_ROWS))
+    epochs = max(3, VISITS * shards // max(1, n))
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("text")).join(F.broadcast(chosen), "id")
     rows = rows.withColumn("shard", F.pmod(order, F.lit(shards)))
 

@@ -19,7 +19,7 @@ values within one bit of it, and every value links its fingerprints to the small
 Defined cases: null and blank texts have no shingle and fingerprint 0, linked like any
 other; fewer words than the shingle length make one shingle of all of them; repeated rows
 share fingerprint and group; a null id never names a group unless all its ids are null;
-an empty table gives no rows; other columns are kept.
+an empty table gives no rows; of other columns those asked for are kept.
 """
 
 from __future__ import annotations
@@ -89,9 +89,11 @@ def hamming_links(fingerprints: DataFrame, max_distance: int = 2, hot: int = HOT
     values = [
         fp if width == 64 else F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << width) - 1)) for low, width in segments]
 
+    def in_segment(i: int, array: Column) -> Column:
+        return F.transform(array, lambda v: F.struct(F.lit(i).alias("segment"), v.alias("value")))
+
     def exploded(arrays: list[Column]) -> DataFrame:
-        both = F.flatten(F.array(*[
-            F.transform(a, lambda v, i=i: F.struct(F.lit(i).alias("segment"), v.alias("value"))) for i, a in enumerate(arrays)]))
+        both = F.flatten(F.array(*[in_segment(i, a) for i, a in enumerate(arrays)]))
         return fingerprints.select("fp", F.explode(both).alias("s")).select("fp", "s.segment", "s.value")
 
     table = exploded([F.array(v) for v in values])
@@ -111,16 +113,15 @@ def hamming_links(fingerprints: DataFrame, max_distance: int = 2, hot: int = HOT
     return links if stars is None else links.union(stars)
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
-                    max_distance: int = 2) -> DataFrame:
-    """One row per row of ``docs``: its id, fingerprint (16 hex digits) and component_id,
-    the smallest id of its group."""
-    prints = materialised(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle).alias("fp")), "fingerprints")
-    classes = materialised(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (),
+                    shingle: int = 3, max_distance: int = 2) -> DataFrame:
+    """One row per row of ``docs``: its id, the columns ``keep``, fingerprint (16 hex
+    digits) and component_id, the smallest id of its group."""
+    prints = materialised(docs.select(doc_id, *keep, fingerprint(F.col(text), shingle).alias("__fp")), "fingerprints")
+    classes = materialised(prints.groupBy(F.col("__fp").alias("fp")).agg(F.min(doc_id).alias("least")), "classes")
     roots = connected_components(hamming_links(classes.select("fp"), max_distance))
     rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(groups, "root").select("fp", "component_id")
-    out = prints.join(named, "fp")
-    return out.select(
-        F.col("doc_id").alias(doc_id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(named, F.col("__fp") == F.col("fp")).select(
+        doc_id, *keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
