@@ -80,3 +80,16 @@ def sentence_ngrams(text: Column | str, n: int) -> Column:
     """n-grams that stay inside one sentence of ``SENTENCES(LOWER(text))``."""
     per_sentence = F.transform(sentences(text), lambda s: ngrams_of(s, n))
     return F.flatten(per_sentence)
+
+
+# What ends a sentence, and what stands between words, in plain sentences.
+PLAIN_SENTENCE_END = r"[.!?\n]+"
+
+
+def plain_sentences(text: Column | str) -> Column:
+    """Sentences by a plain rule that any engine can state: a sentence ends at ``.``, ``!``,
+    ``?`` or a line break; words are runs of a-z of the lower-cased text. Array of
+    sentences, each an array of words; without the language rules of ``sentences``."""
+    t = F.col(text) if isinstance(text, str) else text
+    parts = F.split(F.lower(t), PLAIN_SENTENCE_END, -1)
+    return F.transform(parts, lambda s: F.filter(F.split(s, SIMPLE_TOKEN_SPLIT, -1), lambda w: w != ""))

@@ -13,13 +13,16 @@ reference's cartesian products:
   level needs no exchange, a lost executor never replays earlier levels, and the plan
   does not grow. With at most ``MASK_ITEMS`` frequent items a set is one bigint of
   item bits (decoded to a sorted array per level), otherwise a sorted array.
-* rules: every proper non-empty subset of a frequent set is exploded by bitmask and
-  equi-joined to its own support. No cartesian product anywhere.
+* rules: consequents grow item by item, each step an equi-join on the itemset and one on
+  the antecedent, pruned by confidence. No cartesian product anywhere.
 
 The join key is the basket, so the work per basket is the number of frequent sets it
-contains; a hot basket is split by AQE's skew-join handling, and repeats inside a
-basket are removed before the join, so a basket never holds more rows than there are
-distinct frequent items.
+contains. Repeats inside a basket are removed before the join, so a basket never holds
+more rows than there are distinct frequent items. The bucketed joins have no exchange
+that AQE could split: baskets of over ``HOT_ITEMS`` frequent items are joined apart, with
+each one's sets dealt to ``SALTS`` tasks and its items copied to them.
+
+Rows whose item is null are left out (their baskets don't count by them).
 
 Support semantics: sets of two or more items count baskets. Single items count
 baskets (``mode='transaction'``) or occurrences (``mode='occurrence'``, as the
@@ -32,10 +35,10 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.session import broadcast_if_small, bucketed_table, shuffle_partitions
+from sparkmine.operators.spread import hot_keys, spread_join
+from sparkmine.session import broadcast_if_small, bucketed_table, cached, fits_broadcast, shuffle_partitions
 
-MAX_RULE_ITEMS = 20  # 2^k subsets per itemset when building rules
-MASK_ITEMS = 62      # up to this many frequent items, sets travel as bits of one bigint
+MASK_ITEMS = 62  # up to this many frequent items, sets travel as bits of one bigint
 
 
 def _check_fraction(name: str, v: float) -> None:
@@ -73,8 +76,9 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
     # every level runs without an exchange.
     spark = baskets.sparkSession
     nb = shuffle_partitions(spark)
+    baskets = baskets.filter(F.col(item).isNotNull())
     tx_all = bucketed_table(baskets.select(F.col(basket).alias("_b"), F.col(item).alias("_i"))
-                            .repartition(nb, "_b").distinct(), "_b", nb, "baskets")
+                            .repartition(nb, "_b").distinct(), "_b", nb, "baskets", aligned=True)
     if n is None:
         n = tx_all.agg(F.count_distinct("_b")).first()[0]
     thr = support_threshold(n, min_support)
@@ -83,7 +87,7 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
         singles = tx_all.groupBy(F.col("_i").alias(item)).agg(F.count(F.lit(1)).alias("support"))
     else:
         singles = item_support(baskets, mode, basket, item)
-    f1 = singles.filter(F.col("support") >= F.lit(thr)).persist(StorageLevel.MEMORY_AND_DISK)
+    f1 = cached(singles.filter(F.col("support") >= F.lit(thr)))
     n1 = f1.count()
     levels = [f1.select(F.array(F.col(item)).alias("items"), F.lit(1).alias("size"), "support")]
     if (max_size is not None and max_size < 2) or n1 == 0:
@@ -120,17 +124,18 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
         def decode(items: Column) -> Column:
             return items
     occ = tx.select("_b", one(F.col("_i")).alias("items"), F.col("_i").alias("_last"))
+    hot = hot_keys(tx, "_b")
 
     k = 2
     while max_size is None or k <= max_size:
         nxt = tx.select("_b", F.col("_i").alias("_next"))
         # Candidate occurrences of this level (co-partitioned join on the basket),
         # computed once and reused for the counts and the next occurrence table.
-        cand = (occ.join(nxt, "_b").filter(F.col("_next") > F.col("_last"))
+        cand = (spread_join(occ, nxt, "_b", hot).filter(F.col("_next") > F.col("_last"))
                 .select("_b", grow(F.col("items"), F.col("_next")).alias("items"), F.col("_next").alias("_last"))
                 .persist(StorageLevel.MEMORY_AND_DISK))
-        fk = (cand.groupBy("items").agg(F.count(F.lit(1)).alias("support"))
-              .filter(F.col("support") >= F.lit(thr))).persist(StorageLevel.MEMORY_AND_DISK)
+        fk = cached(cand.groupBy("items").agg(F.count(F.lit(1)).alias("support"))
+                    .filter(F.col("support") >= F.lit(thr)))
         nk = fk.count()
         if nk == 0:
             cand.unpersist()
@@ -138,8 +143,9 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
         levels.append(fk.select(decode(F.col("items")).alias("items"), F.lit(k).alias("size"), "support"))
         # Frequent sets broadcast behind their counted size: the semi-join keeps the
         # basket partitioning for the next level.
-        occ = bucketed_table(cand.join(broadcast_if_small(fk.select("items"), nk), "items", "left_semi"),
-                             "_b", nb, "itemset_level")
+        wide = 16 if masked else 32 * (k + 1)  # bytes of a set
+        occ = bucketed_table(cand.join(broadcast_if_small(fk.select("items"), nk, wide), "items", "left_semi"),
+                             "_b", nb, "itemset_level", aligned=hot is None and fits_broadcast(nk, wide))
         cand.unpersist()
         k += 1
 
@@ -153,40 +159,52 @@ def _pow2(i: Column) -> Column:
     return F.pow(F.lit(2), i).cast("bigint")
 
 
-def _bit(mask: Column, i: Column) -> Column:
-    return F.when(mask.bitwiseAND(_pow2(i)) != 0, 1).otherwise(0)
+def _rules(itemsets: DataFrame, min_confidence: float) -> DataFrame:
+    """Rules grown consequent by consequent: from ``I \\ Y => Y`` to one more item in Y.
+
+    Moving an item from the antecedent to the consequent never raises the confidence, so
+    only rules that are confident enough grow, and only by items that are a confident
+    consequent of I by themselves. Each step is an equi-join on the itemset and one on the
+    antecedent; the number of steps is the size of the largest set less one."""
+    multi = itemsets.filter(F.col("size") >= 2)
+    largest = multi.agg(F.max("size")).first()[0] or 0
+    cover = itemsets.select(F.col("items").alias("antecedent"), F.col("support").alias("_cover"))
+
+    def confident(rows: DataFrame) -> DataFrame:
+        antecedent = F.array_except("items", "consequent")
+        return rows.withColumn("antecedent", antecedent).join(cover, "antecedent").withColumn(
+            "confidence", F.col("support") / F.col("_cover")).drop("_cover").filter(F.col("confidence") >= F.lit(min_confidence))
+
+    level = cached(confident(multi.select("items", "size", "support", F.explode("items").alias("_y"))
+                             .withColumn("consequent", F.array("_y"))))
+    single = level.select("items", F.col("_y").alias("_next"))
+    found = [level]
+    for n in range(2, largest):
+        grown = level.filter(F.col("size") > n).join(single, "items").filter(F.col("_next") > F.col("_y"))
+        level = cached(confident(grown.select(
+            "items", "size", "support", F.col("_next").alias("_y"),
+            F.concat("consequent", F.array("_next")).alias("consequent"))))
+        if level.isEmpty():
+            break
+        found.append(level)
+    out = [x.select("antecedent", "consequent", "support", "confidence") for x in found]
+    rules = out[0]
+    for x in out[1:]:
+        rules = rules.unionByName(x)
+    return rules
 
 
 def candidate_rules(itemsets: DataFrame) -> DataFrame:
     """Every rule ``A => I \\ A`` for a frequent I (size >= 2) and proper non-empty A,
-    with support of I and confidence sup(I) / sup(A); no confidence filter.
-
-    Subsets are exploded from a bitmask (2^k - 2 per set), then each antecedent is
-    equi-joined to its own support row: a hash/sort-merge join on the itemset, never a
-    cartesian superset x subset pairing.
-    """
-    multi = itemsets.filter(F.col("size") >= 2)
-    too_big = multi.filter(F.col("size") > MAX_RULE_ITEMS)
-    if not too_big.isEmpty():
-        raise ValueError(f"itemsets above {MAX_RULE_ITEMS} items; cap max_size")
-    masks = multi.select(
-        "items", "support",
-        F.explode(F.sequence(F.lit(1).cast("bigint"), _pow2(F.col("size")) - 2)).alias("_mask"))
-    split = masks.select(
-        F.filter("items", lambda x, i: _bit(F.col("_mask"), i) == 1).alias("antecedent"),
-        F.filter("items", lambda x, i: _bit(F.col("_mask"), i) == 0).alias("consequent"),
-        "support",
-    )
-    ante = itemsets.select(F.col("items").alias("antecedent"), F.col("support").alias("_ante_support"))
-    return split.join(ante, "antecedent").select(
-        "antecedent", "consequent", "support",
-        (F.col("support") / F.col("_ante_support")).alias("confidence"))
+    with support of I and confidence sup(I) / sup(A); no confidence filter. A set of k
+    items has 2^k - 2 of them: ask for a confidence where sets are large."""
+    return _rules(itemsets, 0.0)
 
 
 def association_rules(itemsets: DataFrame, min_confidence: float) -> DataFrame:
     """Rules with confidence ``>= min_confidence``."""
     _check_fraction("min_confidence", min_confidence)
-    return candidate_rules(itemsets).filter(F.col("confidence") >= F.lit(min_confidence))
+    return _rules(itemsets, min_confidence)
 
 
 def predict(rules: DataFrame, items: list[str], min_confidence: float) -> DataFrame:

@@ -1,89 +1,134 @@
 """K-means over ``(id, v array<double>)`` points.
 
-* assign (nearest centroid, squared Euclidean, ties to the lowest centroid id): the k
-  centroids (k x d numbers, bounded by the parameters, never by the data) travel with
-  the task as literal arrays; distances are ``aggregate(zip_with(..))`` expressions and
-  the winner is the min of ``struct(dist, cid)``, all JVM-side in codegen. Above
-  ``INLINE_LIMIT`` numbers the same is done with numpy inside ``mapInPandas`` over
-  Arrow batches, with the centroids shipped once per task.
-* update (mean of members): points are exploded to ``(cid, dim, x)`` and averaged per
-  ``(cid, dim)`` with map-side partial aggregation, so only k x d partial sums per task
-  cross the shuffle; a hot cluster costs nothing extra.
+* assign (nearest centroid, squared Euclidean, exact, ties to the lowest centroid id): one
+  vectorised numpy pass over each Arrow batch, with the k x d centroids (bounded by the
+  parameters, never by the data) shipped with the task.
+* update (mean of members): each task sums its members into one row per centroid, so k
+  rows of d sums per task cross the shuffle; a hot cluster costs nothing extra.
 * fit: a driver loop that collects only the k x d new centroid values per round. An
   empty cluster disappears (k shrinks), as in the reference. Points are persisted
   (memory and disk, recomputed from the parquet scan if an executor is lost).
+
+A point that is null, has another length than the centroids, or holds a null or NaN has no
+nearest centroid: its ``cid`` and ``dist`` are null, and it belongs to no cluster.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark import StorageLevel, cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-INLINE_LIMIT = 200_000  # centroid numbers kept as expression literals
-DIST_DIGITS = 9         # distances are rounded before comparison, so ties are exact
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need numpy and pandas alone
 
+Centroids = Sequence[tuple[int, Sequence[float]]]
+ROWS_AT_ONCE = 4096
+# A centroid that moves by no more than this share of its length has stayed: sums in
+# another order differ by as much.
+STAYED = 1e-12
 
-def _sqdist(v: Column, c: Sequence[float]) -> Column:
-    lit = F.array(*[F.lit(float(x)) for x in c])
-    diffs = F.zip_with(v, lit, lambda a, b: (a - b) * (a - b))
-    return F.aggregate(diffs, F.lit(0.0), lambda acc, x: acc + x)
 
+class Fit(NamedTuple):
+    centroids: list[tuple[int, list[float]]]
+    rounds: int
+    converged: bool
 
-def assign(points: DataFrame, centroids: Sequence[tuple[int, Sequence[float]]], vec: str = "v",
-           digits: int | None = DIST_DIGITS) -> DataFrame:
-    """Adds ``cid`` (nearest centroid id) and ``dist`` (squared distance) to every point."""
+
+def _matrix(centroids: Centroids) -> tuple[np.ndarray, np.ndarray]:
     if not centroids:
         raise ValueError("no centroids")
-    size = len(centroids) * len(centroids[0][1])
-    if size > INLINE_LIMIT:
-        return _assign_numpy(points, centroids, vec, digits)
-    cands = []
-    for cid, c in centroids:
-        d = _sqdist(F.col(vec), c)
-        if digits is not None:
-            d = F.round(d, digits)
-        cands.append(F.struct(d.alias("dist"), F.lit(int(cid)).cast("bigint").alias("cid")))
-    best = F.array_min(F.array(*cands))
-    return points.withColumn("_best", best).select(
-        *[c for c in points.columns], F.col("_best.cid").alias("cid"), F.col("_best.dist").alias("dist"))
-
-
-def _assign_numpy(points: DataFrame, centroids, vec: str, digits: int | None) -> DataFrame:
-    import numpy as np
-
-    ids = np.array([int(c) for c, _ in centroids], dtype=np.int64)
-    cmat = np.array([list(map(float, v)) for _, v in centroids], dtype=np.float64)
-    order = np.argsort(ids, kind="stable")
-    ids, cmat = ids[order], cmat[order]
-    schema = points.schema.simpleString()[len("struct<"):-1] + ",cid:bigint,dist:double"
-
-    def run(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.stack(pdf[vec].to_numpy())
-            dist = np.empty((len(x), len(ids)))
-            for j in range(len(ids)):  # k passes over the batch, one d-wide row each
-                diff = x - cmat[j]
-                dist[:, j] = np.einsum("ij,ij->i", diff, diff)
-            if digits is not None:
-                dist = np.round(dist, digits)
-            best = dist.argmin(axis=1)  # first minimum = lowest id on ties
-            out = pdf.copy()
-            out["cid"] = ids[best]
-            out["dist"] = dist[np.arange(len(x)), best]
+    ordered = sorted((int(c), [float(x) for x in v]) for c, v in centroids)
+    return np.array([c for c, _ in ordered]), np.array([v for _, v in ordered], dtype=np.float64)
+
+
+def _points(vectors: pd.Series, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows that are points of ``dims`` numbers, their matrix)."""
+    usable = [i for i, v in enumerate(vectors) if v is not None and len(v) == dims]
+    x = np.array([np.asarray(vectors.iat[i], dtype=np.float64) for i in usable]).reshape(len(usable), dims)
+    whole = ~np.isnan(x).any(axis=1)  # a null arrives as NaN
+    return np.array(usable, dtype=np.int64)[whole], x[whole]
+
+
+def _nearest(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the nearest centroid, squared distance); of equal ones the first."""
+    best, dist = np.zeros(len(x), dtype=np.int64), np.full(len(x), np.inf)
+    for j, c in enumerate(centroids):
+        d = ((x - c) ** 2).sum(axis=1)
+        nearer = d < dist
+        best[nearer], dist[nearer] = j, d[nearer]
+    return best, dist
+
+
+def assign(points: DataFrame, centroids: Centroids, vec: str = "v") -> DataFrame:
+    """Adds ``cid`` (nearest centroid id) and ``dist`` (squared distance) to every point."""
+    ids, matrix = _matrix(centroids)
+    kind = T.StructType([T.StructField("cid", T.LongType()), T.StructField("dist", T.DoubleType())])
+
+    @F.pandas_udf(kind)
+    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for vectors in batches:
+            rows, x = _points(vectors, matrix.shape[1])
+            out = pd.DataFrame({"cid": pd.array([None] * len(vectors), dtype="Int64"), "dist": pd.array([None] * len(vectors), dtype="Float64")})
+            for at in range(0, len(rows), ROWS_AT_ONCE):
+                best, dist = _nearest(x[at:at + ROWS_AT_ONCE], matrix)
+                out.iloc[rows[at:at + ROWS_AT_ONCE], 0] = ids[best]
+                out.iloc[rows[at:at + ROWS_AT_ONCE], 1] = dist
             yield out
 
-    return points.mapInPandas(run, schema)
+    kept = [c for c in points.columns if c not in ("cid", "dist")]
+    return points.withColumn("_n", nearest(F.col(vec))).select(*kept, F.col("_n.cid").alias("cid"), F.col("_n.dist").alias("dist"))
+
+
+def _means(partials: DataFrame) -> DataFrame:
+    """(cid, n, sums) of each task to the long form (cid, dim, x)."""
+    long = partials.select("cid", "n", F.posexplode("sums").alias("dim", "s"))
+    return long.groupBy("cid", "dim").agg((F.sum("s") / F.sum("n")).alias("x"))
+
+
+_PARTIAL = "cid long, n long, sums array<double>"
 
 
 def update(assigned: DataFrame, vec: str = "v") -> DataFrame:
     """New centroids in long form ``(cid, dim, x)``: per-dimension means of members."""
-    long = assigned.select("cid", F.posexplode(vec).alias("dim", "x"))
-    return long.groupBy("cid", "dim").agg(F.avg("x").alias("x"))
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, list] = {}
+        for batch in batches:
+            member = batch[batch["cid"].notna()]
+            for cid, own in member.groupby("cid")[vec]:
+                x = np.array(own.tolist(), dtype=np.float64)
+                seen = total.setdefault(int(cid), [0, np.zeros(x.shape[1])])
+                seen[0] += len(x)
+                seen[1] += x.sum(axis=0)
+        yield pd.DataFrame([(c, n, s) for c, (n, s) in total.items()], columns=["cid", "n", "sums"])
+
+    return _means(assigned.select("cid", vec).mapInPandas(sums, _PARTIAL))
+
+
+def step(points: DataFrame, centroids: Centroids, vec: str = "v") -> DataFrame:
+    """Assign and update in one pass: the new centroids as ``(cid, dim, x)``."""
+    ids, matrix = _matrix(centroids)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, total = np.zeros(len(ids), dtype=np.int64), np.zeros(matrix.shape)
+        for batch in batches:
+            _, x = _points(batch[vec], matrix.shape[1])
+            for at in range(0, len(x), ROWS_AT_ONCE):
+                part = x[at:at + ROWS_AT_ONCE]
+                best, _ = _nearest(part, matrix)
+                n += np.bincount(best, minlength=len(ids))
+                for j in np.unique(best):
+                    total[j] += part[best == j].sum(axis=0)
+        yield pd.DataFrame([(int(ids[j]), int(n[j]), total[j]) for j in np.flatnonzero(n)], columns=["cid", "n", "sums"])
+
+    return _means(points.select(vec).mapInPandas(sums, _PARTIAL))
 
 
 def _collect_centroids(long: DataFrame) -> list[tuple[int, list[float]]]:
@@ -104,35 +149,34 @@ def initial_centroids(points: DataFrame, k: int, id_col: str = "vec_id", vec: st
 
 
 def movement(old: list[tuple[int, list[float]]], new: list[tuple[int, list[float]]]) -> float:
-    """Total squared movement of the centroids that survived."""
-    prev = dict(old)
-    tot = 0.0
+    """Total squared movement of the centroids that survived, without rounding noise."""
+    prev, total = dict(old), 0.0
     for cid, v in new:
-        p = prev[cid]
-        tot += sum((a - b) * (a - b) for a, b in zip(p, v))
-    return tot
+        moved = sum((a - b) * (a - b) for a, b in zip(prev[cid], v))
+        if moved > STAYED**2 * sum(a * a for a in v):
+            total += moved
+    return total
 
 
 def fit(points: DataFrame, k: int | None = None, init: list[tuple[int, list[float]]] | None = None,
         vec: str = "v", id_col: str = "vec_id", seed: int | None = None, max_iter: int = 100,
-        tol: float = 0.0) -> tuple[list[tuple[int, list[float]]], int]:
+        tol: float = 0.0) -> Fit:
     """Iterate assign + update until the movement is ``<= tol`` (0 = unchanged) or
-    ``max_iter`` rounds. Returns (centroids, rounds)."""
+    ``max_iter`` rounds; ``converged`` tells which. No points: no centroids."""
     if init is None:
         if not k:
             raise ValueError("give k or init")
         init = initial_centroids(points, k, id_col, vec, seed)
-    pts = points.select(id_col, vec).persist(StorageLevel.MEMORY_AND_DISK)
-    cents = init
-    rounds = 0
+    pts = points.select(vec).persist(StorageLevel.MEMORY_AND_DISK)
+    cents, rounds, converged = init, 0, not init
     try:
-        while rounds < max_iter:
-            new = _collect_centroids(update(assign(pts, cents, vec), vec))
+        while rounds < max_iter and not converged:
+            new = _collect_centroids(step(pts, cents, vec))
             rounds += 1
-            moved = movement(cents, new)
+            converged = len(new) == len(cents) and movement(cents, new) <= tol
             cents = new
-            if moved <= tol:
+            if not cents:
                 break
     finally:
         pts.unpersist()
-    return cents, rounds
+    return Fit(cents, rounds, converged)

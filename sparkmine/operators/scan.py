@@ -102,8 +102,12 @@ def grouped_scan(df: DataFrame, group: str | Sequence[str], order: str | Sequenc
         *([F.lag("_last").over(by_pid).alias("_c_last")] if lags else []),
         F.row_number().over(by_pid).alias("_piece"),
     ).filter(F.col("_piece") > 1).drop("_piece")
+    # Null is a group like any other, so the carry-in matches null-safely.
+    carry = carry.select(*[F.col(c).alias(f"_c_key_{c}") for c in (_PID, *g)],
+                         *[c for c in carry.columns if c not in (_PID, *g)])
+    on = [local[c].eqNullSafe(carry[f"_c_key_{c}"]) for c in (_PID, *g)]
 
-    out = local.join(F.broadcast(carry), [_PID, *g], "left")
+    out = local.join(F.broadcast(carry), on, "left")
     for name in sums:
         out = out.withColumn(name, F.col(f"_l_{name}") + F.coalesce(F.col(f"_c_{name}"), F.lit(0)))
     for name in lags:

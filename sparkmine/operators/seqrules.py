@@ -5,7 +5,7 @@ Contract (closed form of rule growth): with first/last position of each item in
 sequence s, ``X => Y`` holds in s iff ``max_{x in X} first_s(x) < min_{y in Y} last_s(y)``.
 support = sequences where it holds; confidence = support / sequences holding all of X.
 A rule is kept iff X, Y are disjoint sets of frequent items, support >= ceil(min_support * n)
-and confidence >= min_confidence.
+and confidence >= min_confidence. Rows whose item is null are left out.
 
 Spark shape: one location table ``(seq, item, first, last)`` of frequent items and an
 occurrence table ``(X, Y, seq, fx = max first of X, ly = min last of Y)`` for the
@@ -21,9 +21,10 @@ surviving occurrences are kept with a size-checked broadcast semi-join and writt
 a table bucketed by sequence in the shared checkpoint folder (like the location
 table): the next level's growth joins need no exchange, the plan never grows and a
 lost executor never replays earlier levels. Antecedent coverage is grown by prefix,
-as equi-joins on ``(seq, item)``. The join key is the sequence; a hot sequence is
-split by AQE's skew join, and a sequence contributes at most one location row per
-distinct item. With at most ``MASK_ITEMS`` frequent items, X and Y are bigint masks
+as equi-joins on ``(seq, item)``. The join key is the sequence, which contributes at
+most one location row per distinct item; sequences of very many items are joined apart,
+spread over many tasks (``spread.py``), since bucketed joins have no exchange that AQE
+could split. With at most ``MASK_ITEMS`` frequent items, X and Y are bigint masks
 of item bits (``_masked_rules``), otherwise sorted arrays.
 """
 
@@ -36,10 +37,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.operators.sequences import item_locations
+from sparkmine.operators.spread import hot_keys, spread_join
+from sparkmine.session import broadcast_if_small, bucketed_table, cached, cut_lineage, fits_broadcast, shuffle_partitions
 
 # Up to this many frequent items, item sets are encoded as bits of one bigint.
 MASK_ITEMS = 62
-from sparkmine.session import broadcast_if_small, bucketed_table, cut_lineage, shuffle_partitions
 
 
 def _check(min_support: float, min_confidence: float, max_antecedent: int, max_consequent: int) -> None:
@@ -65,8 +67,8 @@ def frequent_items(seqs: DataFrame, min_cnt: int, seq: str = "seq_id", item: str
     """``(locations of frequent items (seq, item, first, last), frequent items (item, nseq))``."""
     loc = item_locations(seqs, seq, item, pos)
     counts = loc.groupBy(item).agg(F.count(F.lit(1)).alias("nseq"))
-    freq = counts.filter(F.col("nseq") >= min_cnt)
-    locf = loc.join(freq.select(item), item, "left_semi")
+    freq = cached(counts.filter(F.col("nseq") >= min_cnt))
+    locf = loc.join(broadcast_if_small(freq.select(item), freq.count()), item, "left_semi")
     return locf, freq
 
 
@@ -94,15 +96,16 @@ def rule_supports(locf: DataFrame, min_cnt: int, max_antecedent: int = 0, max_co
     c = _locs(locf, seq, item)
     a = c.select("_s", F.col("_c").alias("_x"), F.col("_cf").alias("fx"))
     b = c.select("_s", F.col("_c").alias("_y"), F.col("_cl").alias("ly"))
-    occ = (a.join(b, "_s").filter((F.col("_x") != F.col("_y")) & (F.col("fx") < F.col("ly")))
+    hot = hot_keys(c, "_s")
+    occ = (spread_join(a, b, "_s", hot).filter((F.col("_x") != F.col("_y")) & (F.col("fx") < F.col("ly")))
            .select("_s", F.array("_x").alias("X"), F.array("_y").alias("Y"), "fx", "ly",
                    F.col("_x").alias("xl"), F.col("_y").alias("yl")))
 
     levels = []
     while True:
         occ = occ.persist(StorageLevel.MEMORY_AND_DISK)
-        sup = (occ.groupBy("X", "Y").agg(F.count(F.lit(1)).alias("support"))
-               .filter(F.col("support") >= min_cnt)).persist(StorageLevel.MEMORY_AND_DISK)
+        sup = cached(occ.groupBy("X", "Y").agg(F.count(F.lit(1)).alias("support"))
+                     .filter(F.col("support") >= min_cnt))
         ns = sup.count()
         if ns == 0:
             occ.unpersist()
@@ -110,8 +113,9 @@ def rule_supports(locf: DataFrame, min_cnt: int, max_antecedent: int = 0, max_co
         levels.append(sup)
         # Frequent rules broadcast behind their counted size; the semi-join keeps the
         # sequence partitioning of the occurrences it filters.
-        kept = occ.join(broadcast_if_small(sup.select("X", "Y"), ns), ["X", "Y"], "left_semi")
-        kept = bucketed_table(kept, "_s", nb, "rule_level")
+        wide = 32 * (len(levels) + 3)  # bytes of a rule's items
+        kept = occ.join(broadcast_if_small(sup.select("X", "Y"), ns, wide), ["X", "Y"], "left_semi")
+        kept = bucketed_table(kept, "_s", nb, "rule_level", aligned=hot is None and fits_broadcast(ns, wide))
         occ.unpersist()
         occ = kept
 
@@ -119,14 +123,14 @@ def rule_supports(locf: DataFrame, min_cnt: int, max_antecedent: int = 0, max_co
         right_ok = F.size("X") == 1
         if max_consequent:
             right_ok = right_ok & (F.size("Y") < max_consequent)
-        right = (occ.filter(right_ok).join(c, "_s")
+        right = (spread_join(occ.filter(right_ok), c, "_s", hot)
                  .filter((F.col("_c") > F.col("yl")) & ~F.array_contains("X", F.col("_c"))
                          & (F.col("_cl") > F.col("fx")))
                  .select("_s", "X", F.concat("Y", F.array("_c")).alias("Y"), "fx",
                          F.least("ly", "_cl").alias("ly"), "xl", F.col("_c").alias("yl")))
         grown.append(right)
         left_src = occ if not max_antecedent else occ.filter(F.size("X") < max_antecedent)
-        left = (left_src.join(c, "_s")
+        left = (spread_join(left_src, c, "_s", hot)
                 .filter((F.col("_c") > F.col("xl")) & ~F.array_contains("Y", F.col("_c"))
                         & (F.col("_cf") < F.col("ly")))
                 .select("_s", F.concat("X", F.array("_c")).alias("X"), "Y",
@@ -158,10 +162,11 @@ def antecedent_cover(antecedents: DataFrame, locf: DataFrame, seq: str = "seq_id
     touched.
     """
     # Small (one row per antecedent) and cheap to recompute from its cached inputs.
-    ante = antecedents.select(F.col("antecedent").alias("X")).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    ante = cached(antecedents.select(F.col("antecedent").alias("X")).distinct())
     c = locf.select(F.col(seq).alias("_s"), F.col(item).alias("_c"))
+    rows = ante.count()
     one = ante.filter(F.size("X") == 1).select(F.element_at("X", 1).alias("_c"), "X")
-    cov = cut_lineage(c.join(one, "_c").select("X", "_s"))
+    cov = cut_lineage(c.join(broadcast_if_small(one, rows, 96), "_c").select("X", "_s"))
     parts = [cov.groupBy("X").agg(F.count(F.lit(1)).alias("cover"))]
     a = 1
     while True:
@@ -169,6 +174,7 @@ def antecedent_cover(antecedents: DataFrame, locf: DataFrame, seq: str = "seq_id
         if need.isEmpty():
             break
         need = need.select("X", F.slice("X", 1, a).alias("_p"), F.element_at("X", -1).alias("_c"))
+        need = broadcast_if_small(need, rows, 64 * (a + 2))
         nxt = (cov.select(F.col("X").alias("_p"), "_s").join(need, "_p")
                .join(c, ["_s", "_c"]).select("X", "_s"))
         cov = cut_lineage(nxt)
@@ -192,19 +198,19 @@ def sequential_rules(seqs: DataFrame, min_support: float, min_confidence: float,
     # by sequence; the sequence count and every level read them.
     nb = shuffle_partitions(seqs.sparkSession)
     # (aggregate first: only one row per (sequence, item) crosses the repartition)
-    loc = bucketed_table(item_locations(seqs, seq, item, pos).repartition(nb, seq), seq, nb, "locations")
+    seqs = seqs.filter(F.col(item).isNotNull())
+    loc = bucketed_table(item_locations(seqs, seq, item, pos), seq, nb, "locations")
     if n is None:
         n = loc.agg(F.count_distinct(seq)).first()[0]
     mc = min_count(n, min_support)
-    freq = (loc.groupBy(item).agg(F.count(F.lit(1)).alias("nseq")).filter(F.col("nseq") >= mc)
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    freq = cached(loc.groupBy(item).agg(F.count(F.lit(1)).alias("nseq")).filter(F.col("nseq") >= mc))
     n_freq = freq.count()
     if 0 < n_freq <= mask_items:
         return _masked_rules(loc, freq, n, mc, min_confidence, max_antecedent, max_consequent, seq, item, nb)
     locf = loc.join(broadcast_if_small(freq.select(item), n_freq), item, "left_semi")
     # The union of the cached per-level rule tables: rule-sized, recomputed from the
     # last checkpointed level if a cached block is lost.
-    sup = rule_supports(locf, mc, max_antecedent, max_consequent, seq, item, nb).persist(StorageLevel.MEMORY_AND_DISK)
+    sup = cached(rule_supports(locf, mc, max_antecedent, max_consequent, seq, item, nb))
     cover = antecedent_cover(sup, locf, seq, item)
     rules = sup.join(cover, "antecedent")
     return rules.select(
@@ -257,33 +263,35 @@ def _masked_rules(loc: DataFrame, freq: DataFrame, n: int, mc: int, min_confiden
          .withColumn("_cm", _bit(F.col("_cb"))))
     a = c.select("_s", F.col("_cm").alias("X"), F.col("_cb").alias("xl"), F.col("_cf").alias("fx"))
     b = c.select("_s", F.col("_cm").alias("Y"), F.col("_cb").alias("yl"), F.col("_cl").alias("ly"))
-    occ = a.join(b, "_s").filter((F.col("X") != F.col("Y")) & (F.col("fx") < F.col("ly")))
+    hot = hot_keys(c, "_s")
+    occ = spread_join(a, b, "_s", hot).filter((F.col("X") != F.col("Y")) & (F.col("fx") < F.col("ly")))
 
     levels = []
     while True:
         occ = occ.persist(StorageLevel.MEMORY_AND_DISK)
-        sup = (occ.groupBy("X", "Y", "xl").agg(F.count(F.lit(1)).alias("support"))
-               .filter(F.col("support") >= mc)).persist(StorageLevel.MEMORY_AND_DISK)
+        sup = cached(occ.groupBy("X", "Y", "xl").agg(F.count(F.lit(1)).alias("support"))
+                     .filter(F.col("support") >= mc))
         ns = sup.count()
         if ns == 0:
             occ.unpersist()
             break
         levels.append(sup)
         kept = occ.join(broadcast_if_small(sup.select("X", "Y"), ns), ["X", "Y"], "left_semi")
-        kept = bucketed_table(kept.select("_s", "X", "Y", "fx", "ly", "xl", "yl"), "_s", nb, "rule_level")
+        kept = bucketed_table(kept.select("_s", "X", "Y", "fx", "ly", "xl", "yl"), "_s", nb, "rule_level",
+                              aligned=hot is None and fits_broadcast(ns))
         occ.unpersist()
         occ = kept
 
         right_ok = F.bit_count("X") == 1
         if max_consequent:
             right_ok = right_ok & (F.bit_count("Y") < max_consequent)
-        right = (occ.filter(right_ok).join(c, "_s")
+        right = (spread_join(occ.filter(right_ok), c, "_s", hot)
                  .filter((F.col("_cb") > F.col("yl")) & (F.col("X").bitwiseAND(F.col("_cm")) == 0)
                          & (F.col("_cl") > F.col("fx")))
                  .select("_s", "X", F.col("Y").bitwiseOR(F.col("_cm")).alias("Y"), "fx",
                          F.least("ly", "_cl").alias("ly"), "xl", F.col("_cb").alias("yl")))
         left_src = occ if not max_antecedent else occ.filter(F.bit_count("X") < max_antecedent)
-        left = (left_src.join(c, "_s")
+        left = (spread_join(left_src, c, "_s", hot)
                 .filter((F.col("_cb") > F.col("xl")) & (F.col("Y").bitwiseAND(F.col("_cm")) == 0)
                         & (F.col("_cf") < F.col("ly")))
                 .select("_s", F.col("X").bitwiseOR(F.col("_cm")).alias("X"), "Y",
@@ -296,14 +304,16 @@ def _masked_rules(loc: DataFrame, freq: DataFrame, n: int, mc: int, min_confiden
     sup = levels[0]
     for lv in levels[1:]:
         sup = sup.unionByName(lv)
-    sup = sup.persist(StorageLevel.MEMORY_AND_DISK)
+    sup = cached(sup)
 
     # Antecedent cover, grown by prefix: X minus its highest item (bit xl) is the
     # antecedent of the parent rule, so cover(X) extends cover(prefix) by an equi-join
     # on (sequence, item).
-    ante = sup.select("X", "xl").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    ante = cached(sup.select("X", "xl").distinct())
     cs = c.select("_s", "_cb", "_cm")
-    cov = cut_lineage(cs.join(ante.filter(F.bit_count("X") == 1).select(F.col("X").alias("_cm")), "_cm")
+    rows = ante.count()
+    one = ante.filter(F.bit_count("X") == 1).select(F.col("X").alias("_cm"))
+    cov = cut_lineage(cs.join(broadcast_if_small(one, rows), "_cm")
                       .select(F.col("_cm").alias("X"), "_s"))
     parts = [cov.groupBy("X").agg(F.count(F.lit(1)).alias("cover"))]
     size = 1
@@ -312,7 +322,7 @@ def _masked_rules(loc: DataFrame, freq: DataFrame, n: int, mc: int, min_confiden
         if need.isEmpty():
             break
         need = need.select("X", (F.col("X") - _bit(F.col("xl"))).alias("_p"), F.col("xl").alias("_cb"))
-        cov = cut_lineage(cov.select(F.col("X").alias("_p"), "_s").join(need, "_p")
+        cov = cut_lineage(cov.select(F.col("X").alias("_p"), "_s").join(broadcast_if_small(need, rows), "_p")
                           .join(cs.select("_s", "_cb"), ["_s", "_cb"]).select("X", "_s"))
         parts.append(cov.groupBy("X").agg(F.count(F.lit(1)).alias("cover")))
         size += 1

@@ -79,8 +79,8 @@ def refresh_emissions(df: DataFrame, user: str = "user_id", cat: str = "category
         raise ValueError("mode must be 'runs' or 'carry'")
     skew_safe = _decide(df, user, skew_safe)
     runs = _runs(df, user, cat, pos, skew_safe)
-    if mode == "carry":
-        runs = cut_lineage(runs)  # read by two ordered scans
+    if mode == "carry" and skew_safe:
+        runs = cut_lineage(runs)  # range-partitioned twice; plain windows shuffle it once
     if mode == "runs":
         return runs.filter(F.col("L") >= 2).select(user, cat, (F.col("L") - 1).alias("emitted"))
     long_run = (F.col("L") >= 2).cast("bigint")
@@ -146,8 +146,10 @@ def category_stats(df: DataFrame, user: str = "user_id", cat: str = "category",
     default the categories seen in the data. The three per-category tables are tiny
     (one row per category), so the joins between them are cheap.
     """
-    df = cut_lineage(df.select(user, cat, pos))  # read by every statistic below
+    df = df.select(user, cat, pos)
     skew_safe = _decide(df, user, skew_safe)
+    if skew_safe:
+        df = cut_lineage(df)  # the ranges that positions came from are not sampled again
     dim = categories if categories is not None else df.select(cat).distinct()
     out = (dim.join(category_visits(df, user, cat), cat, "left")
            .join(refresh_stats(df, user, cat, pos, mode, skew_safe), cat, "left")

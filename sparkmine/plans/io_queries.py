@@ -292,10 +292,10 @@ def sink_roundtrip(spark, d):
     plus the top 10 as a single file; both read back."""
     counts = TX.word_count(V.table(spark, d, "documents"), "text")
     path = scratch_path(spark, "word_count")
-    counts.limit(0).write.mode("overwrite").parquet(path)
+    counts.select(F.concat("word", F.lit("?")).alias("word"), "count").write.mode("overwrite").parquet(path)
     counts.write.mode("overwrite").parquet(path)
     top = scratch_path(spark, "word_top")
-    R.top_k(counts, 10, F.col("count").desc(), F.col("word").asc()).coalesce(1).write.mode("overwrite").parquet(top)
+    R.top_k(spark.read.parquet(path), 10, F.col("count").desc(), F.col("word").asc()).coalesce(1).write.mode("overwrite").parquet(top)
     if spark.read.parquet(top).count() != min(10, spark.read.parquet(path).count()):
         raise RuntimeError("single-file sink lost rows")
     return spark.read.parquet(path)

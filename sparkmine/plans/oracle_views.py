@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+from sparkmine.sources.lines import CATEGORIES
+
 VIEW_SQL = {
     "ads": """select concat('C', cast(event_id % 40 as varchar)) as campaign_id,
   substring(cast(ts as varchar),1,10) as date, substring(cast(ts as varchar),12,8) as time,
@@ -29,10 +31,12 @@ VIEW_SQL = {
     "sequences": """select concat(cast(user_id as varchar),'_',substring(cast(ts as varchar),1,10)) as seq_id,
   row_number() over (partition by user_id, substring(cast(ts as varchar),1,10) order by ts, event_id)-1 as pos,
   event_type as item from events""",
-    "weekly_sequences": """select concat(cast(user_id as varchar), '_', cast(weekofyear(ts) as varchar)) as seq_id,
-  row_number() over (partition by user_id, weekofyear(ts) order by ts, event_id) - 1 as pos,
+    "weekly_sequences": """select concat(cast(user_id as varchar), '_', strftime(date_trunc('week', ts), '%Y-%m-%d')) as seq_id,
+  row_number() over (partition by user_id, date_trunc('week', ts) order by ts, event_id) - 1 as pos,
   concat(event_type, '_', cast(cast(regexp_extract(props, '([0-9]+)', 1) as int) % 4 as varchar)) as item
   from events""",
+    "named_visits": f"""select user_id, row_number() over (partition by user_id order by ts, event_id) - 1 as pos,
+  ({list(CATEGORIES)})[cast(regexp_extract(props, '([0-9]+)', 1) as int) % 12 + 1] as category from events""",
     "visits": """select user_id, row_number() over (partition by user_id order by ts, event_id)-1 as pos,
   event_type as category from events""",
     "vectors": "select vec_id, cast(embedding as double[]) as v from embeddings",

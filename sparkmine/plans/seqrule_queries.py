@@ -28,6 +28,7 @@ def _mine(spark, d, max_a, max_c):
 # Heavier benchmark: (user, week) sequences over 20 items, rules up to 2 => 2.
 WEEKLY_MIN_SUPPORT = 0.05
 WEEKLY_MIN_CONFIDENCE = 0.1
+RARE_SUPPORT = 0.025
 
 
 def _base(view: str = "sequences", min_support: float = MIN_SUPPORT) -> list[tuple[str, str]]:
@@ -43,35 +44,43 @@ def _base(view: str = "sequences", min_support: float = MIN_SUPPORT) -> list[tup
 _BASE = _base()
 
 _M = "(select m from mc)"
-_RULES = [
-    ("r11", f"""select a.item as antecedent, b.item as consequent, count(*) as support
-  from lf a join lf b on a.seq_id = b.seq_id and a.item <> b.item and a.f < b.l
-  group by a.item, b.item having count(*) >= {_M}"""),
-    ("r21", f"""select a.item || ',' || b.item as antecedent, c.item as consequent, count(*) as support
-  from lf a join lf b on a.seq_id = b.seq_id and a.item < b.item
-  join lf c on c.seq_id = a.seq_id and c.item <> a.item and c.item <> b.item and greatest(a.f, b.f) < c.l
-  group by a.item, b.item, c.item having count(*) >= {_M}"""),
-    ("r12", f"""select a.item as antecedent, b.item || ',' || c.item as consequent, count(*) as support
-  from lf a join lf b on a.seq_id = b.seq_id and b.item <> a.item
-  join lf c on c.seq_id = a.seq_id and c.item > b.item and c.item <> a.item and a.f < least(b.l, c.l)
-  group by a.item, b.item, c.item having count(*) >= {_M}"""),
-    ("r22", f"""select a.item || ',' || b.item as antecedent, c.item || ',' || e.item as consequent, count(*) as support
-  from lf a join lf b on a.seq_id = b.seq_id and a.item < b.item
-  join lf c on c.seq_id = a.seq_id and c.item <> a.item and c.item <> b.item
-  join lf e on e.seq_id = a.seq_id and e.item > c.item and e.item <> a.item and e.item <> b.item
-  where greatest(a.f, b.f) < least(c.l, e.l)
-  group by a.item, b.item, c.item, e.item having count(*) >= {_M}"""),
-    ("cov", """select item as antecedent, count(*) as cover from lf group by item
-  union all
-  select a.item || ',' || b.item, count(*) from lf a join lf b on a.seq_id = b.seq_id and a.item < b.item
-  group by a.item, b.item"""),
-]
+
+
+def _rule_cte(i: int, j: int) -> tuple[str, str]:
+    """All rules of i items to j items with enough support: a join of i + j locations."""
+    xs, ys = [f"x{k}" for k in range(i)], [f"y{k}" for k in range(j)]
+    joins, seen = [f"lf {xs[0]}"], [xs[0]]
+    for t in xs[1:] + ys:
+        before = [u for u in seen if u[0] == t[0]]
+        on = [f"{t}.seq_id = {xs[0]}.seq_id"] + ([f"{t}.item > {before[-1]}.item"] if before else [])
+        if t[0] == "y":
+            on += [f"{t}.item <> {x}.item" for x in xs] + [f"{x}.f < {t}.l" for x in xs]
+        joins.append(f"join lf {t} on {' and '.join(on)}")
+        seen.append(t)
+
+    def text(ts: list[str]) -> str:
+        return " || ',' || ".join(f"{t}.item" for t in ts)
+
+    return (f"r{i}{j}", f"""select {text(xs)} as antecedent, {text(ys)} as consequent, count(*) as support
+  from {' '.join(joins)} group by {', '.join(f'{t}.item' for t in xs + ys)} having count(*) >= {_M}""")
+
+
+def _cover_cte(largest: int) -> tuple[str, str]:
+    parts = []
+    for i in range(1, largest + 1):
+        ts = [f"x{k}" for k in range(i)]
+        joins = " ".join(f"join lf {b} on {b}.seq_id = x0.seq_id and {b}.item > {a}.item" for a, b in zip(ts, ts[1:]))
+        text = " || ',' || ".join(f"{t}.item" for t in ts)
+        parts.append(f"select {text} as antecedent, count(*) as cover from lf x0 {joins} group by {', '.join(f'{t}.item' for t in ts)}")
+    return ("cov", "\n  union all\n".join(parts))
 
 
 def _rules_sql(parts: list[str], final: str | None = None, view: str = "sequences",
                min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> str:
     body = "\nunion all\n".join(f"select * from {p}" for p in parts)
-    ctes = _base(view, min_support) + _RULES + [("allr", body), ("rules", f"""select r.antecedent, r.consequent,
+    sizes = [(int(p[1]), int(p[2])) for p in parts]
+    rules = [_rule_cte(i, j) for i, j in sizes] + [_cover_cte(max(i for i, _ in sizes))]
+    ctes = _base(view, min_support) + rules + [("allr", body), ("rules", f"""select r.antecedent, r.consequent,
   r.support, r.support / (select n from nseq) as support_rel, r.support / c.cover as confidence
   from allr r join cov c on c.antecedent = r.antecedent where r.support / c.cover >= {min_confidence}""")]
     return W(final or "select * from rules", view, extra=ctes)
@@ -80,21 +89,21 @@ def _rules_sql(parts: list[str], final: str | None = None, view: str = "sequence
 @register("frequent_items", W("select item, c as nseq from fr", "sequences", extra=_BASE))
 def frequent_items(spark, d):
     seqs = V.sequences(spark, d)
-    n = SR.sequence_count(seqs)
+    n = SR.sequence_count(V.daily_events(spark, d))
     return SR.frequent_items(seqs, SR.min_count(n, MIN_SUPPORT))[1]
 
 
 @register("item_sequences", W("select distinct item, seq_id from sequences", "sequences"))
 def item_sequences(spark, d):
     """Item -> sequence index in long form (one row per pair; never one array per item)."""
-    return V.sequences(spark, d).select("item", "seq_id").distinct()
+    return V.daily_events(spark, d).select("item", "seq_id").distinct()
 
 
 @register("pair_cooccurrence", W("""select a.item as item_a, b.item as item_b, count(*) as n_seq from lf a join lf b
 on a.seq_id = b.seq_id and a.item < b.item group by a.item, b.item""", "sequences", extra=_BASE))
 def pair_cooccurrence(spark, d):
     seqs = V.sequences(spark, d)
-    locf, _ = SR.frequent_items(seqs, SR.min_count(SR.sequence_count(seqs), MIN_SUPPORT))
+    locf, _ = SR.frequent_items(seqs, SR.min_count(SR.sequence_count(V.daily_events(spark, d)), MIN_SUPPORT))
     return SR.pair_cooccurrence(locf)
 
 
@@ -109,12 +118,23 @@ def seq_rules_2_1(spark, d):
     return _flat(r.filter((F.size("antecedent") == 2) & (F.size("consequent") == 1)))
 
 
-@register("seq_rules_1_2", _rules_sql(["r12"]))
+_WEEKLY = {"view": "weekly_sequences", "min_support": WEEKLY_MIN_SUPPORT, "min_confidence": WEEKLY_MIN_CONFIDENCE}
+
+
+@register("seq_rules_1_2", _rules_sql(["r12"], **_WEEKLY))
 def seq_rules_1_2(spark, d):
-    r = _mine(spark, d, 1, 2)
+    """On the weekly sequences, which are long enough to have some."""
+    r = SR.sequential_rules(V.weekly_sequences(spark, d), WEEKLY_MIN_SUPPORT, WEEKLY_MIN_CONFIDENCE, 1, 2)
     return _flat(r.filter((F.size("antecedent") == 1) & (F.size("consequent") == 2)))
 
 
+@register("seq_rules_2_2", _rules_sql(["r22"], view="weekly_sequences", min_support=RARE_SUPPORT, min_confidence=WEEKLY_MIN_CONFIDENCE))
+def seq_rules_2_2(spark, d):
+    """Rules of two items to two, at a support that some reach."""
+    r = SR.sequential_rules(V.weekly_sequences(spark, d), RARE_SUPPORT, WEEKLY_MIN_CONFIDENCE, 2, 2)
+    return _flat(r.filter((F.size("antecedent") == 2) & (F.size("consequent") == 2)))
+
+
 @register("seq_rules", _rules_sql(["r11", "r21", "r12", "r22"]))
 def seq_rules(spark, d):
     return _flat(_mine(spark, d, 2, 2))
@@ -134,17 +154,19 @@ def rules_binned(spark, d):
     return _flat(r).withColumn("conf_bin", F.floor(F.col("confidence") * (1 / BIN_INTERVAL)) / (1 / BIN_INTERVAL))
 
 
-@register("seq_rules_weekly", _rules_sql(["r11", "r21", "r12", "r22"], view="weekly_sequences",
-                                         min_support=WEEKLY_MIN_SUPPORT, min_confidence=WEEKLY_MIN_CONFIDENCE))
+@register("seq_rules_weekly", _rules_sql(["r11", "r21", "r12", "r22"], **_WEEKLY))
 def seq_rules_weekly(spark, d):
     seqs = V.weekly_sequences(spark, d)
     return _flat(SR.sequential_rules(seqs, WEEKLY_MIN_SUPPORT, WEEKLY_MIN_CONFIDENCE, 2, 2))
 
 
-@register("seq_rules_weekly_all")
+# Every size of up to five items: one more than the largest frequent rules have at this
+# support (1 => 3), so that nothing that the miner should have found is missing.
+_ALL = [f"r{i}{j}" for n in (2, 3, 4, 5) for i in range(1, n) for j in [n - i]]
+
+
+@register("seq_rules_weekly_all", _rules_sql(_ALL, **_WEEKLY))
 def seq_rules_weekly_all(spark, d):
-    """No caps on either side (0 = no cap): rules of every size the data supports.
-    Rows-only in the driver; ``tests/test_seqrules.py`` checks the miner against the
-    closed form by brute force."""
+    """No caps on either side (0 = no cap): rules of every size the data supports."""
     seqs = V.weekly_sequences(spark, d)
     return _flat(SR.sequential_rules(seqs, WEEKLY_MIN_SUPPORT, WEEKLY_MIN_CONFIDENCE, 0, 0))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from sparkmine.operators import sequences as S
 from sparkmine.plans import views as V
 from sparkmine.plans.catalog import register
+from sparkmine.plans.oracle_views import VIEW_SQL
 from sparkmine.plans.oracle_views import with_views as W
+from sparkmine.sources.lines import CATEGORIES
 
 _RUNS = """isl as (select user_id, category, pos,
   pos - row_number() over (partition by user_id, category order by pos) as island from visits),
@@ -52,7 +56,7 @@ def item_locations(spark, d):
 @register("category_visits", W("""select category, count(*) as visits, count(distinct user_id) as unique_visits
 from visits group by category""", "visits"))
 def category_visits(spark, d):
-    return S.category_visits(V.visits(spark, d))
+    return S.category_visits(V.visit_events(spark, d))
 
 
 @register("refresh_stats", _with(_CARRY, _REFRESH))
@@ -88,3 +92,14 @@ left join (""" + _REVISIT.replace("cast(sum(distance) as bigint) as revisits", "
 @register("category_stats", _with(_CARRY + ",\n" + _REVISIT_E, _STATS))
 def category_stats(spark, d):
     return S.category_stats(V.visits(spark, d), mode="carry")
+
+
+_DIMENSION = f"(select unnest({list(CATEGORIES)}) as category) dim"
+_NAMED = _with(_CARRY + ",\n" + _REVISIT_E, _STATS.replace("(select distinct category from visits) dim", _DIMENSION))
+
+
+@register("category_stats_17", _NAMED.replace("with visits as (" + VIEW_SQL["visits"], "with visits as (" + VIEW_SQL["named_visits"]))
+def category_stats_17(spark, d):
+    """Over the fixed 17 categories; those that never occur have a row of zeros."""
+    dim = spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in CATEGORIES])).alias("category"))
+    return S.category_stats(V.named_visits(spark, d), mode="carry", categories=dim)

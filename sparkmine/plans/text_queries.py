@@ -55,14 +55,17 @@ def top_trigrams(spark, d):
     return T.top_ngrams(r, "prod_id", T.sentence_ngrams("message", 3), TOP_K)
 
 
+_SIMPLE_TOKENS = """select prod_id, list_filter(string_split_regex(lower(message), '[^a-z]+'), lambda w: w <> '') as toks
+            from ratings"""
+
+
 def _simple_sql(n: int) -> str:
     return W(f"""select prod_id, ngram, cast(cnt as double) as estfrequency from (
   select *, row_number() over (partition by prod_id order by cnt desc, ngram) as rk from (
     select prod_id, ngram, count(*) as cnt from (
       select prod_id, unnest(list_transform(range(0, len(toks) - {n - 1}),
         lambda i: array_to_string(list_slice(toks, i + 1, i + {n}), ' '))) as ngram
-      from (select prod_id, list_filter(string_split_regex(lower(message), '[^a-z]+'), lambda w: w <> '') as toks
-            from ratings))
+      from ({_SIMPLE_TOKENS}))
     group by prod_id, ngram))
 where rk <= {TOP_K}""", "ratings")
 
@@ -77,3 +80,14 @@ def top_bigrams_simple(spark, d):
 def top_trigrams_simple(spark, d):
     r = V.ratings(spark, d).select("prod_id", T.simple_tokens("message").alias("toks"))
     return T.top_ngrams(r, "prod_id", T.ngrams_of(F.col("toks"), 3), TOP_K)
+
+
+_SENTENCE_TOKENS = """select prod_id, list_filter(string_split_regex(s, '[^a-z]+'), lambda w: w <> '') as toks from (
+  select prod_id, unnest(string_split_regex(lower(message), '[.!?\n]+')) as s from ratings)"""
+
+
+@register("top_bigrams_sentences", _simple_sql(2).replace(_SIMPLE_TOKENS, _SENTENCE_TOKENS))
+def top_bigrams_sentences(spark, d):
+    """Bigrams that stay inside one sentence, by the plain sentence rule."""
+    grams = F.flatten(F.transform(T.plain_sentences("message"), lambda s: T.ngrams_of(s, 2)))
+    return T.top_ngrams(V.ratings(spark, d), "prod_id", grams, TOP_K)

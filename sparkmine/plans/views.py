@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmine.operators.sequences import with_positions
+from sparkmine.sources.lines import CATEGORIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -105,34 +106,52 @@ def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sequence per (user, day): (seq_id, pos, item)."""
+def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by (user, day), in no order: (seq_id, ts, event_id, item)."""
     ev = table(spark, sf_dir, "events")
     day = F.substring(_ts_text("ts"), 1, 10)
-    seq = ev.select(
+    return ev.select(
         F.concat(F.col("user_id").cast("string"), F.lit("_"), day).alias("seq_id"),
         "ts",
         "event_id",
         F.col("event_type").alias("item"),
     )
-    return with_positions(seq, "seq_id", ["ts", "event_id"]).select("seq_id", "pos", "item")
+
+
+def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sequence per (user, day): (seq_id, pos, item)."""
+    return with_positions(daily_events(spark, sf_dir), "seq_id", ["ts", "event_id"]).select("seq_id", "pos", "item")
 
 
 def weekly_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sequence per (user, ISO week); item = event type and the props number mod 4."""
+    """One sequence per user and week, named by its Monday; item = event type and the
+    props number mod 4."""
     ev = table(spark, sf_dir, "events")
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("int") % 4
+    monday = F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd")
     seq = ev.select(
-        F.concat(F.col("user_id").cast("string"), F.lit("_"), F.weekofyear("ts").cast("string")).alias("seq_id"),
+        F.concat(F.col("user_id").cast("string"), F.lit("_"), monday).alias("seq_id"),
         "ts", "event_id",
         F.concat(F.col("event_type"), F.lit("_"), k.cast("string")).alias("item"),
     )
     return with_positions(seq, "seq_id", ["ts", "event_id"]).select("seq_id", "pos", "item")
 
 
+def visit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits in no order: (user_id, ts, event_id, category)."""
+    return table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.col("event_type").alias("category"))
+
+
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One clickstream per user: (user_id, pos, category)."""
-    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.col("event_type").alias("category"))
+    return with_positions(visit_events(spark, sf_dir), "user_id", ["ts", "event_id"]).select("user_id", "pos", "category")
+
+
+def named_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``visits``, with categories out of the 17 names (12 of them occur)."""
+    names = F.array(*[F.lit(c) for c in CATEGORIES])
+    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int") % 12
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.get(names, k).alias("category"))
     return with_positions(ev, "user_id", ["ts", "event_id"]).select("user_id", "pos", "category")
 
 

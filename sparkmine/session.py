@@ -8,8 +8,11 @@ when the session has none (local tests, the bench), never on a configured cluste
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -35,13 +38,16 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "spa
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only if the session has none."""
+    """The shared checkpoint folder. A session on this machine alone gets a folder of its
+    own if it has none; elsewhere executors couldn't see it, so there it is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="sparkmine-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
@@ -66,12 +72,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         cached.unpersist()
 
 
-def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 65_536) -> dict[str, str]:
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Suggested session settings for a cluster run over ``input_bytes`` of input:
     file splits of ``partition_bytes``, enough shuffle partitions that each holds about
     that much before AQE coalesces small ones, and AQE skew-join splitting on. Apply
     with ``SparkSession.builder.config(map=...)`` when building the cluster session."""
-    parts = int(min(max_partitions, max(200, input_bytes // partition_bytes)))
+    parts = max(200, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -82,30 +88,84 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partition
     }
 
 
-# Largest row count of a computed table that is broadcast to a join (about tens of MB
-# for the narrow tables involved); anything larger goes through a shuffle join.
-BROADCAST_ROWS = 200_000
+# Largest size of a computed table that is broadcast to a join; anything larger goes
+# through a shuffle join.
+BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its counted ``rows`` are within ``limit``, else ``df``
-    unchanged (Spark then plans a shuffle join): the broadcast side is size-checked."""
+def fits_broadcast(rows: int, row_bytes: int = 64) -> bool:
+    return rows * row_bytes <= BROADCAST_BYTES
+
+
+def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int = 64) -> DataFrame:
+    """``broadcast(df)`` when its counted ``rows`` of about ``row_bytes`` each are within
+    ``BROADCAST_BYTES``, else ``df`` unchanged (Spark then plans a shuffle join)."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if rows <= limit else df
+    return F.broadcast(df) if fits_broadcast(rows, row_bytes) else df
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bucketed_table(df: DataFrame, key: str, buckets: int, name: str = "level") -> DataFrame:
+class Scratch:
+    """What a ``with scratch(spark)`` block has written or cached."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.tables: list[tuple[str, str]] = []
+        self.cached: list[DataFrame] = []
+
+    def clear(self) -> None:
+        for df in self.cached:
+            df.unpersist()
+        for name, path in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        self.tables, self.cached = [], []
+
+
+_OPEN: list[Scratch] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """Frees the level tables, their files and the cached frames of the miners that ran in
+    the block, when it ends. Results must be read, or written, inside the block, since
+    they read those tables lazily. Without a block they stay until the session ends (the
+    files until somebody clears the checkpoint folder)."""
+    scope = Scratch(spark)
+    _OPEN.append(scope)
+    try:
+        yield scope
+    finally:
+        _OPEN.remove(scope)
+        scope.clear()
+
+
+def cached(df: DataFrame) -> DataFrame:
+    """``df`` persisted in memory and on disk until the enclosing ``scratch`` block ends."""
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if _OPEN:
+        _OPEN[-1].cached.append(out)
+    return out
+
+
+def bucketed_table(df: DataFrame, key: str, buckets: int, name: str = "level", aligned: bool = False) -> DataFrame:
     """Write ``df`` as a parquet table bucketed by ``key`` into the shared checkpoint
     folder and read it back. Like ``cut_lineage`` it ends the lineage and survives
     executor loss; in addition the scan reports hash partitioning on ``key``, so a
-    join of two such tables (same key, same bucket count) runs without an exchange,
-    and an input already hash-partitioned that way is written without one."""
+    join of two such tables (same key, same bucket count) runs without an exchange.
+
+    ``aligned``: the rows are hash-partitioned by ``key`` into ``buckets`` already. Other
+    rows are repartitioned first, so that a bucket is one file and not one from each task."""
     spark = df.sparkSession
     table = f"sparkmine_{name}_{uuid.uuid4().hex[:12]}"
-    df.write.format("parquet").bucketBy(buckets, key).option("path", scratch_path(spark, table)).saveAsTable(table)
+    path = scratch_path(spark, table)
+    rows = df if aligned else df.repartition(buckets, key)
+    rows.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    if _OPEN:
+        _OPEN[-1].tables.append((table, path))
     return spark.table(table)

@@ -1,9 +1,10 @@
-"""Delimited text sources and sinks with declared schemas (never inferred).
-
-Bad values become null (PERMISSIVE mode), as Pig and Hive read them. Blanks inside
-fields are kept on both read and write (Spark's CSV writer trims by default).
+"""Delimited text sources and sinks with declared schemas (never inferred), as Pig and
+Hive read and write them: a line is cut at every separator, there is no quote or escape
+character, ``\\N`` is null, an empty field is an empty string, and blanks are kept. A value
+that isn't of its column's type (also one with blanks around a number), and a field that
+a short line doesn't have, are null; fields beyond the schema are ignored.
 Nested delimited text (Hive ``ROW FORMAT DELIMITED`` with collection and map-key
-terminators) is read as strings and typed with built-in expressions.
+terminators) is typed with built-in expressions.
 """
 
 from __future__ import annotations
@@ -12,24 +13,54 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+NULL = "\\N"  # how null is written
+_NO_FIELD = "\u0001"  # a separator for reading whole lines; no field is made of it
+
+
+def _schema(schema: T.StructType | str) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+
+
+def field(parts: Column, i: int, dtype: T.DataType) -> Column:
+    """Field ``i`` of a line's parts, typed."""
+    text = F.when(F.get(parts, i) != NULL, F.get(parts, i))
+    if isinstance(dtype, T.StringType):
+        return text
+    return F.when(text == F.trim(text), text).try_cast(dtype.simpleString())
+
+
+def fields(line: Column, schema: T.StructType | str, sep: str) -> list[Column]:
+    """The typed columns of a line of delimited text."""
+    parts = F.split(line, regex_quote(sep), -1)
+    return [field(parts, i, f.dataType).alias(f.name) for i, f in enumerate(_schema(schema).fields)]
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], schema: T.StructType | str, sep: str = "\t",
                    header: bool = False) -> DataFrame:
-    """Delimited text with declared columns; ``path`` may be a glob (``ad_data[12]``)."""
-    r = (spark.read.schema(schema).option("sep", sep).option("header", str(header).lower())
-         .option("mode", "PERMISSIVE").options(**_KEEP_BLANKS))
-    return r.csv(path)
+    """Delimited text with declared columns; ``path`` may be a glob (``ad_data[12]``).
+    ``header``: the first line of each file is left out."""
+    if header:
+        lines = (spark.read.schema("value string").option("sep", _NO_FIELD).option("header", "true").option("quote", "")
+                 .option("enforceSchema", "true").option("ignoreLeadingWhiteSpace", "false")
+                 .option("ignoreTrailingWhiteSpace", "false").csv(path))
+    else:
+        lines = spark.read.text(path)
+    return lines.select(*fields(F.col("value"), schema, sep))
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "\t", header: bool = False,
                     mode: str = "overwrite", single_file: bool = False) -> None:
-    """Delimited sink; ``mode='overwrite'`` replaces the output of an earlier run.
+    """Delimited sink; ``mode='overwrite'`` replaces the output of an earlier run. Values
+    are written as they are: one that holds the separator reads back as two fields.
     ``single_file`` funnels through one task: only for small, bounded results."""
     out = df.coalesce(1) if single_file else df
-    (out.write.mode(mode).option("sep", sep).option("header", str(header).lower())
-     .options(**_KEEP_BLANKS).csv(path))
+    values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NULL)) for c in df.columns]
+    lines = out.select(F.concat_ws(sep, *values).alias(sep.join(df.columns)))
+    if not header:
+        lines.write.mode(mode).text(path)
+        return
+    (lines.write.mode(mode).option("header", "true").option("sep", _NO_FIELD).option("quote", "").option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
 
 
 def _typed(c: Column, dtype: T.DataType, item: str, key: str) -> Column:
@@ -39,11 +70,11 @@ def _typed(c: Column, dtype: T.DataType, item: str, key: str) -> Column:
             m = F.transform_values(m, lambda k, v: v.try_cast(dtype.valueType.simpleString()))
         return F.when(c.isNull() | (c == ""), F.lit(None)).otherwise(m)
     if isinstance(dtype, T.ArrayType):
-        parts = F.split(c, _regex_quote(item), -1)
+        parts = F.split(c, regex_quote(item), -1)
         return F.when(c.isNull() | (c == ""), F.lit(None)).otherwise(
             F.transform(parts, lambda x: x.try_cast(dtype.elementType.simpleString())))
     if isinstance(dtype, T.StructType):
-        parts = F.split(c, _regex_quote(item), -1)
+        parts = F.split(c, regex_quote(item), -1)
         fields = [F.get(parts, i).try_cast(f.dataType.simpleString()).alias(f.name)
                   for i, f in enumerate(dtype.fields)]
         return F.when(c.isNull() | (c == ""), F.lit(None)).otherwise(F.struct(*fields))
@@ -52,7 +83,7 @@ def _typed(c: Column, dtype: T.DataType, item: str, key: str) -> Column:
     return c.try_cast(dtype.simpleString())
 
 
-def _regex_quote(s: str) -> str:
+def regex_quote(s: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?{}[]\|()" else ch for ch in s)
 
 

@@ -7,16 +7,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparkmine.session import broadcast_if_small, cached
+
 # The 17 clickstream categories, in code order (code 1 = first name).
 CATEGORIES = (
     "frontpage news tech local opinion on-air misc weather msn-news health living business "
     "msn-sports sports summary bbs travel"
 ).split()
 
-# Largest split table that is broadcast when numbering lines (one row per file split).
-SPLIT_BROADCAST_ROWS = 1_000_000
-
-
 def read_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``value`` per line of every matching text file (``*.txt`` globs allowed)."""
     return spark.read.text(path)
@@ -26,22 +24,29 @@ def with_line_id(df: DataFrame, name: str = "line_id") -> DataFrame:
     """Contiguous 0-based line numbers in file order: by file path, then split offset,
     then position inside the split. ``df`` must be a direct file scan.
 
-    The per-split row counts (one row per file split, not per line) give the offsets,
-    and every line gets offset + rank inside its split. The rank comes from the row's
-    place in its scan task, which is a pure function of the file listing (path, split
-    offset, position), so a re-read after a lost executor yields the same ids; no copy
-    of the input is made.
-    """
-    base = df.select("*", F.col("_metadata.file_path").alias("_f"),
+    One aggregate counts the lines of each split. Splits are summed up within their file,
+    and only files (which the driver lists anyway) in one sequence. Every line then gets
+    its split's offset plus its place in its scan task, which is a pure function of the
+    file listing, so a re-read after a lost executor yields the same ids; no copy of the
+    input is made. Lines meet their split by a 24-byte row, broadcast if all of them fit.
+    If the two scans should cut the files differently, the query fails instead of losing
+    lines."""
+    base = df.select("*", F.xxhash64("_metadata.file_path").alias("_f"),
                      F.col("_metadata.file_block_start").alias("_blk"),
                      F.monotonically_increasing_id().alias("_mid"))
-    splits = base.groupBy("_f", "_blk").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_f", "_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = splits.select("_f", "_blk", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    if splits.count() <= SPLIT_BROADCAST_ROWS:
-        offs = F.broadcast(offs)
-    out = base.join(offs, ["_f", "_blk"]).withColumn(name, F.col("_off") + F.col("_mid") - F.col("_m0"))
-    return out.drop("_f", "_blk", "_mid", "_m0", "_off")
+    counted = df.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_blk"),
+                        F.monotonically_increasing_id().alias("_mid"))
+    splits = cached(counted.groupBy("_path", "_blk").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n")))
+    within = Window.partitionBy("_path").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    files = splits.groupBy("_path").agg(F.sum("_n").alias("_lines"))
+    files = files.select("_path", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_file"))
+    offs = splits.withColumn("_in", F.coalesce(F.sum("_n").over(within), F.lit(0))).join(files, "_path")
+    offs = offs.select(F.xxhash64("_path").alias("_f"), "_blk", "_m0", (F.col("_file") + F.col("_in")).alias("_off"))
+    out = base.join(broadcast_if_small(offs, splits.count(), 40), ["_f", "_blk"], "left")
+    number = F.when(F.col("_off").isNull(), F.raise_error(F.lit("the scan's splits have changed")).cast("long")).otherwise(
+        F.col("_off") + F.col("_mid") - F.col("_m0"))
+    return out.withColumn(name, number).drop("_f", "_blk", "_mid", "_m0", "_off")
 
 
 def head_lines(df_with_id: DataFrame, fraction: float | None = None, k: int | None = None,

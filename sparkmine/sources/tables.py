@@ -10,20 +10,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from sparkmine.sources.delimited import NULL, regex_quote
 
-def _ddl(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
+LINES = "__lines"  # the table of lines behind an external table's view
 
-def create_external_table(spark: SparkSession, name: str, schema: T.StructType, location: str, sep: str = "\t",
-                          header: bool = False) -> DataFrame:
-    """``CREATE TABLE .. USING csv OPTIONS (sep ..) LOCATION ..``: the Spark form of Hive's
-    ``ROW FORMAT DELIMITED .. STORED AS TEXTFILE LOCATION``. Dropping it keeps the files."""
-    sep_sql = sep.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"""CREATE TABLE {name} ({_ddl(schema)}) USING csv
-        OPTIONS (sep '{sep_sql}', header '{str(header).lower()}', mode 'PERMISSIVE',
-                 ignoreLeadingWhiteSpace 'false', ignoreTrailingWhiteSpace 'false')
-        LOCATION '{location}'""")
+
+def create_external_table(spark: SparkSession, name: str, schema: T.StructType, location: str, sep: str = "\t") -> DataFrame:
+    """Hive's ``ROW FORMAT DELIMITED .. STORED AS TEXTFILE LOCATION``: an external table of
+    the folder's lines and a view that cuts and types them (see ``delimited``). Both are
+    permanent, and ``drop_table`` keeps the files."""
+    spark.sql(f"CREATE TABLE {name}{LINES} (value STRING) USING text LOCATION '{location}'")
+
+    def text(s: str) -> str:
+        return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    parts = f"split(value, {text(regex_quote(sep))}, -1)"
+    columns = []
+    for i, f in enumerate(schema.fields):
+        one = f"nullif(get({parts}, {i}), {text(NULL)})"
+        if not isinstance(f.dataType, T.StringType):
+            one = f"try_cast(if({one} = trim({one}), {one}, null) as {f.dataType.simpleString()})"
+        columns.append(f"{one} as `{f.name}`")
+    spark.sql(f"CREATE VIEW {name} AS SELECT {', '.join(columns)} FROM {name}{LINES}")
     return spark.table(name)
 
 
@@ -52,6 +61,10 @@ def rename_table(spark: SparkSession, old: str, new: str) -> None:
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
+    if spark.catalog.tableExists(name + LINES):
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
+        spark.sql(f"DROP TABLE {name}{LINES}")
+        return
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 

@@ -56,6 +56,48 @@ def test_delimited_bad_value_is_null(spark):
     assert rows[0].n is None and rows[1].n is None  # ' 3' keeps its blank; 'z' is no int
 
 
+ODD_FIELDS = [('"quoted', 1), ('mid"dle', 2), ('"both"', 3), ("", 4), (None, 5), (" blanks ", None), ("back\\slash", 7), ("'", 8)]
+
+
+def test_quotes_nulls_and_empty_strings(spark):
+    path = _write_lines(spark, ['"quoted\t1', "\\N\t2", "\t3", "short", 'a"b\t\\N\textra'], "plain")
+    rows = D.read_delimited(spark, path, "k string, n int").collect()
+    assert [tuple(r) for r in rows] == [('"quoted', 1), (None, 2), ("", 3), ("short", None), ('a"b', None)]
+
+
+def test_delimited_round_trip(spark):
+    df = spark.createDataFrame(ODD_FIELDS, "k string, n int")
+    for sep in ("\t", "|", ","):
+        for header in (False, True):
+            path = scratch_path(spark, "odd")
+            D.write_delimited(df, path, sep=sep, header=header)
+            back = D.read_delimited(spark, path, "k string, n int", sep=sep, header=header)
+            assert sorted(map(tuple, back.collect()), key=repr) == sorted(ODD_FIELDS, key=repr)
+
+
+def test_external_table_reads_as_hive_does(spark):
+    path = scratch_path(spark, "ext")
+    D.write_delimited(spark.createDataFrame(ODD_FIELDS, "k string, n int"), path, sep="|")
+    schema = T._parse_datatype_string("k string, n int")
+    t = TB.create_external_table(spark, "t_ext", schema, path, sep="|")
+    assert sorted(map(tuple, t.collect()), key=repr) == sorted(ODD_FIELDS, key=repr)
+    TB.drop_table(spark, "t_ext")
+    assert not spark.catalog.tableExists("t_ext") and D.read_delimited(spark, path, schema, sep="|").count() == len(ODD_FIELDS)
+
+
+def test_line_ids_over_files_of_several_splits(spark):
+    path = scratch_path(spark, "splits")
+    spark.range(0, 30_000, numPartitions=3).selectExpr("cast(id as string) as value").write.text(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        df = L.with_line_id(L.read_text_lines(spark, path))
+        assert df.rdd.getNumPartitions() > 12
+        assert df.filter("cast(value as long) <> line_id").count() == 0 and df.count() == 30_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_nested_roundtrip_and_lookups(spark):
     schema = T.StructType([
         T.StructField("id", T.IntegerType()),
