@@ -1,4 +1,5 @@
-"""Byte-level BPE encoding and decoding with Spark's higher-order functions.
+"""Byte-level BPE encoding and decoding; the merges are folds of Spark's higher-order
+functions over distinct words.
 
 A text is split by a pattern into words, each of which is encoded by itself: its bytes'
 tokens are folded by ranked merges, the lowest rank first and of equal ones the leftmost,
@@ -6,38 +7,41 @@ until no two neighbours make a token. The ranks are a literal map from pairs of
 the token they make. Decoding looks up each token's bytes and concatenates them.
 
 The distinct words of the whole corpus are counted, and the most frequent of them are
-folded once; their tokens become a literal table of bounded size. A rarer word is folded
-where it occurs, so the table saves work but never decides a result, and no occurrence of
-a word is shuffled.
+folded once; their tokens become a table of bounded size that is sent to the tasks. Each
+document's other distinct words are folded in the document's row. So the table saves work
+but never decides a result, and no occurrence of a word is shuffled. Splitting, looking
+words up and putting a document's ids together runs on Arrow batches.
 A word of over ``FOLD_BYTES`` bytes would take the fold the square of its length; those
 words alone go through a heap, with the same result.
 
-A literal map is two literal arrays of prime lengths; an entry stands at its key modulo
+The literal map is two literal arrays of prime lengths; an entry stands at its key modulo
 the first length or at its key modulo the second, so that two reads find it or show that
 it isn't there. Each literal stands in a plan once and is bound to a lambda's variable.
 
 Defined cases: null text is encoded as empty text (no ids); repeated rows are encoded
-alike; ties of counts in the table go to the smaller word; an empty table gives no rows;
-other columns are kept but for those that are returned.
+alike; an empty table gives no rows; other columns are kept but for those that are
+returned.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import json
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmine.llm.common import let, materialised
 
-TABLE_WORDS = 100_000
+TABLE_WORDS = 300_000
 TABLE_WORD_BYTES = 48
 FOLD_BYTES = 256
 RANK_BITS = 20  # a literal entry is key << RANK_BITS | rank
@@ -140,38 +144,37 @@ class Ranks:
 
 @dataclass(frozen=True)
 class Tables:
-    """Names and contents of the literal arrays that one expression binds."""
+    """The literal arrays of the rank map, bound once by each expression."""
 
-    columns: dict[str, Column]
-
-    def bind(self, use) -> Column:
-        """``use(tables)`` with ``tables[name]`` for each array."""
-        return let(F.struct(*[c.alias(name) for name, c in self.columns.items()]), use)
-
-
-def rank_tables(ranks: Ranks) -> dict[str, Column]:
-    pairs = two_places([(key, key << RANK_BITS | rank) for key, rank in ranks.pairs])
-    single = [ranks.of[bytes([i])] for i in range(256)]
-    return {"pairs_1": literal(pairs[0], "array<bigint>"), "pairs_2": literal(pairs[1], "array<bigint>"),
-            "single": literal(single, "array<int>")}
+    pairs: tuple[list, list]
+    single: list[int]  # the token of each byte
 
+    @staticmethod
+    def of(ranks: Ranks) -> Tables:
+        pairs = two_places([(key, key << RANK_BITS | rank) for key, rank in ranks.pairs])
+        return Tables(pairs, [ranks.of[bytes([i])] for i in range(256)])
 
-def pair_rank(tables: Column, a: Column, b: Column) -> Column:
-    """The rank of the token that two tokens make, or null. Null if one of them is."""
+    def bind(self, use: Callable[[Column], Column]) -> Column:
+        """``use(tables)`` with the arrays as fields of one struct."""
+        return let(F.struct(literal(self.pairs[0], "array<bigint>").alias("pairs_1"), literal(self.pairs[1], "array<bigint>").alias("pairs_2"),
+                            literal(self.single, "array<int>").alias("single")), use)
 
-    def look(key: Column) -> Column:
-        def entry(name: str) -> Column:
-            return F.get(tables[name], F.pmod(key, F.size(tables[name])).cast("int"))
+    def rank(self, tables: Column, a: Column, b: Column) -> Column:
+        """The rank of the token that two tokens make, or null. Null if one of them is.
+        The reads are repeated instead of bound: binding costs more."""
+        key = F.shiftleft(a.cast("long"), RANK_BITS).bitwiseOR(b)
 
-        def match(e: Column) -> Column:
-            return F.when(F.shiftright(e, RANK_BITS) == key, e.bitwiseAND(F.lit((1 << RANK_BITS) - 1)).cast("int"))
+        def entry(i: int) -> Column:
+            return F.get(tables[f"pairs_{i}"], (key % len(self.pairs[i - 1])).cast("int"))
 
-        return F.coalesce(let(entry("pairs_1"), match), let(entry("pairs_2"), match))
+        def rank(i: int) -> Column:
+            return entry(i).bitwiseAND(F.lit((1 << RANK_BITS) - 1)).cast("int")
 
-    return let(F.shiftleft(a.cast("long"), RANK_BITS).bitwiseOR(b.cast("long")), look)
+        found = F.when(F.shiftright(entry(1), RANK_BITS) == key, rank(1))
+        return found.when(F.shiftright(entry(2), RANK_BITS) == key, rank(2))
 
 
-def fold_word(tables: Column, word: Column) -> Column:
+def fold_word(maps: Tables, tables: Column, word: Column) -> Column:
     """The ids of one word (a string column) as an array, by ranked merges."""
     latin = F.decode(word.cast("binary"), "ISO-8859-1")  # a character for each byte
 
@@ -183,7 +186,7 @@ def fold_word(tables: Column, word: Column) -> Column:
         return F.struct(ids.alias("ids"), pairs.alias("pairs"))
 
     def begin(ids: Column) -> Column:
-        return state(ids, F.zip_with(ids, F.slice(ids, F.lit(2), F.size(ids)), lambda a, b: pair_rank(tables, a, b)))
+        return state(ids, F.zip_with(ids, F.slice(ids, F.lit(2), F.size(ids)), lambda a, b: maps.rank(tables, a, b)))
 
     def merge(s: Column, _: Column) -> Column:
         ids, pairs = s["ids"], s["pairs"]  # pairs[i]: the rank of ids[i] with ids[i + 1]
@@ -192,7 +195,7 @@ def fold_word(tables: Column, word: Column) -> Column:
             def joined(p: Column) -> Column:  # p from 1; the new token's id is its rank
                 n = F.size(ids)
                 new_ids = F.concat(F.slice(ids, F.lit(1), p - 1), F.array(best), F.slice(ids, p + 2, n))
-                sides = F.slice(F.array(pair_rank(tables, F.get(ids, p - 2), best), pair_rank(tables, best, F.get(ids, p + 1))),
+                sides = F.slice(F.array(maps.rank(tables, F.get(ids, p - 2), best), maps.rank(tables, best, F.get(ids, p + 1))),
                                 F.when(p == 1, F.lit(2)).otherwise(F.lit(1)), F.lit(2))
                 return state(new_ids, F.concat(
                     F.slice(pairs, F.lit(1), F.greatest(p - 2, F.lit(0))), sides, F.slice(pairs, p + 2, n)))
@@ -229,72 +232,101 @@ def frequent_words(docs: DataFrame, text: str, pattern: str, limit: int) -> Data
     return counts.filter(step >= least)
 
 
-def word_tables(words: DataFrame, tables: Tables) -> dict[str, Column]:
-    """The literal tables of words and their ids, from the most frequent words."""
-    folded = words.select("word", tables.bind(lambda t: fold_word(t, F.col("word"))).alias("ids")).collect()
-    by_key = {zlib.crc32(r["word"].encode()): (r["word"], list(r["ids"])) for r in folded}  # a word for each key
-    places = two_places(sorted(by_key.items()))
-    out = {}
-    for i, table in enumerate(places, 1):
-        out[f"words_{i}"] = literal([e and e[0] for e in table], "array<string>")
-        out[f"ids_{i}"] = literal([e and e[1] for e in table], "array<array<int>>")
-    return out
+def frequent_ids(words: DataFrame, maps: Tables) -> dict[str, tuple[int, ...]]:
+    """The ids of the most frequent words, on the driver: a table of bounded size."""
+    folded = words.select("word", maps.bind(lambda t: fold_word(maps, t, F.col("word"))).alias("ids"))
+    return {r["word"]: tuple(r["ids"]) for r in folded.toLocalIterator()}
+
+
+def look_up(words: list[str], table: dict[str, tuple[int, ...]]) -> tuple[list[list[int]], list[int], list[str]]:
+    """(known, at, rare): the ids of the words before, between and after those that aren't
+    in the table; which of ``rare``, the document's distinct other words, stands at each
+    of these places."""
+    known: list[list[int]] = [[]]
+    at: list[int] = []
+    rare: dict[str, int] = {}
+    for word in words:
+        ids = table.get(word)
+        if ids is None:
+            at.append(rare.setdefault(word, len(rare)))
+            known.append([])
+        else:
+            known[-1] += ids
+    return known, at, list(rare)
 
 
-def word_ids(tables: Column, word: Column, rarer: Column) -> Column:
-    """The ids of a word from the tables, or else ``rarer``."""
+def encode(docs: DataFrame, ranks: Ranks, pattern: str, *, text: str = "text", table_words: int = TABLE_WORDS) -> DataFrame:
+    """``docs`` with ``ids``, the token ids of the whole text as an array<int>."""
+    maps = Tables.of(ranks)
+    table = docs.sparkSession.sparkContext.broadcast(frequent_ids(frequent_words(docs, text, pattern, table_words), maps))
+    own = Ranks(ranks.tokens)  # without what the driver has derived from them
+    # \s is what Unicode calls white space; the controls 1C to 1F aren't.
+    unicode_pattern = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
 
-    def look(key: Column) -> Column:
-        def place(i: int) -> Column:
-            return F.pmod(key, F.size(tables[f"words_{i}"])).cast("int")
+    def far(word: str) -> list[int] | None:
+        data = word.encode()
+        return own.encode_word(data) if len(data) > FOLD_BYTES else None
 
-        found = F.when(F.get(tables["words_1"], place(1)) == word, F.get(tables["ids_1"], place(1)))
-        return found.when(F.get(tables["words_2"], place(2)) == word, F.get(tables["ids_2"], place(2))).otherwise(rarer)
+    @F.pandas_udf("known array<array<int>>, at array<int>, rare array<string>, far array<array<int>>")
+    def split(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        import regex
 
-    return let(F.crc32(word.cast("binary")), look)
+        words = regex.compile(unicode_pattern).findall
+        for texts in batches:
+            rows = []
+            for t in texts:
+                known, at, rare = look_up(words(t or ""), table.value)
+                rows.append(([np.array(k, dtype=np.int32) for k in known], at, rare, [far(w) for w in rare]))
+            yield pd.DataFrame(rows, columns=["known", "at", "rare", "far"])
 
+    none = F.array().cast("array<int>")
+    s = F.col("__s")
 
-def encode(docs: DataFrame, ranks: Ranks, pattern: str, *, text: str = "text", table_words: int = TABLE_WORDS) -> DataFrame:
-    """``docs`` with ``ids``, the token ids of the whole text as an array<int>."""
-    base = rank_tables(ranks)
-    tables = Tables(base | word_tables(frequent_words(docs, text, pattern, table_words), Tables(base)))
+    def folded(tables: Column) -> Column:
+        return F.zip_with(s["rare"], s["far"], lambda word, ids: F.coalesce(ids, fold_word(maps, tables, word)))
 
-    own = Ranks(ranks.tokens)  # without what the driver has derived from them
+    def together(rare: Column) -> Column:
+        return F.flatten(F.zip_with(s["known"], s["at"], lambda known, i: F.concat(known, F.coalesce(F.get(rare, i), none))))
 
-    @F.pandas_udf("array<array<int>>")
-    def long_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for rows in batches:
-            yield pd.Series([[own.encode_word(w.encode()) for w in words] for words in rows])
+    ids = F.when(F.size(s["at"]) == 0, F.get(s["known"], 0)).otherwise(maps.bind(lambda t: let(folded(t), together)))
+    return docs.withColumn("__s", split(F.col(text))).withColumn("ids", ids).drop("__s")
 
-    def is_long(w: Column) -> Column:
-        return F.octet_length(w) > FOLD_BYTES
 
-    def ids_of(t: Column, w: Column) -> Column:
-        far = F.get("__long_ids", F.array_position("__long", w).cast("int") - 1)
-        return word_ids(t, w, F.when(is_long(w), far).otherwise(fold_word(t, w)))
+def little_endian(ids: np.ndarray) -> bytes:
+    """The ids as little-endian unsigned 32-bit integers."""
+    return np.asarray(ids).astype("<u4").tobytes()
 
-    split = docs.withColumn("__words", split_words(F.col(text), pattern))
-    split = split.withColumn("__long", F.array_distinct(F.filter("__words", is_long)))
-    split = split.withColumn("__long_ids", long_words("__long"))
-    ids = tables.bind(lambda t: F.flatten(F.transform("__words", lambda w: ids_of(t, w))))
-    return split.withColumn("ids", ids).drop("__words", "__long", "__long_ids")
 
+def decode(ids: np.ndarray, tokens: tuple[bytes, ...]) -> bytes:
+    """The bytes of the ids' tokens, concatenated."""
+    return b"".join([tokens[i] for i in ids])
 
-def little_endian(ids: Column, ranks: Ranks) -> Column:
-    """The ids as little-endian unsigned 32-bit integers, one binary value."""
-    pieces = literal([i.to_bytes(4, "little").hex() for i in range(len(ranks.tokens))], "array<string>")
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))
 
+def _over_rows(encoded: DataFrame, keep: tuple[str, ...], columns: str, use: Callable[[np.ndarray], tuple]) -> DataFrame:
+    """The columns ``keep`` and those that ``use`` makes of each row's ids."""
+    kept = encoded.select(*keep)
+    schema = T.StructType([*kept.schema.fields, *T._parse_datatype_string(columns).fields])
+    names = [f.name for f in schema.fields[len(keep):]]
 
-def decode(ids: Column, ranks: Ranks) -> Column:
-    """The bytes of the ids' tokens, concatenated."""
-    pieces = literal([t.hex() for t in ranks.tokens], "array<string>")
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = pd.DataFrame([use(ids) for ids in batch["__ids"]], columns=names, index=batch.index)
+            yield pd.concat([batch[list(keep)], made], axis=1)
+
+    return encoded.select(*keep, F.col("ids").alias("__ids")).mapInPandas(rows, schema)
+
+
+def decoded(encoded: DataFrame, ranks: Ranks, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` and ``decoded``, the bytes that the row's ids stand for."""
+    tokens = ranks.tokens
+    return _over_rows(encoded, keep, "decoded binary", lambda ids: (decode(ids, tokens),))
+
+
+def digests(encoded: DataFrame, ranks: Ranks, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep``, n_tokens, ids_sha256 and decoded_sha256 of encoded rows."""
+    tokens = ranks.tokens
 
+    def of(ids: np.ndarray) -> tuple:
+        return len(ids), hashlib.sha256(little_endian(ids)).hexdigest(), hashlib.sha256(decode(ids, tokens)).hexdigest()
 
-def digests(encoded: DataFrame, ranks: Ranks, *, doc_id: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns ``keep``, n_tokens, ids_sha256 and decoded_sha256 of encoded rows."""
-    ids = F.col("ids")
-    return encoded.select(
-        doc_id, *keep, F.size(ids).cast("long").alias("n_tokens"), F.sha2(little_endian(ids, ranks), 256).alias("ids_sha256"),
-        F.sha2(decode(ids, ranks), 256).alias("decoded_sha256"))
+    return _over_rows(encoded, keep, "n_tokens long, ids_sha256 string, decoded_sha256 string", of)

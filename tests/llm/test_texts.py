@@ -32,15 +32,15 @@ ODD_TEXTS = [
 
 def test_encoding_is_the_librarys(spark, documents, ranks, library):
     odd = spark.createDataFrame([(-i - 1, t, 1) for i, t in enumerate(ODD_TEXTS)], "doc_id long, text string, __n int")
-    docs = documents.select("doc_id", "text").limit(300).unionByName(odd.drop("__n"))
-    rows = bpe.encode(docs, ranks, public_tokenizers.PATTERN, table_words=500).withColumn("back", bpe.decode(F.col("ids"), ranks))
-    rows = rows.withColumn("packed", bpe.little_endian(F.col("ids"), ranks)).collect()
-    assert len(rows) == 300 + len(ODD_TEXTS)
+    docs = documents.select("doc_id", "text").filter("doc_id < 300").unionByName(odd.drop("__n"))
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, table_words=500)
+    rows = bpe.decoded(encoded, ranks, keep=("doc_id", "text", "ids")).collect()
+    assert len(rows) == documents.filter("doc_id < 300").count() + len(ODD_TEXTS)
     for r in rows:
         ids = library.encode_ordinary(r["text"] or "")
         assert r["ids"] == ids, r["doc_id"]
-        assert bytes(r["back"]).decode() == (r["text"] or "")
-        assert bytes(r["packed"]) == b"".join(i.to_bytes(4, "little") for i in ids)
+        assert bytes(r["decoded"]).decode() == (r["text"] or "")
+        assert bpe.little_endian(r["ids"]) == b"".join(i.to_bytes(4, "little") for i in ids)
 
 
 def test_words_by_heap(ranks, library):
