@@ -5,8 +5,8 @@ several widths run over them; every filter keeps its largest answer in the windo
 softmax over these gives the window's languages. A text's probabilities are the mean of
 its windows', weighed by their letters, over the whole text.
 
-Training takes a bounded sample: up to ``per_lang`` rows of each language, ``max_train`` in
-all, by the smallest hash of their id, with two windows each at places given by the hash.
+Training takes a bounded sample: about ``per_lang`` rows of each language, ``max_train`` in
+all at most, by the smallest hash of their id, with two windows each at places given by the hash.
 It fits on one machine and is trained there (Adam, cross-entropy).
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; so is every
@@ -22,9 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.llm.common import materialised, with_lookup
+
 WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 16  # of each width
@@ -173,12 +175,14 @@ def predict(net: Network, texts: list[bytes | None]) -> list[tuple[str, float]]:
 
 
 def training_windows(docs: DataFrame, *, doc_id: str, text: str, lang: str, per_lang: int, max_train: int) -> pd.DataFrame:
-    """(lang, piece): at most 2 * max_train windows of the sampled rows, on the driver."""
-    order = F.xxhash64(F.lit(7), "id")
+    """(id, lang, piece): at most 2 * max_train windows of the sampled rows, on the driver."""
     named = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang")).filter("id is not null and lang is not null")
-    by_lang = Window.partitionBy("lang").orderBy(order, "id")
-    chosen = named.withColumn("n", F.row_number().over(by_lang)).filter(F.col("n") <= per_lang)
-    chosen = chosen.orderBy("n", order, "id").limit(max_train).select("id", "lang").distinct()
+    sizes = materialised(named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langs")
+    # A row's hash as a share of all hashes, times its language's rows: about its rank
+    # within the language, without bringing a language's rows together.
+    share = F.shiftrightunsigned(F.xxhash64(F.lit(7), "id"), 11).cast("double") / float(1 << 53)
+    ranked = with_lookup(named, sizes, ["lang"]).withColumn("rank", share * F.col("n"))
+    chosen = ranked.filter(F.col("rank") < per_lang).orderBy("rank", "id").limit(max_train).select("id", "lang").distinct()
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter(F.col("text").rlike(r"\p{L}"))
     rows = rows.join(F.broadcast(chosen), "id")
     data = F.col("text").cast("binary")
