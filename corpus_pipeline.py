@@ -47,8 +47,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in their texts masked and n_chars to match."""
     forest = secret_scan.forest_for(docs)
-    clean = secret_scan.scan(docs, forest, path="source", redact=True)
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "text", "source")
+    clean = secret_scan.scan(rows, forest, path="source", redact=True)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}
+    return clean.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
