@@ -54,9 +54,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written intermediate table inside the shared folder."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path for a written intermediate table inside the shared folder; it is
+    deleted with the enclosing ``scratch`` block, if there is one."""
+    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    if _OPEN:
+        _OPEN[-1].paths.append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -114,17 +117,19 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.tables: list[tuple[str, str]] = []
+        self.tables: list[tuple[str, str]] = []  # (name, path)
+        self.paths: list[str] = []
         self.cached: list[DataFrame] = []
 
     def clear(self) -> None:
         for df in self.cached:
             df.unpersist()
-        for name, path in self.tables:
+        for name, _ in self.tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for path in self.paths:
             where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
-        self.tables, self.cached = [], []
+        self.tables, self.cached, self.paths = [], [], []
 
 
 _OPEN: list[Scratch] = []

@@ -29,3 +29,28 @@ def test_ngrams_stay_in_sentences(spark):
 def test_short_token_arrays_give_no_grams(spark):
     df = spark.createDataFrame([(["a"],)], "t array<string>")
     assert df.select(T.ngrams_of(F.col("t"), 2).alias("g")).first().g == []
+
+
+def test_sentences_of_hand_texts(spark):
+    """The text is lower-cased first, as the reference does it, so a full stop ends no
+    sentence (a lower-case word follows); ``!`` and ``?`` do. Decimals stay whole, a line
+    break is a blank, words lose their punctuation and keep accents."""
+    texts = {
+        "It costs 3.50 today. Why? Because!": [["it", "costs", "3.50", "today", "why"], ["because"]],
+        "L'été arrive! Enfin": None,
+        "one line\nand the next. End": [["one", "line", "and", "the", "next", "end"]],
+        "": [],
+    }
+    for text, expected in texts.items():
+        got = spark.createDataFrame([(text,)], "t string").select(T.sentences("t").alias("s")).first().s
+        if expected is not None:
+            assert got == expected, text
+        flat = [w for s in got for w in s]
+        assert all(w.lower() in text.lower() for w in flat)
+        assert "".join(c for w in flat for c in w if c.isalnum()) == "".join(c for c in text.lower() if c.isalnum()), text
+
+
+def test_plain_sentences(spark):
+    df = spark.createDataFrame([("One two. Three\nfour!  FIVE six?",)], "t string")
+    got = [s for s in df.select(T.plain_sentences("t").alias("s")).first().s if s]
+    assert got == [["one", "two"], ["three"], ["four"], ["five", "six"]]
