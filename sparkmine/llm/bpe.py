@@ -1,5 +1,5 @@
-"""Byte-level BPE encoding and decoding; the merges are folds of Spark's higher-order
-functions over distinct words.
+"""Byte-level BPE encoding and decoding; the merges of a corpus's frequent words are folds
+of Spark's higher-order functions.
 
 A text is split by a pattern into words, each of which is encoded by itself: its bytes'
 tokens are folded by ranked merges, the lowest rank first and of equal ones the leftmost,
@@ -7,12 +7,11 @@ until no two neighbours make a token. The ranks are a literal map from pairs of
 the token they make. Decoding looks up each token's bytes and concatenates them.
 
 The distinct words of the whole corpus are counted, and the most frequent of them are
-folded once; their tokens become a table of bounded size that is sent to the tasks. Each
-document's other distinct words are folded in the document's row. So the table saves work
-but never decides a result, and no occurrence of a word is shuffled. Splitting, looking
-words up and putting a document's ids together runs on Arrow batches.
-A word of over ``FOLD_BYTES`` bytes would take the fold the square of its length; those
-words alone go through a heap, with the same result.
+folded once; their tokens become a table of bounded size that is sent to the tasks. There
+the texts are split, on Arrow batches, and every word is looked up. A word that isn't in
+the table is merged where it occurs, by the same rule and with the same result, and kept
+for a while. So the table saves work but never decides a result, and no occurrence of a
+word is shuffled.
 
 The literal map is two literal arrays of prime lengths; an entry stands at its key modulo
 the first length or at its key modulo the second, so that two reads find it or show that
@@ -43,7 +42,9 @@ from sparkmine.llm.common import let, materialised
 
 TABLE_WORDS = 300_000
 TABLE_WORD_BYTES = 48
-FOLD_BYTES = 256
+KEPT_WORDS = 100_000  # rarer words that a task keeps
+SHORT_WORD = 40  # bytes up to which trying all pairs again is faster than a heap
+ROWS_AT_ONCE = 256
 RANK_BITS = 20  # a literal entry is key << RANK_BITS | rank
 
 
@@ -111,9 +112,27 @@ class Ranks:
             for rank, t in enumerate(self.tokens) for i in range(1, len(t)) if t[:i] in self.of and t[i:] in self.of]
 
     def encode_word(self, word: bytes) -> list[int]:
-        """The ids of one word by a heap of its pairs: for words too long to be folded."""
+        """The ids of one word, merged outside of Spark's expressions."""
         if word in self.of:
             return [self.of[word]]
+        return self._merge_short(word) if len(word) <= SHORT_WORD else self._merge_long(word)
+
+    def _merge_short(self, word: bytes) -> list[int]:
+        rank = self.of.get
+        parts = [word[i:i + 1] for i in range(len(word))]
+        while len(parts) > 1:
+            best, at = None, 0
+            for i in range(len(parts) - 1):
+                r = rank(parts[i] + parts[i + 1])
+                if r is not None and (best is None or r < best):
+                    best, at = r, i
+            if best is None:
+                break
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        return [self.of[p] for p in parts]
+
+    def _merge_long(self, word: bytes) -> list[int]:
+        """By a heap of pairs, for words whose length squared would be too much."""
         ends = list(range(1, len(word) + 1))  # of the token that starts here; 0: none does
         before = list(range(-1, len(word)))
         heap: list[tuple[int, int, int]] = []
@@ -232,64 +251,51 @@ def frequent_words(docs: DataFrame, text: str, pattern: str, limit: int) -> Data
     return counts.filter(step >= least)
 
 
-def frequent_ids(words: DataFrame, maps: Tables) -> dict[str, tuple[int, ...]]:
-    """The ids of the most frequent words, on the driver: a table of bounded size."""
+def frequent_ids(words: DataFrame, maps: Tables) -> dict[str, bytes]:
+    """The ids, as 32-bit integers, of the most frequent words: a table of bounded size."""
     folded = words.select("word", maps.bind(lambda t: fold_word(maps, t, F.col("word"))).alias("ids"))
-    return {r["word"]: tuple(r["ids"]) for r in folded.toLocalIterator()}
-
-
-def look_up(words: list[str], table: dict[str, tuple[int, ...]]) -> tuple[list[list[int]], list[int], list[str]]:
-    """(known, at, rare): the ids of the words before, between and after those that aren't
-    in the table; which of ``rare``, the document's distinct other words, stands at each
-    of these places."""
-    known: list[list[int]] = [[]]
-    at: list[int] = []
-    rare: dict[str, int] = {}
-    for word in words:
-        ids = table.get(word)
-        if ids is None:
-            at.append(rare.setdefault(word, len(rare)))
-            known.append([])
-        else:
-            known[-1] += ids
-    return known, at, list(rare)
+    return {r["word"]: np.array(r["ids"], dtype="<i4").tobytes() for r in folded.toLocalIterator()}
 
 
-def encode(docs: DataFrame, ranks: Ranks, pattern: str, *, text: str = "text", table_words: int = TABLE_WORDS) -> DataFrame:
-    """``docs`` with ``ids``, the token ids of the whole text as an array<int>."""
-    maps = Tables.of(ranks)
-    table = docs.sparkSession.sparkContext.broadcast(frequent_ids(frequent_words(docs, text, pattern, table_words), maps))
-    own = Ranks(ranks.tokens)  # without what the driver has derived from them
-    # \s is what Unicode calls white space; the controls 1C to 1F aren't.
-    unicode_pattern = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
-
-    def far(word: str) -> list[int] | None:
-        data = word.encode()
-        return own.encode_word(data) if len(data) > FOLD_BYTES else None
-
-    @F.pandas_udf("known array<array<int>>, at array<int>, rare array<string>, far array<array<int>>")
-    def split(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+class Encoder:
+    """Encodes texts in a task: the table, and the rarer words that it has met, are kept."""
+
+    def __init__(self, ranks: Ranks, pattern: str, table: dict[str, bytes]):
         import regex
 
-        words = regex.compile(unicode_pattern).findall
-        for texts in batches:
-            rows = []
-            for t in texts:
-                known, at, rare = look_up(words(t or ""), table.value)
-                rows.append(([np.array(k, dtype=np.int32) for k in known], at, rare, [far(w) for w in rare]))
-            yield pd.DataFrame(rows, columns=["known", "at", "rare", "far"])
+        # \\s is what Unicode calls white space; the controls 1C to 1F aren't.
+        pattern = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+        self.words = regex.compile(pattern).findall
+        self.ranks, self.table, self.kept = ranks, table, {}
 
-    none = F.array().cast("array<int>")
-    s = F.col("__s")
+    def rarer(self, word: str) -> bytes:
+        ids = self.kept.get(word)
+        if ids is None:
+            if len(self.kept) >= KEPT_WORDS:
+                self.kept.clear()
+            ids = np.array(self.ranks.encode_word(word.encode()), dtype="<i4").tobytes()
+            if len(word) <= TABLE_WORD_BYTES:
+                self.kept[word] = ids
+        return ids
 
-    def folded(tables: Column) -> Column:
-        return F.zip_with(s["rare"], s["far"], lambda word, ids: F.coalesce(ids, fold_word(maps, tables, word)))
+    def encode(self, text: str) -> np.ndarray:
+        known, rarer = self.table.get, self.rarer
+        return np.frombuffer(b"".join([known(w) or rarer(w) for w in self.words(text)]), dtype="<i4")
 
-    def together(rare: Column) -> Column:
-        return F.flatten(F.zip_with(s["known"], s["at"], lambda known, i: F.concat(known, F.coalesce(F.get(rare, i), none))))
 
-    ids = F.when(F.size(s["at"]) == 0, F.get(s["known"], 0)).otherwise(maps.bind(lambda t: let(folded(t), together)))
-    return docs.withColumn("__s", split(F.col(text))).withColumn("ids", ids).drop("__s")
+def encode(docs: DataFrame, ranks: Ranks, pattern: str, *, text: str = "text", table_words: int = TABLE_WORDS) -> DataFrame:
+    """``docs`` with ``ids``, the token ids of the whole text as an array<int>."""
+    table = docs.sparkSession.sparkContext.broadcast(frequent_ids(frequent_words(docs, text, pattern, table_words), Tables.of(ranks)))
+    tokens = ranks.tokens  # without what the driver has derived from them
+
+    @F.pandas_udf("array<int>")
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encoder = Encoder(Ranks(tokens), pattern, table.value)
+        for texts in batches:
+            for at in range(0, len(texts), ROWS_AT_ONCE):
+                yield pd.Series([encoder.encode(t or "") for t in texts[at:at + ROWS_AT_ONCE]], dtype=object)
+
+    return docs.withColumn("ids", ids(F.col(text)))
 
 
 def little_endian(ids: np.ndarray) -> bytes:
@@ -310,8 +316,10 @@ def _over_rows(encoded: DataFrame, keep: tuple[str, ...], columns: str, use: Cal
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = pd.DataFrame([use(ids) for ids in batch["__ids"]], columns=names, index=batch.index)
-            yield pd.concat([batch[list(keep)], made], axis=1)
+            for at in range(0, len(batch), ROWS_AT_ONCE):
+                part = batch.iloc[at:at + ROWS_AT_ONCE]
+                made = pd.DataFrame([use(ids) for ids in part["__ids"]], columns=names, index=part.index)
+                yield pd.concat([part[list(keep)], made], axis=1)
 
     return encoded.select(*keep, F.col("ids").alias("__ids")).mapInPandas(rows, schema)
 

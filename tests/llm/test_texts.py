@@ -43,11 +43,32 @@ def test_encoding_is_the_librarys(spark, documents, ranks, library):
         assert bpe.little_endian(r["ids"]) == b"".join(i.to_bytes(4, "little") for i in ids)
 
 
-def test_words_by_heap(ranks, library):
+def test_rarer_words(ranks, library, monkeypatch):
     rng = random.Random(5)
-    for _ in range(200):
-        word = "".join(rng.choices("aabcdeinrst", k=rng.randint(1, 400)))
-        assert ranks.encode_word(word.encode()) == library.encode_ordinary(word)
+    words = ["".join(rng.choices("aabcdeinrst", k=rng.randint(1, 100))) for _ in range(300)]
+    for word in words:
+        data = word.encode()
+        assert ranks.encode_word(data) == ranks._merge_long(data) == ranks._merge_short(data) == library.encode_ordinary(word)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 7)
+    encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN, {})
+    text = " ".join(words + words[:50])
+    assert encoder.encode(text).tolist() == library.encode_ordinary(text)
+
+
+def test_folds_are_the_librarys_merges(spark, ranks, library):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("aabcdeinrstéß😀 ", k=rng.randint(1, 24))).strip() or "x" for _ in range(300)]
+    words = [w for w in words if len(public_tokenizers_words(w)) == 1]
+    maps = bpe.Tables.of(ranks)
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    for r in df.select("w", maps.bind(lambda t: bpe.fold_word(maps, t, F.col("w"))).alias("ids")).collect():
+        assert r["ids"] == library.encode_ordinary(r["w"])
+
+
+def public_tokenizers_words(text):
+    import regex
+
+    return regex.findall(public_tokenizers.PATTERN, text)
 
 
 def test_two_places_hold_every_entry():
