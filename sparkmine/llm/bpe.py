@@ -42,8 +42,8 @@ from sparkmine.llm.common import let, materialised
 
 TABLE_WORDS = 300_000
 TABLE_WORD_BYTES = 48
-KEPT_WORDS = 100_000  # rarer words that a task keeps
-SHORT_WORD = 40  # bytes up to which trying all pairs again is faster than a heap
+KEPT_WORDS = 250_000  # rarer words that a task keeps
+SHORT_WORD = 40  # bytes up to which looking through all pairs is faster than a heap
 ROWS_AT_ONCE = 256
 RANK_BITS = 20  # a literal entry is key << RANK_BITS | rank
 
@@ -118,17 +118,16 @@ class Ranks:
         return self._merge_short(word) if len(word) <= SHORT_WORD else self._merge_long(word)
 
     def _merge_short(self, word: bytes) -> list[int]:
-        rank = self.of.get
+        rank, none = self.of.get, len(self.tokens)
         parts = [word[i:i + 1] for i in range(len(word))]
-        while len(parts) > 1:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                r = rank(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        pairs = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
+        while pairs and (best := min(pairs)) < none:
+            i = pairs.index(best)
+            both = parts[i] + parts[i + 1]
+            parts[i:i + 2] = [both]
+            pairs[i:i + 2] = [rank(both + parts[i + 1], none)] if i + 1 < len(parts) else []
+            if i:
+                pairs[i - 1] = rank(parts[i - 1] + both, none)
         return [self.of[p] for p in parts]
 
     def _merge_long(self, word: bytes) -> list[int]:
@@ -254,7 +253,7 @@ def frequent_words(docs: DataFrame, text: str, pattern: str, limit: int) -> Data
 def frequent_ids(words: DataFrame, maps: Tables) -> dict[str, bytes]:
     """The ids, as 32-bit integers, of the most frequent words: a table of bounded size."""
     folded = words.select("word", maps.bind(lambda t: fold_word(maps, t, F.col("word"))).alias("ids"))
-    return {r["word"]: np.array(r["ids"], dtype="<i4").tobytes() for r in folded.toLocalIterator()}
+    return {r["word"]: np.array(r["ids"], dtype="<i4").tobytes() for r in folded.collect()}
 
 
 class Encoder:
@@ -305,7 +304,7 @@ def little_endian(ids: np.ndarray) -> bytes:
 
 def decode(ids: np.ndarray, tokens: tuple[bytes, ...]) -> bytes:
     """The bytes of the ids' tokens, concatenated."""
-    return b"".join([tokens[i] for i in ids])
+    return b"".join([tokens[i] for i in np.asarray(ids).tolist()])
 
 
 def _over_rows(encoded: DataFrame, keep: tuple[str, ...], columns: str, use: Callable[[np.ndarray], tuple]) -> DataFrame:
