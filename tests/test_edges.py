@@ -138,7 +138,11 @@ def test_hot_baskets_and_sequences_are_spread(spark, mask):
         hot = spread.hot_keys(baskets.distinct(), "basket_id")
         assert [r[0] for r in hot.collect()] == [99]
         left = baskets.distinct().filter("basket_id = 99")
+        for key, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.coalescePartitions.enabled", "false")):
+            spark.conf.set(key, value)  # as with tables that are not this small
         salted = spread.spread_join(left, left.withColumnRenamed("item", "other"), "basket_id", hot)
         assert salted.select(F.spark_partition_id()).distinct().count() > 1 and salted.count() == 900
     finally:
         spark.conf.unset("sparkmine.spread.hotItems")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
