@@ -33,11 +33,12 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the row with the smallest id; of rows with that id
-    the one with the smallest hash of all its columns, and that once."""
+    the one with the smallest hash of all its columns, and that once. Rows without an id
+    are grouped like any other, and stay only where their group has no id at all."""
     row_hash = F.xxhash64(*docs.columns)
-    found = simhash.near_duplicates(docs.select("doc_id", "text", row_hash.alias("row")), keep=("row",), shingle=3, max_distance=2)
-    group = F.coalesce("component_id", F.lit(-1 << 63))  # a group of null ids only
-    first = found.groupBy(group).agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("f"))
+    found = simhash.near_duplicates(
+        docs.select("doc_id", "text", row_hash.alias("row")), keep=("row",), shingle=3, max_distance=2, root="group")
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("f"))
     stay = materialised(first.select(F.col("f.row").alias("__row")).distinct(), "stay")
     # Hashes of whole rows: equal rows meet, and one of them stays.
     rows = docs.withColumn("__row", row_hash).join(stay, "__row", "left_semi")

@@ -114,14 +114,17 @@ def hamming_links(fingerprints: DataFrame, max_distance: int = 2, hot: int = HOT
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (),
-                    shingle: int = 3, max_distance: int = 2) -> DataFrame:
+                    shingle: int = 3, max_distance: int = 2, root: str | None = None) -> DataFrame:
     """One row per row of ``docs``: its id, the columns ``keep``, fingerprint (16 hex
-    digits) and component_id, the smallest id of its group."""
+    digits) and component_id, the smallest id of its group. ``root``, if given, names one
+    more column, the group's smallest fingerprint as a long: groups of null ids only share
+    the component_id null, but never that."""
     prints = materialised(docs.select(doc_id, *keep, fingerprint(F.col(text), shingle).alias("__fp")), "fingerprints")
     classes = materialised(prints.groupBy(F.col("__fp").alias("fp")).agg(F.min(doc_id).alias("least")), "classes")
     roots = connected_components(hamming_links(classes.select("fp"), max_distance))
     rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(groups, "root").select("fp", "component_id")
+    named = rooted.join(groups, "root").select("fp", "component_id", F.col("root").alias("__root"))
+    extra = [F.col("__root").alias(root)] if root else []
     return prints.join(named, F.col("__fp") == F.col("fp")).select(
-        doc_id, *keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        doc_id, *keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *extra)

@@ -115,6 +115,14 @@ def test_stages_on_odd_rows(spark, sf, odd_documents):
     assert sizes["secrets", True] == sizes["encoding", True] == len(rows)
 
 
+def test_near_dedup_keeps_every_group_of_null_ids(spark, sf):
+    fox, sea = "the quick brown fox jumps over the lazy dog", "a calm sea and seven small boats far from any shore"
+    rows = [(None, fox, "a"), (None, fox, "b"), (None, sea, "a"), (4, "some other words that nobody else has used", "a"), (None, "", "a"), (7, "", "a")]
+    docs = materialised(spark.createDataFrame(rows, "doc_id long, text string, source string"), "null-ids")
+    stay = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, docs, sf).collect()]
+    assert sorted(stay, key=repr) == sorted([(None, fox), (None, sea), (4, rows[3][1]), (7, "")], key=repr)
+
+
 def test_run_is_all_stages(spark, sf):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 0 and {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(out.columns)
