@@ -1,8 +1,11 @@
 """Secret scanning with DataFrame functions only: patterns find candidates, and a random
 forest, trained from labelled findings, takes out the false positives.
 
-Candidates are keys of well-known forms, values assigned to names such as ``password`` or
-``token``, and long mixed strings. A candidate's features are its length and character
+Candidates are keys of well-known forms (a PEM key from its BEGIN to its END line),
+passwords in URLs, Bearer values, values assigned to names that contain a word such as
+``password`` or ``token`` (DB_PASSWORD_PROD), and mixed strings of 20 or more characters.
+What has none of these forms, such as a short value that nothing names, is no candidate; of
+a PEM key without its END line only the BEGIN line and mixed strings are. A candidate's features are its length and character
 make-up, its character transitions, how much of it dictionary words cover, whether it lies
 in a path or the document's path looks like a test's, and its neighbouring words.
 
@@ -39,19 +42,36 @@ MASK = "[SECRET]"
 
 # Patterns of candidates.
 NAMES = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key|credential)s?"
-HEAD = rf"(?i:{NAMES})[\"']?[ \t]{{0,3}}(?:=>|:=|[:=])[ \t]{{0,3}}[\"']?"
+IS = r"[\"']?[ \t]{0,3}(?:=>|:=|[:=])"
+# A whole word that contains a name, or a name at a word's end where a match before took the word's start. What
+# follows the word is looked at first: few words are searched for names.
+WORD = r"[0-9A-Za-z_.-]"
+NAMED = rf"(?:(?<!{WORD})(?={WORD}++{IS})(?={WORD}*?(?i:{NAMES})){WORD}++|(?=[AaCcPpSsTt])(?i:{NAMES}))"
+HEAD = rf"{NAMED}{IS}[ \t]{{0,3}}[\"']?"
+URL_HEAD = r"://[^\s/?#:@\"'`<>]*+:"
+IN_URL = r"[^\s/?#\"'`<>]+(?=@)"
+BEARER_HEAD = r"(?<![0-9A-Za-z])[Bb](?i:earer)[ \t]{1,3}"
+BEARER = r"[0-9A-Za-z._~+/=-]{6,}+"
+BEGIN = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
+KEYS = "|".join((
+    r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])",
+    r"gh[pousr]_[0-9A-Za-z]{36}(?![0-9A-Za-z])",
+    r"xox[abprs]-[0-9A-Za-z-]{10,}+",
+    r"AIza[0-9A-Za-z_-]{35}(?![0-9A-Za-z_-])",
+    r"sk_(?:live|test)_[0-9A-Za-z]{16,}+",
+    r"eyJ[0-9A-Za-z_-]{8,}+\.[0-9A-Za-z_-]{8,}+\.[0-9A-Za-z_-]{8,}+",
+    r"SG\.[0-9A-Za-z_-]{16,}+\.[0-9A-Za-z_-]{16,}+",
+))
 KNOWN = "|".join((
-    r"(?<![0-9A-Za-z])(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])",
-    r"(?<![0-9A-Za-z])gh[pousr]_[0-9A-Za-z]{36}(?![0-9A-Za-z])",
-    r"(?<![0-9A-Za-z])xox[abprs]-[0-9A-Za-z-]{10,}+",
-    r"(?<![0-9A-Za-z])AIza[0-9A-Za-z_-]{35}(?![0-9A-Za-z_-])",
-    r"(?<![0-9A-Za-z])sk_(?:live|test)_[0-9A-Za-z]{16,}+",
-    r"(?<![0-9A-Za-z])eyJ[0-9A-Za-z_-]{8,}+\.[0-9A-Za-z_-]{8,}+\.[0-9A-Za-z_-]{8,}+",
-    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:[0-9A-Za-z+/=\s]*+-----END [A-Z ]{0,30}PRIVATE KEY-----)?",
+    rf"(?=[ASagsxe])(?<![0-9A-Za-z])(?:{KEYS})",
+    # From BEGIN to the next five dashes, if they are those of END.
+    BEGIN + r"(?:(?>[\s\S]*?-----)END [A-Z ]{0,30}PRIVATE KEY-----)?",
 ))
-ASSIGNED = rf"{HEAD}[^\s\"'`,;<>(){{}}]{{6,}}+"
-MIXED = r"(?<![0-9A-Za-z+/_=.-])(?=[A-Za-z+/_=-]*+[0-9])[0-9A-Za-z+/_=-]{20,}+"
-CANDIDATE = f"{KNOWN}|{ASSIGNED}|{MIXED}"
+# Not the value, but what stands in it, where that is a URL with a password, "Bearer ..." or a PEM key.
+ASSIGNED = rf"{HEAD}(?![A-Za-z][0-9A-Za-z+.-]*+{URL_HEAD}{IN_URL}|(?i:bearer)[ \t]{{1,3}}{BEARER}|{BEGIN})[^\s\"'`,;<>(){{}}]{{6,}}+"
+HEADED = rf"{URL_HEAD}{IN_URL}|{BEARER_HEAD}(?!{KNOWN}|{HEAD}){BEARER}"
+MIXED = r"(?<![0-9A-Za-z+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[0-9A-Za-z+/_=-]{20,}+"
+CANDIDATE = f"{KNOWN}|{ASSIGNED}|{HEADED}|{MIXED}"
 
 # Dictionary words, frequent pairs of letters, and words beside a finding.
 WORDS = (
@@ -78,8 +98,9 @@ FEATURES = (
 
 def _split_match(match: Column) -> Column:
     """(head, value): what comes before the secret itself and the secret. A key of known
-    form has no head; an assignment's head is the name up to the assigned value."""
-    head = F.regexp_extract(match, f"^(?!{KNOWN})({HEAD})", 1)
+    form has no head; an assignment's head is the name up to the assigned value, a URL's
+    reaches from :// to the password, and a Bearer value's is that word."""
+    head = F.regexp_extract(match, f"^(?!{KNOWN})({HEAD}|{URL_HEAD}|{BEARER_HEAD})", 1)
     return let(head, lambda h: F.struct(h.alias("head"), F.substring(match, F.length(h) + 1, F.length(match)).alias("value")))
 
 
@@ -195,8 +216,9 @@ def train(findings: DataFrame, seed: int = 7) -> Forest:
 
 def _planted() -> list[tuple[int, Column, Column]]:
     """(label, text, path) of each kind of generated finding. ``h1`` and ``h2`` are hex
-    digests, ``b`` is base 62 and ``w1`` to ``w3`` are words of the dictionary."""
-    h1, h2, b, w1, w2, w3 = (F.col(c) for c in ("h1", "h2", "b", "w1", "w2", "w3"))
+    digests, ``b`` is base 62, ``w1`` to ``w3`` are words of the dictionary and ``said`` is
+    a word of the document."""
+    h1, h2, b, w1, w2, w3, said = (F.col(c) for c in ("h1", "h2", "b", "w1", "w2", "w3", "said"))
     none, test = F.lit("src/app/settings"), F.lit("tests/fixtures/data")
 
     def text(*parts: Column | str) -> Column:
@@ -227,6 +249,35 @@ def _planted() -> list[tuple[int, Column, Column]]:
         (0, text("secret: ", w1, w2), none),
         (0, text("password=", first(h1, 18)), test),
         (0, text("api_key: example_", w1, "_", first(h1, 4)), none),
+        # Names within longer ones.
+        (1, text('SECRET_KEY = "', first(h1, 12), '"'), none),
+        (0, text('SECRET_KEY = "your-', w1, "-", w2, '"'), none),
+        (1, text('DB_PASSWORD_PROD: "', F.lower(first(b, 6)), first(F.translate(h1, "abcdef", "012345"), 4), '"'), none),
+        (0, text('DB_PASSWORD_PROD: "', w1, "_", w2, '"'), none),
+        (0, text("the ", w1, "_secretary_", w2, ": ", w3, "_", w1), none),
+        (0, text("the secretary: ", said), none),
+        (0, text("token: ", said), none),
+        # Passwords in URLs.
+        (1, text("postgres://", w1, ":", first(b, 10), "@db.", w2, "/", w3), none),
+        (1, text("https://", w1, ":", first(b, 32), "@", w2, ".com/", w3), none),
+        (0, text("postgres://", w1, ":", w2, "@db.", w3, "/", w1), none),
+        (0, text("redis://:${", F.upper(w1), "_", F.upper(w2), "}@", w3, ":6379"), none),
+        # Bearer values.
+        (1, text("Authorization: Bearer ", F.translate(first(b, 32), "0123456789", "qRsTuVwXyZ")), none),
+        (1, text("Authorization: Bearer ", first(b, 20), ".", first(h1, 24)), none),
+        (0, text("Authorization: Bearer your_", w1, "_", w2), none),
+        (0, text("the bearer ", said), none),
+        # Keys with dots, and long strings behind a dot.
+        (1, text("SG.", first(b, 22), ".", first(h1, 11), F.substring(b, 11, 32)), none),
+        (0, text("SG.your_", w1, "_", w2, "_api_key.your_", w1, "_", w3, "_sendgrid_secret"), none),
+        (1, text("the token hvs.", first(b, 40)), none),
+        (0, text("org.", w1, ".", w2, "_", w3, "2_module_handler_", w1), none),
+        (0, text("0.", first(F.translate(h1, "abcdef", "012345"), 24)), none),
+        # PEM keys.
+        (1, text("-----BEGIN PRIVATE KEY-----\n", b, h1, "\n", h2, b, "==\n-----END PRIVATE KEY-----"), none),
+        (1, text("-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,", F.upper(first(h1, 32)),
+                 "\n\n", b, h2, "\n", b, "\n-----END RSA PRIVATE KEY-----"), none),
+        (0, text("-----BEGIN RSA PRIVATE KEY-----\nyour ", w1, " ", w2, " here\n-----END RSA PRIVATE KEY-----"), none),
     ]
 
 
@@ -251,6 +302,8 @@ def labelled_findings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     rows = rows.withColumns({
         "h1": digest("1"), "h2": digest("2"), "b": F.translate(F.base64(F.unhex(digest("3"))), "+/=", "x7"),
         "w1": word(1), "w2": word(2), "w3": word(3)})
+    said = F.regexp_extract("context", r"\b([a-z]{6,12})\b", 1)
+    rows = rows.withColumn("said", F.when(said == "", F.concat("w1", "w2")).otherwise(said))
 
     def by_kind(pick) -> Column:
         return F.get(F.array(*[pick(k) for k in kinds]), F.col("kind"))
