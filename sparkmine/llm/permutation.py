@@ -30,7 +30,7 @@ from sparkmine.llm.blocks import stacked
 PIVOTS = 256
 PREFIX = 64
 CANDIDATES = 0.2
-LEAST_CANDIDATES = 100
+LEAST_PER_RANK = 2
 
 
 def nearest_pivots(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
@@ -72,6 +72,12 @@ def footrule(order: np.ndarray, files: list[tuple[np.ndarray, np.ndarray]], rows
     return n * (n + 1) - 2 * agree
 
 
+def reranked(rows: int, k: int, candidates: float) -> int:
+    """How many rows of a block are ranked by exact distance: the share ``candidates``, and
+    in a block so small that this is fewer, twice ``k``."""
+    return max(LEAST_PER_RANK * k, int(np.ceil(candidates * rows)))
+
+
 def choose_pivots(vectors: DataFrame, pivots: int) -> np.ndarray:
     """At most ``pivots`` vectors, a few hundred kilobytes, on the driver."""
     chosen = vectors.dropDuplicates(["id"]).orderBy(F.xxhash64(F.lit(8), "id"), "id").limit(pivots).select("v").collect()
@@ -93,7 +99,7 @@ def nearest(rows: DataFrame, is_query: Column, *, k: int = 10, vec_id: str = "ve
         frame, x = stacked(block)
         queries, q = stacked(asking)
         ids, files = frame["id"].to_numpy(), inverted_files(np.array(frame["order"].tolist()), len(chosen))
-        take = max(LEAST_CANDIDATES, int(np.ceil(candidates * len(x))))
+        take = reranked(len(x), k, candidates)
         out = []
         for i, order in enumerate(queries["order"]):
             near = np.argsort(footrule(np.asarray(order), files, len(x)), kind="stable")

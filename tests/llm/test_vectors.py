@@ -57,6 +57,22 @@ def test_nearest_reaches_its_recall(spark, vectors, matrix):
     assert hits >= 0.9 * total
 
 
+def test_a_fifth_of_large_blocks_reaches_its_recall(vectors, matrix, monkeypatch):
+    """Two blocks of about 250 vectors: the fifth decides, not the least number."""
+    ids, x = matrix
+    assert permutation.reranked(len(ids) // 2, 10, permutation.CANDIDATES) <= len(ids) // 10
+    monkeypatch.setattr(blocks, "LEAST_BLOCKS", 2)
+    found = by_query(permutation.nearest(vectors, F.col("id") % 20 == 0).collect())
+    hits = total = 0
+    for i in np.flatnonzero(ids % 20 == 0):
+        far = ((x - x[i]) ** 2).sum(axis=1)
+        best = [j for j in np.lexsort((ids, far)) if j != i][:10]
+        hits += len({int(ids[j]) for j in best} & {v for v, _ in found[int(ids[i])]})
+        total += 10
+    print(f"recall {hits / total:.4f} of {total}")
+    assert hits >= 0.9 * total
+
+
 def test_footrule_is_that_of_the_definition():
     rng = np.random.default_rng(1)
     orders = np.array([rng.permutation(12)[:5] for _ in range(40)])
