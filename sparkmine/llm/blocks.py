@@ -36,12 +36,13 @@ def valid_vectors(rows: DataFrame, vec_id: str, vector: str, nonzero: bool = Fal
     return fine.filter(F.size("v") == (length["n"] if length else 0))
 
 
-def stacked(frame: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
-    """A block's rows in the order of their ids, repeated rows once, and their matrix."""
+def stacked(frame: pd.DataFrame, distinct: bool = False) -> tuple[pd.DataFrame, np.ndarray]:
+    """A block's rows in the order of their ids and their matrix; with ``distinct`` (for
+    queries) repeated rows once."""
     v = np.array(frame["v"].tolist(), dtype=np.float64)
     order = sorted(range(len(v)), key=lambda i: (frame["id"].iat[i], v[i].tobytes()))
     once = [i for k, i in enumerate(order)
-            if not k or frame["id"].iat[i] != frame["id"].iat[order[k - 1]] or (v[i] != v[order[k - 1]]).any()]
+            if not distinct or not k or frame["id"].iat[i] != frame["id"].iat[order[k - 1]] or (v[i] != v[order[k - 1]]).any()]
     return frame.iloc[once].reset_index(drop=True), v[once]
 
 
@@ -49,7 +50,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, search: Search, k: int, *, s
     """(query_id, rank from 1, vec_id, score) of each query's best ``k`` rows.
 
     ``vectors`` and ``queries``: id, v and any further columns that ``search`` needs. A
-    query's own id is never found. Ties go to the smaller id. ``score``: its Spark type."""
+    query's own id is never found. A row that repeats id and vector is one query, but each
+    such row takes a rank of its own where it is found. Ties go to the smaller id. ``score``: its Spark type."""
     size = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
     asked = queries.count()
     row_bytes = 8 * (size["d"] or 1)
@@ -80,7 +82,7 @@ def _query_keys(asking: pd.DataFrame) -> list[tuple[int, int]]:
     """(hash of the vector, id): rows with one id and different vectors are two queries."""
     import xxhash
 
-    frame, v = stacked(asking)
+    frame, v = stacked(asking, distinct=True)
     return [(xxhash.xxh64_intdigest(v[i].tobytes()) - (1 << 63), int(frame["id"].iat[i])) for i in range(len(v))]
 
 

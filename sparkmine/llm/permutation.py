@@ -97,7 +97,7 @@ def nearest(rows: DataFrame, is_query: Column, *, k: int = 10, vec_id: str = "ve
 
     def meet(block: pd.DataFrame, asking: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
         frame, x = stacked(block)
-        queries, q = stacked(asking)
+        queries, q = stacked(asking, distinct=True)
         ids, files = frame["id"].to_numpy(), inverted_files(np.array(frame["order"].tolist()), len(chosen))
         take = reranked(len(x), k, candidates)
         out = []

@@ -86,7 +86,7 @@ def top_k(rows: DataFrame, is_query: Column, *, k: int = 5, vec_id: str = "vec_i
 
     def meet(block: pd.DataFrame, asking: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
         frame, x = stacked(block)
-        queries, q = stacked(asking)
+        queries, q = stacked(asking, distinct=True)
         return search(x, frame["id"].to_numpy(), q, queries["id"].to_numpy(), k)
 
     return blocks.nearest(fine, fine.filter(is_query), meet, k, score="long", descending=True)

@@ -118,6 +118,14 @@ def test_one_id_with_several_vectors_is_several_queries_of_that_id(spark):
     assert sorted((r["vec_id"], r["score"]) for r in rows) == [(1, 65536), (1, 131072)]
 
 
+@pytest.mark.parametrize("search", [vafile.top_k, permutation.nearest])
+def test_each_repeated_row_takes_a_rank(spark, search):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.0]), (3, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = search(df, F.col("id") == 0, k=3).collect()
+    assert sorted((r["rank"], r["vec_id"]) for r in found) == [(1, 1), (2, 1), (3, 2)]
+
+
 def test_blocks_grow_with_the_table(vectors, monkeypatch):
     expected = by_query(vafile.top_k(vectors, F.col("id") % 100 == 0).collect())
     monkeypatch.setattr(blocks, "BLOCK_BYTES", 2048)  # several query blocks as well
