@@ -62,6 +62,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop's FileSystem of ``path``, ``path`` as it names one)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file, if it is there."""
+    fs, where = file_system(spark, path)
+    fs.delete(where, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local checkpoint.
 
@@ -127,8 +139,7 @@ class Scratch:
         for name, _ in self.tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         for path in self.paths:
-            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+            delete_path(self.spark, path)
         self.tables, self.cached, self.paths = [], [], []
 
 
