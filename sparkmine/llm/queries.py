@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import bpe, chat, langid, mixing, permutation, quality, secret_scan, simhash, vafile, warc
+from sparkmine.llm import (
+    bpe, chat, clusters, langid, maxent, mixing, negatives, permutation, quality, secret_scan, simhash, vafile, warc)
 from sparkmine.llm.common import crc_bucket, materialised, table
 from sparkmine.session import checkpoint_dir, scratch_path
 
@@ -149,3 +150,71 @@ select page_id, payload_bytes,
   case when page_id = owner then 'response' else 'revisit' end as record_type,
   case when page_id <> owner then owner end as refers_to
 from d"""
+
+
+@query
+def op11_ns_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clusters.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, components=64, scale=256, salt="2:")
+    return clusters.with_inertia(found).select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _clusters_sql(k: int, rounds: int) -> str:
+    """The rounds one after another; a centroid is a list of its components as doubles, in
+    which all integers here are exact."""
+    steps = [f"""
+v as materialized (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v,
+    row_number() over (order by sha256('2:' || vec_id::varchar) nulls last, list_transform(embedding, lambda x: floor(256 * x::double))) as h
+  from embeddings where embedding is not null and len(embedding) = 64
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+c0 as materialized (select (h - 1)::int as c, v as m from v where h <= {k})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} as materialized (select h, any_value(vec_id) as vec_id, any_value(v) as v, arg_min(c, d * 1000 + c) as c, min(d) as d from (
+  select *, list_inner_product(v, v) - 2 * list_inner_product(v, m) + list_inner_product(m, m) as d from v, c{r}) group by h)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} as materialized (select c, i, floor(sum(x) / count(*)) as x from (
+  select c, unnest(v) as x, generate_subscripts(v, 1) as i from a{r}) group by c, i),
+c{r + 1} as materialized (select c, coalesce(n.m, c{r}.m) as m from c{r} left join (select c, list(x order by i) as m from s{r} group by c) n using (c))""")
+    return f"""with {",".join(steps)},
+t as (select c, sum(d)::bigint as own from a{rounds} group by c)
+select vec_id, a.c as cluster, d::bigint as distance, own as cluster_inertia, (select sum(own) from t)::bigint as inertia,
+  sha256(array_to_string(list_transform(m, lambda x: x::bigint), ',')) as centroid_sha256
+from a{rounds} a join t using (c) join c{rounds} using (c)"""
+
+
+ORACLE["op11_ns_clusters"] = _clusters_sql(40, 5)
+
+
+@query
+def op12_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return negatives.hard_negatives(rows, F.col("id") % 100 == 0, positives=5, negatives=5, low=80, high=100, scale=256)
+
+
+ORACLE["op12_kronecker_negatives"] = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where embedding is not null and label is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as materialized (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_inner_product(a.v, c.v)::bigint as score
+  from v a join v c on a.vec_id <> c.vec_id where a.vec_id % 100 = 0),
+p as (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as place from s where same),
+n as (
+  select p.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score,
+    row_number() over (partition by p.anchor_id, p.vec_id order by s.score desc, s.vec_id)::int as rank
+  from p join s on p.anchor_id = s.anchor_id and not s.same
+    and 80 * p.score <= 100 * s.score and 100 * s.score <= 100 * p.score where p.place <= 5)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 5"""
+
+
+@query
+def op13_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_bucket(F.col("doc_id"), 7) == 2
+    trained = maxent.train(docs.filter(~held_out))
+    scored = maxent.score(docs, trained)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
