@@ -355,10 +355,16 @@ def _learner(vocab: Vocabulary, weights: Weights):
     return learn
 
 
-def _sum_blocks(blocks: pd.DataFrame) -> pd.DataFrame:
-    first = blocks.iloc[0]
-    sums = [sum(np.frombuffer(x, dtype=np.float32) for x in blocks[c]).tobytes() for c in ("change", "moved")]
-    return pd.DataFrame([(first["part"], first["block"], *sums)], columns=["part", "block", "change", "moved"])
+def _sum_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The blocks' sums over all tasks; it holds one copy of each block at a time."""
+    sums: dict[tuple[int, int], list[np.ndarray]] = {}
+    for batch in batches:
+        for b in batch.itertuples():
+            own = [np.frombuffer(x, dtype=np.float32) for x in (b.change, b.moved)]
+            seen = sums.get((b.part, b.block))
+            sums[b.part, b.block] = [x + y for x, y in zip(seen, own)] if seen else own
+    rows = [(*key, *(x.tobytes() for x in total)) for key, total in sums.items()]
+    yield pd.DataFrame(rows, columns=["part", "block", "change", "moved"])
 
 
 def train(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", rounds: int = ROUNDS) -> Trained:
@@ -374,7 +380,7 @@ def train(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", rounds
         rows = texts.filter(F.col("round") == r).select("text").coalesce(tasks)
         blocks = rows.mapInPandas(_learner(vocab, weights), schema)
         # As many rows as the tables have blocks reach the driver, whatever the corpus.
-        for b in blocks.groupBy("part", "block").applyInPandas(_sum_blocks, schema).toPandas().itertuples():
+        for b in blocks.repartition("part", "block").mapInPandas(_sum_blocks, schema).toPandas().itertuples():
             at = slice(b.block * BLOCK, (b.block + 1) * BLOCK)
             moved = np.frombuffer(b.moved, dtype=np.float32)
             change = np.frombuffer(b.change, dtype=np.float32).reshape(len(moved), -1)
