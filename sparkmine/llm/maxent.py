@@ -391,6 +391,7 @@ def train(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", rounds
 
 # ---- scores ----------------------------------------------------------------------------
 
+SCORES = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 _PART = "row long, n_tokens long, n_known long, table_log double, part double, words array<binary>, times array<long>"
 
 
@@ -419,12 +420,14 @@ def _scorer(vocab: Vocabulary, weights: Weights):
 
 
 def score(docs: DataFrame, trained: Trained, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``'s columns with n_tokens, n_known (of training words), train_tokens,
+    """``keep``'s columns (but those named like a new one) with n_tokens, n_known (of training words), train_tokens,
     base_score (add-one unigram) and score (the model), both log10 probabilities."""
     vocab = trained.vocab
-    rows = materialised(docs.select(F.monotonically_increasing_id().alias("row"), *keep, F.col(text).cast("binary").alias("__text")), "texts")
+    keep = tuple(c for c in keep if c not in SCORES)
     # The names of the columns kept may be any, so they stay apart until the end.
-    parts = materialised(rows.select("row", F.col("__text").alias("text")).mapInPandas(_scorer(vocab, trained.weights), _PART), "parts")
+    rows = materialised(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("kept"),
+                                    F.col(text).cast("binary").alias("text")), "texts")
+    parts = materialised(rows.select("row", "text").mapInPandas(_scorer(vocab, trained.weights), _PART), "parts")
     asked = parts.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", "w.words", "w.times")
     met = asked.join(trained.counts.select(F.col("word").alias("words"), "n"), "words")
     found = met.groupBy("row").agg(F.sum("times").alias("met"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("log"))
@@ -434,5 +437,4 @@ def score(docs: DataFrame, trained: Trained, *, text: str = "text", keep: tuple[
         "row", F.struct("n_tokens", (F.col("n_known") + F.coalesce("met", F.lit(0))).alias("n_known"),
                         F.lit(vocab.train_tokens).cast("long").alias("train_tokens"), base.alias("base_score"),
                         (F.col("part") + log).alias("score")).alias("sums"))
-    kept = rows.select("row", F.struct(*keep).alias("kept")).join(sums, "row")
-    return kept.select(*[F.col("kept")[c].alias(c) for c in keep], "sums.*")
+    return rows.select("row", "kept").join(sums, "row").select(*[F.col("kept")[c].alias(c) for c in keep], "sums.*")

@@ -7,8 +7,8 @@ fields of one wide integer. One multiplication by an anchor's j-th component mul
 of them; the sums over j then hold one biased score in each field. Adding a constant makes
 the fields non-negative, they are cut out, and the biases are taken off: exact scores.
 Fields are as wide as the largest possible biased score, by Cauchy and Schwarz over the
-block's and the anchors' lengths; machine words hold as many as 63 bits take, and where not
-one fits, the same is done on Python's unbounded integers, ``LONG_FIELDS`` to each.
+block's and the anchors' lengths; machine words hold as many as 63 bits take, and where that
+is but one, the same is done on Python's unbounded integers, ``LONG_FIELDS`` to each.
 
 The anchors are a stated query set, and every row meets every anchor once in each of two
 passes: one finds the positives, the other, knowing their scores, the negatives. Rows are
@@ -55,7 +55,7 @@ def field_bits(anchors: np.ndarray, biased: np.ndarray) -> int:
 def packed(biased: np.ndarray, bits: int) -> tuple[np.ndarray, int]:
     """(integers of a number of rows' components side by side: groups x components, rows
     to a group). Row g of group i is row ``i * fields + g``."""
-    fields, kind = (63 // bits, np.int64) if bits <= 63 else (LONG_FIELDS, object)
+    fields, kind = (63 // bits, np.int64) if bits <= 31 else (LONG_FIELDS, object)
     groups = -(-len(biased) // fields)
     rows = np.zeros((groups * fields, biased.shape[1]), dtype=kind)
     rows[:len(biased)] = biased
