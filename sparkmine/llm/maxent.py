@@ -16,12 +16,13 @@ word", class by class, add up to 1.
 Training goes once over all training documents, in ``ROUNDS`` disjoint parts by a hash of
 the text. In each round every task takes minibatches of its rows through AdaGrad updates
 (one step size a row of weights) and returns the rows that it touched; a row's new weights
-are the tasks' mean, weighted by how much each moved its step size. Scores are made in
+are the tasks' mean, weighted by how much each moved its step size. (Tasks send changes in half precision.) Scores are made in
 batches: rows of weights are gathered for the features that occur, and softmaxed.
 
 The exact counts of all words grow with the corpus and never leave Spark: tasks hold those
-of the ``TABLE_WORDS`` most frequent ones, and each document's other words meet theirs in a
-join. No such word makes up more than 1 / TABLE_WORDS of all tokens, so no key is hot.
+of about the ``TABLE_WORDS`` most frequent ones, and each document's other words meet theirs in a
+join. A word outside the table makes up about 1 / TABLE_WORDS of all tokens at most, so no key
+is hot.
 
 Defined cases: null and empty texts are the end alone; documents without an id aren't held
 out by the queries, and learned from like others; repeated rows are scored, and count, each
@@ -51,11 +52,12 @@ CLASS_WORDS = 64
 RARE_CLASSES = 32
 CLASS_ROWS = 1 << 14
 WORD_ROWS = 1 << 15
-ROUNDS = 4
-SHARD_TOKENS = 4_000_000  # that a task trains on in a round
+ROUNDS = 3
+SHARD_TOKENS = 6_000_000  # that a task trains on in a round
 BATCH = 8_192  # tokens of an update
-SCORED = 2_048  # tokens scored at once
+SCORED = 1_024  # tokens scored at once
 PIECE = 65_536  # tokens looked up at once
+SHORT = 16  # entries that are summed with others'
 STEP = 1.0
 CHUNK = 1 << 20  # bytes of a text split at once
 COUNTED = 400_000  # distinct words that a task holds before it passes them on
@@ -139,11 +141,28 @@ class Vocabulary(NamedTuple):
         return np.log(np.concatenate([head.sum(axis=1), self.rare_tokens + 1.0])).astype(np.float32), members.astype(np.float32)
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """About the ``most`` most frequent words, and not more: those whose count is above a
+    threshold, and of those at it (counts within a hundredth) a share by hash."""
+    step = F.floor(F.log2("n") * 64).cast("int")  # 64 * 64 steps at most
+    steps = sorted(((r["step"], r["count"]) for r in counts.groupBy(step.alias("step")).count().collect()), reverse=True)
+    room, least, share = most, -1, 0.0
+    for at, words in steps:
+        if words > room:
+            least, share = at, 0.95 * room / words
+            break
+        room -= words
+    place = F.pmod(F.xxhash64(F.lit(29), "word"), F.lit(1 << 20))
+    return counts.filter((step > least) | ((step == least) & (place < int(share * (1 << 20)))))
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """From the counted words, written as a table. The sums over the rare classes are
     those over all words, less those of the softmax's."""
-    top = counts.orderBy(F.desc("n"), "word").limit(TABLE_WORDS).toPandas()
-    words = [bytes(w) for w in top["word"]]
+    top = frequent(counts, TABLE_WORDS).toPandas()
+    top["word"] = [bytes(w) for w in top["word"]]
+    top = top.sort_values(["n", "word"], ascending=[False, True])
+    words = top["word"].tolist()
     size = F.octet_length("word")
 
     def byte(at: Column) -> Column:  # of the word, as a number
@@ -267,25 +286,33 @@ class Model:
         _step(self.weights.members, self.weights.member_steps, members[head], q)
 
 
+def _row_sums(gradient: np.ndarray, source: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of ``gradient`` over segments of ``source``, which start at ``first`` and have
+    ``n`` entries: short segments together, entry by entry, long ones each by itself."""
+    total = gradient[source[first]]
+    more, k = np.flatnonzero((n > 1) & (n <= SHORT)), 1
+    while len(more):
+        total[more] += gradient[source[first[more] + k]]
+        k += 1
+        more = more[n[more] > k]
+    for i in np.flatnonzero(n > SHORT):
+        total[i] = gradient[source[first[i]:first[i] + n[i]]].sum(axis=0)
+    return total
+
+
 def _step(table: np.ndarray, steps: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
     if not len(rows):
         return
     flat = rows.ravel()
-    order = np.argsort(flat, kind="stable")
+    order = np.argsort(flat.astype(np.uint16), kind="stable")  # there are fewer rows than 1 << 16
     own, source = flat[order], order // rows.shape[1]
     first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-    n = np.diff(np.append(first, len(own)))
-    total = gradient[source[first]]  # the sums of each row's gradients: its first, second, ... in turn
-    more, k = np.flatnonzero(n > 1), 1
-    while len(more) > 16:
-        total[more] += gradient[source[first[more] + k]]
-        k += 1
-        more = more[n[more] > k]
-    for i in more:  # the few rows that occur most
-        total[i] += gradient[source[first[i] + k:first[i] + n[i]]].sum(axis=0)
+    total = _row_sums(gradient, source, first, np.diff(np.append(first, len(own))))
     touched = own[first]
-    steps[touched] += np.square(total).sum(axis=1)
-    table[touched] -= (STEP / np.sqrt(steps[touched]))[:, None] * total
+    steps[touched] += np.einsum("ij,ij->i", total, total)
+    total *= (-STEP / np.sqrt(steps[touched]))[:, None]
+    total += table.take(touched, axis=0)
+    table[touched] = total
 
 
 def with_history(symbols: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -295,27 +322,25 @@ def with_history(symbols: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.
     return np.stack([line[2:2 + n], line[1:1 + n], line[:n]], axis=1), line[-3:]
 
 
-def pieces(model: Model, texts: Iterator[bytes | None]) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
-    """(number of the text, words, places, symbols, histories) of about PIECE tokens each."""
+def pieces(model: Model, texts: Iterator[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[tuple[int, list[bytes]]]]]:
+    """(number of the text, places, symbols, histories of the tokens, and for each text the
+    words outside the table, with its number) of about PIECE tokens each."""
     held: list[tuple] = []
-    words: list[bytes] = []
-
-    def joined():
-        parts = [np.concatenate(x) for x in zip(*held)]
-        return parts[0], words, *parts[1:]
-
+    unknown: list[tuple[int, list[bytes]]] = []
+    n = 0
     for i, text in enumerate(texts):
         past = np.full(3, model.start)
         for part in tokens(text):
             place, symbol = model.symbols(part)
             history, past = with_history(symbol, past)
             held.append((np.full(len(part), i), place, symbol, history))
-            words += part
-            if len(words) >= PIECE:
-                yield joined()
-                held, words = [], []
+            unknown.append((i, [part[j] for j in np.flatnonzero(place < 0)]))
+            n += len(part)
+            if n >= PIECE:
+                yield *(np.concatenate(x) for x in zip(*held)), unknown
+                held, unknown, n = [], [], 0
     if held:
-        yield joined()
+        yield *(np.concatenate(x) for x in zip(*held)), unknown
 
 
 # ---- training --------------------------------------------------------------------------
@@ -335,7 +360,7 @@ def _learner(vocab: Vocabulary, weights: Weights):
         model = Model(vocab, own)
         symbols, history = np.empty(0, dtype=np.int64), np.empty((0, 3), dtype=np.int64)
         for batch in batches:
-            for _, _, _, symbol, past in pieces(model, batch["text"]):
+            for _, _, symbol, past, _ in pieces(model, batch["text"]):
                 symbols, history = np.concatenate((symbols, symbol)), np.concatenate((history, past))
                 whole = len(symbols) // BATCH * BATCH
                 for at in range(0, whole, BATCH):
@@ -346,7 +371,7 @@ def _learner(vocab: Vocabulary, weights: Weights):
         rows = []
         for part in (0, 1):
             moved = own[part + 2] - weights[part + 2]
-            change = (own[part] - weights[part]) * moved[:, None]
+            change = (own[part] - weights[part]).astype(np.float16)  # half of what is sent
             for block in np.unique(np.flatnonzero(moved) // BLOCK):
                 at = slice(block * BLOCK, (block + 1) * BLOCK)
                 rows.append((part, int(block), change[at].tobytes(), moved[at].tobytes()))
@@ -360,7 +385,9 @@ def _sum_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     sums: dict[tuple[int, int], list[np.ndarray]] = {}
     for batch in batches:
         for b in batch.itertuples():
-            own = [np.frombuffer(x, dtype=np.float32) for x in (b.change, b.moved)]
+            moved = np.frombuffer(b.moved, dtype=np.float32)
+            change = np.frombuffer(b.change, dtype=np.float16).reshape(len(moved), -1) * moved[:, None]
+            own = [change, moved]
             seen = sums.get((b.part, b.block))
             sums[b.part, b.block] = [x + y for x, y in zip(seen, own)] if seen else own
     rows = [(*key, *(x.tobytes() for x in total)) for key, total in sums.items()]
@@ -392,49 +419,49 @@ def train(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", rounds
 # ---- scores ----------------------------------------------------------------------------
 
 SCORES = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
-_PART = "row long, n_tokens long, n_known long, table_log double, part double, words array<binary>, times array<long>"
+_PART = "n_tokens long, n_known long, table_log double, part double, rest string"
 
 
 def _scorer(vocab: Vocabulary, weights: Weights):
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(_PART)
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = Model(vocab, weights)
         shares = np.log10(vocab.rare_tokens + vocab.rare_words + 1.0)
-        for batch in batches:
-            n = len(batch)
+        for texts in batches:
+            n = len(texts)
             sums = np.zeros((4, n))
-            unknown: list[Counter] = [Counter() for _ in range(n)]
-            for text, words, place, symbol, history in pieces(model, batch["text"]):
+            rest = [b""] * n
+            for text, place, symbol, history, unknown in pieces(model, texts):
                 log = model.log10(history, symbol)
                 known, rare = place >= 0, symbol >= SOFTMAX_WORDS
                 counted = model.log_counts[place]
                 log[rare] += counted[rare] - shares[symbol[rare] - SOFTMAX_WORDS]
                 for k, x in enumerate((np.ones(len(text)), known, counted, log)):
                     sums[k] += np.bincount(text, weights=x, minlength=n)
-                for i in np.flatnonzero(~known):
-                    unknown[text[i]][words[i]] += 1
-            yield pd.DataFrame({"row": batch["row"], "n_tokens": sums[0].astype(np.int64), "n_known": sums[1].astype(np.int64),
-                                "table_log": sums[2], "part": sums[3], "words": [list(u) for u in unknown],
-                                "times": [list(u.values()) for u in unknown]})
+                for i, words in unknown:
+                    if words:
+                        rest[i] = b" ".join([rest[i], *words]) if rest[i] else b" ".join(words)
+            yield pd.DataFrame({"n_tokens": sums[0].astype(np.int64), "n_known": sums[1].astype(np.int64), "table_log": sums[2],
+                                "part": sums[3], "rest": [r.decode() for r in rest]})
 
     return score
 
 
 def score(docs: DataFrame, trained: Trained, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``'s columns (but those named like a new one) with n_tokens, n_known (of training words), train_tokens,
-    base_score (add-one unigram) and score (the model), both log10 probabilities."""
+    """``keep``'s columns (but those named like a new one) with n_tokens, n_known (of
+    training words), train_tokens, base_score (add-one unigram) and score (the model), both
+    log10 probabilities."""
     vocab = trained.vocab
     keep = tuple(c for c in keep if c not in SCORES)
     # The names of the columns kept may be any, so they stay apart until the end.
-    rows = materialised(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("kept"),
-                                    F.col(text).cast("binary").alias("text")), "texts")
-    parts = materialised(rows.select("row", "text").mapInPandas(_scorer(vocab, trained.weights), _PART), "parts")
-    asked = parts.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", "w.words", "w.times")
-    met = asked.join(trained.counts.select(F.col("word").alias("words"), "n"), "words")
-    found = met.groupBy("row").agg(F.sum("times").alias("met"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("log"))
+    parts = docs.select(F.struct(*keep).alias("kept"), _scorer(vocab, trained.weights)(F.col(text).cast("binary")).alias("p"))
+    parts = materialised(parts.select(F.monotonically_increasing_id().alias("row"), "kept", "p.*"), "parts")
+    # The words outside the table, one row each; no word holds a blank.
+    words = F.explode(F.split(F.col("rest"), " ").cast("array<binary>")).alias("word")
+    met = parts.filter(F.col("rest") != "").select("row", words).join(trained.counts, "word")
+    found = met.groupBy("row").agg(F.count(F.lit(1)).alias("met"), F.sum(F.log10(F.col("n") + 1.0)).alias("log"))
     log = F.coalesce("log", F.lit(0.0))
     base = F.col("table_log") + log - F.col("n_tokens") * F.lit(float(np.log10(vocab.train_tokens + vocab.train_words + 1)))
-    sums = parts.drop("words", "times").join(found, "row", "left").select(
-        "row", F.struct("n_tokens", (F.col("n_known") + F.coalesce("met", F.lit(0))).alias("n_known"),
-                        F.lit(vocab.train_tokens).cast("long").alias("train_tokens"), base.alias("base_score"),
-                        (F.col("part") + log).alias("score")).alias("sums"))
-    return rows.select("row", "kept").join(sums, "row").select(*[F.col("kept")[c].alias(c) for c in keep], "sums.*")
+    return parts.drop("rest").join(found, "row", "left").select(
+        *[F.col("kept")[c].alias(c) for c in keep], "n_tokens", (F.col("n_known") + F.coalesce("met", F.lit(0))).alias("n_known"),
+        F.lit(vocab.train_tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("part") + log).alias("score"))

@@ -136,9 +136,11 @@ def test_base_and_counts(spark, documents, monkeypatch, table_words):
     # The rare classes' sums are those of plain counts.
     counts = Counter(w for r in rows if r["doc_id"] % 3 for w in plain_tokens(r["text"]))
     rare = [0] * maxent.RARE_CLASSES
-    for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[maxent.SOFTMAX_WORDS:]:
-        rare[maxent.rare_class(w)] += n
+    for w, n in counts.items():
+        rare[maxent.rare_class(w)] += n if w not in trained.vocab.words[:maxent.SOFTMAX_WORDS] else 0
     assert trained.vocab.rare_tokens.tolist() == rare
+    assert len(trained.vocab.words) <= table_words and len(trained.vocab.words) >= min(len(counts), 0.5 * table_words)
+    assert dict(zip(trained.vocab.words, trained.vocab.counts)).items() <= counts.items()
 
 
 def test_scores_by_plain_loops(spark, documents, monkeypatch):
