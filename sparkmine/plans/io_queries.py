@@ -21,6 +21,7 @@ from sparkmine.plans.catalog import register
 from sparkmine.plans.oracle_views import with_views as W
 from sparkmine.session import scratch_path
 from sparkmine.sources import delimited as D
+from sparkmine.sources import files as FS
 from sparkmine.sources import lines as L
 from sparkmine.sources import tables as TB
 
@@ -75,6 +76,19 @@ def src_tsv_header(spark, d):
     return D.read_delimited(spark, path, EMP, sep="\t", header=True)
 
 
+@register("src_header_blank", W("""select case when salary % 3 = 0 then '' else state end as state,
+  case when salary % 3 = 0 then '' else job_title end as job_title, count(*) as num
+from employees group by all""", "employees"))
+def src_header_blank(spark, d):
+    """Header files in which a third of the rows holds empty fields only."""
+    path = scratch_path(spark, "employees_blank")
+    e = V.employees(spark, d)
+    rows = e.select(*[F.when(F.col("salary") % 3 == 0, "").otherwise(F.col(c)).alias(c) for c in ("state", "job_title")])
+    D.write_delimited(rows, path, sep="\t", header=True)
+    back = D.read_delimited(spark, path, "state string, job_title string", sep="\t", header=True)
+    return back.groupBy("state", "job_title").agg(F.count(F.lit(1)).alias("num"))
+
+
 @register("src_glob", W("""select campaign_id, date, time, upper(trim(keyword)) as keyword, display_site, placement,
 was_clicked, cpc from ads""", "ads"))
 def src_glob(spark, d):
@@ -129,6 +143,19 @@ def head_fraction(spark, d):
 _CATS = ", ".join(f"({i + 1}, '{n}')" for i, n in enumerate(L.CATEGORIES))
 
 
+HEAD_LINES = 150
+
+
+@register("head_lines", f"""with l as (select doc_id, unnest(string_split(text, chr(10))) as value,
+  generate_subscripts(string_split(text, chr(10)), 1) as i from documents)
+select row_number() over (order by doc_id, i) - 1 as line_id, value from l order by doc_id, i limit {HEAD_LINES}""")
+def head_lines(spark, d):
+    """The first lines of a folder of many files, of which the leading ones are read."""
+    path = scratch_path(spark, "documents_many")
+    V.table(spark, d, "documents").repartitionByRange(16, "doc_id").sortWithinPartitions("doc_id").select("text").write.text(path)
+    return L.read_head_lines(spark, path, k=HEAD_LINES)
+
+
 @register("src_sequences", f"""with w as (select doc_id, unnest(string_split_regex(trim(text), '\\s+')) as word
   from documents),
 c as (select doc_id, length(word) % 17 + 1 as code from w),
@@ -224,6 +251,79 @@ def nested_struct(spark, d):
     return _loyalty_back(spark, d).select("cust_id", F.col("order_value.total").alias("total"))
 
 
+_INTS = T.ArrayType(T.IntegerType())
+NESTED = T.StructType([
+    T.StructField("cust_id", T.IntegerType()),
+    T.StructField("visits", T.ArrayType(T.StructType([
+        T.StructField("day", T.IntegerType()), T.StructField("pages", T.ArrayType(T.StringType()))]))),
+    T.StructField("limits", T.MapType(T.StringType(), _INTS)),
+    T.StructField("last", T.StructType([T.StructField("codes", _INTS)])),
+])
+
+
+def _nested_rows(spark, d):
+    """Customers with arrays of structs, maps of arrays and a struct of one array, in which
+    values, members and whole collections are null or empty, by the customer's number."""
+    key = F.col("c_custkey").cast("int")
+    none = F.lit(None)
+    kinds = {f.name: f.dataType for f in NESTED.fields}
+    visit = kinds["visits"].elementType
+
+    def day(n, pages):
+        return F.struct(n.cast("int").alias("day"), pages.cast("array<string>").alias("pages")).cast(visit)
+
+    def ints(*values):
+        return F.array(*values).cast("array<int>")
+
+    pages = F.array(F.col("c_mktsegment"), none.cast("string"), F.lit(""))
+    visits = (F.when(key % 5 == 1, F.array().cast(kinds["visits"]))
+              .when(key % 5 == 2, F.array(day(key, pages), none.cast(visit), day(none, F.array())))
+              .when(key % 5 == 3, F.array(day(key, none)))
+              .when(key % 5 == 4, F.array(none.cast(visit))))
+    limits = (F.when(key % 4 == 1, F.create_map().cast(kinds["limits"]))
+              .when(key % 4 == 2, F.create_map(F.lit("a"), ints(key, none), F.lit("b"), none.cast("array<int>")))
+              .when(key % 4 == 3, F.create_map(F.lit("c"), ints())))
+    last = (F.when(key % 3 == 1, F.struct(none.cast("array<int>").alias("codes")))
+            .when(key % 3 == 2, F.struct(F.when(key % 2 == 0, ints()).otherwise(ints(none)).alias("codes"))))
+    return V.table(spark, d, "customer").select(key.alias("cust_id"), visits.alias("visits"), limits.alias("limits"), last.alias("last"))
+
+
+@register("nested_deep", """select k as cust_id,
+  case k % 5 when 1 then 0 when 2 then 3 when 3 then 1 when 4 then 1 end::int as n_visits,
+  case when k % 5 in (1, 3) then 0 when k % 5 in (2, 4) then 1 end::int as null_visits,
+  case when k % 5 in (2, 3) then k end as first_day,
+  case when k % 5 = 2 then 3 end::int as n_pages, case when k % 5 = 2 then c_mktsegment end as first_page,
+  case when k % 5 = 2 then 1 end::int as null_pages, case when k % 5 = 2 then '' end as last_page,
+  case when k % 5 = 2 then 0 end::int as third_pages,
+  case k % 4 when 1 then 0 when 2 then 2 when 3 then 1 end::int as n_limits,
+  case when k % 4 = 2 then k end as a_first, case when k % 4 = 2 then 2 end::int as n_a,
+  case when k % 4 = 2 then true when k % 4 <> 0 then false end as b_null, case when k % 4 = 3 then 0 end::int as n_c,
+  k % 3 = 0 as last_null, case when k % 3 = 2 then k % 2 end::int as n_codes
+from (select c_custkey::int as k, c_mktsegment from customer)""")
+def nested_deep(spark, d):
+    """Written and read back; what the nested columns hold, in flat columns."""
+    path = scratch_path(spark, "nested_deep")
+    D.write_nested_delimited(_nested_rows(spark, d), path)
+    back = D.read_nested_delimited(spark, path, NESTED)
+    visits, limits, first = F.col("visits"), F.col("limits"), F.get("visits", 0)
+    size = {c: F.when(F.col(c).isNotNull(), F.size(c)) for c in ("visits", "limits")}
+
+    def n(c):
+        return F.when(c.isNotNull(), F.size(c))
+
+    def nulls(c):
+        return F.when(c.isNotNull(), F.size(F.filter(c, lambda x: x.isNull())))
+
+    a = F.try_element_at(limits, F.lit("a"))
+    return back.select(
+        "cust_id", size["visits"].alias("n_visits"), nulls(visits).alias("null_visits"), first["day"].alias("first_day"),
+        n(first["pages"]).alias("n_pages"), F.get(first["pages"], 0).alias("first_page"), nulls(first["pages"]).alias("null_pages"),
+        F.get(first["pages"], 2).alias("last_page"), n(F.get("visits", 2)["pages"]).alias("third_pages"),
+        size["limits"].alias("n_limits"), F.get(a, 0).alias("a_first"), n(a).alias("n_a"),
+        (F.map_contains_key(limits, "b") & F.try_element_at(limits, F.lit("b")).isNull()).alias("b_null"),
+        n(F.try_element_at(limits, F.lit("c"))).alias("n_c"), F.col("last").isNull().alias("last_null"), n(F.col("last.codes")).alias("n_codes"))
+
+
 # ---- catalog tables ------------------------------------------------------------------------
 
 @register("tbl_external", W("select job_title, count(*) as num from employees group by job_title", "employees"))
@@ -270,6 +370,24 @@ def tbl_append(spark, d):
                                  F.count(F.lit(1)).alias("n_after"))
 
 
+@register("tbl_load_files", W("""select count(*) filter (where post_id % 3 = 0) as n_before, count(*) as n_after,
+  cast(sum(post_id) as bigint) as ids, cast(0 as bigint) as n_left from ratings""", "ratings"))
+def tbl_load_files(spark, d):
+    """``LOAD DATA INPATH``: two folders' files are moved into a table, and none is left."""
+    rows = _typed_ratings(spark, d)
+    name = f"ratings_{_uid()}"
+    TB.create_typed_table(spark, name, rows.filter(F.col("cust_id") % 3 == 0), scratch_path(spark, name))
+    before = spark.table(name).count()
+    left = 0
+    for part in (1, 2):
+        folder = scratch_path(spark, f"incoming_{part}")
+        rows.filter(F.col("cust_id") % 3 == part).write.parquet(folder)
+        TB.load_files(spark, name, folder)
+        left += len(FS.data_files(spark, folder))
+    return spark.table(name).agg(F.lit(before).cast("bigint").alias("n_before"), F.count(F.lit(1)).alias("n_after"),
+                                 F.sum(F.col("cust_id").cast("bigint")).alias("ids"), F.lit(left).cast("bigint").alias("n_left"))
+
+
 @register("tbl_rename_column", W("select emp_id, job_title as title from employees", "employees"))
 def tbl_rename_column(spark, d):
     """Rename a column, then the table (``CHANGE level status`` / ``RENAME TO``)."""

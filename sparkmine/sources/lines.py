@@ -49,6 +49,63 @@ def with_line_id(df: DataFrame, name: str = "line_id") -> DataFrame:
     return out.withColumn(name, number).drop("_f", "_blk", "_mid", "_m0", "_off")
 
 
+def without_first_lines(df: DataFrame) -> DataFrame:
+    """Text lines without the first of each file. ``df`` must be a direct file scan.
+
+    One aggregate finds the first row of each file's first split by its place in its scan
+    task, as ``with_line_id`` does; one row a file is joined, broadcast if all of them fit."""
+    placed = df.select(F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_blk"),
+                       F.monotonically_increasing_id().alias("_mid"))
+    found = placed.filter(F.col("_blk") == 0).groupBy("_f").agg(F.min("_mid").alias("_m0"))
+    rows = found.select(F.xxhash64("_f"), "_m0").collect()  # one a file, and the driver lists those anyway
+    first = df.sparkSession.createDataFrame(rows, "_f long, _m0 long")
+    lines = df.select("*", F.xxhash64("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_blk"),
+                      F.monotonically_increasing_id().alias("_mid"))
+    out = lines.join(broadcast_if_small(first, len(rows), 24), "_f", "left")
+    own = F.when(F.col("_blk") != 0, True).when(F.col("_mid") >= F.col("_m0"), F.col("_mid") > F.col("_m0")).otherwise(
+        F.raise_error(F.lit("the scan's splits have changed")).cast("boolean"))
+    return out.filter(own).drop("_f", "_blk", "_mid", "_m0")
+
+
+def read_head_lines(spark: SparkSession, path: str | list[str], k: int | None = None, fraction: float | None = None) -> DataFrame:
+    """``(line_id, value)`` of the first ``k`` lines, or of the first ``int(n * fraction)``, in
+    file order; only the leading files that hold them are read for it.
+
+    With ``k``, files are counted in growing runs from the first one, until there are enough;
+    the others aren't opened. A fraction needs the number of all lines, so every file is
+    counted once."""
+    if (k is None) == (fraction is None) or not 0 <= (fraction or 0) <= 1 or (k or 0) < 0:
+        raise ValueError("give k >= 0 or a fraction in [0, 1]")
+    files = sorted(spark.read.text(path).inputFiles())
+    if k is None:
+        counts = dict(_line_counts(spark, files))
+        k = int(sum(counts.values()) * fraction)
+        leading, seen = [], 0
+        for f in files:
+            if seen >= k:
+                break
+            leading.append(f)
+            seen += counts[f]
+    else:
+        seen, upto, run = 0, 0, 1
+        while upto < len(files) and seen < k:
+            seen += sum(n for _, n in _line_counts(spark, files[upto:upto + run]))
+            upto, run = upto + run, run * 4
+        leading = files[:upto]
+    if k == 0 or not leading:
+        return spark.createDataFrame([], "line_id long, value string")
+    return head_lines(with_line_id(read_text_lines(spark, leading)), k=k).select("line_id", "value")
+
+
+def _line_counts(spark: SparkSession, files: list[str]) -> list[tuple[str, int]]:
+    """Lines of each of the files (one row a file, as the driver lists them anyway)."""
+    if not files:
+        return []
+    counted = read_text_lines(spark, files).groupBy(F.col("_metadata.file_path").alias("f")).count().collect()
+    found = {r["f"].replace("file:///", "file:/"): r["count"] for r in counted}
+    return [(f, found.get(f.replace("file:///", "file:/"), 0)) for f in files]
+
+
 def head_lines(df_with_id: DataFrame, fraction: float | None = None, k: int | None = None,
                name: str = "line_id") -> DataFrame:
     """First ``int(n * fraction)`` lines, or the first ``k`` lines, in file order."""

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sparkmine.sources.delimited import NULL, regex_quote
+from sparkmine.sources.files import move_files
 
 
 LINES = "__lines"  # the table of lines behind an external table's view
@@ -44,10 +45,26 @@ def create_typed_table(spark: SparkSession, name: str, df: DataFrame, location:
 
 
 def append_into(spark: SparkSession, name: str, df: DataFrame) -> None:
-    """``LOAD DATA .. INTO TABLE`` / ``INSERT INTO``: append rows, matched by position."""
+    """``INSERT INTO``: append rows, matched by position."""
     df.write.insertInto(name)
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """The folder of a table's files (of an external table: of its lines)."""
+    base = name + LINES if spark.catalog.tableExists(name + LINES) else name
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {base}").filter("col_name = 'Location'").first()
+    return row["data_type"]
+
+
+def load_files(spark: SparkSession, name: str, source: str, overwrite: bool = False) -> list[str]:
+    """``LOAD DATA INPATH source [OVERWRITE] INTO TABLE name``: the files of ``source`` (a
+    folder or one file, in the table's format) are moved into the table's folder; no row
+    is read or written. Their new names: see ``files.move_files``."""
+    names = move_files(spark, source, table_location(spark, name), overwrite)
+    spark.catalog.refreshTable(name + LINES if spark.catalog.tableExists(name + LINES) else name)
+    return names
+
+
 def describe(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE {name}")
 
