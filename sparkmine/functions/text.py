@@ -1,7 +1,8 @@
 """Text functions: word splitting, word statistics, sentences and n-grams.
 
-All built-in expressions (``split``, ``explode``, ``sentences``, ``transform``,
-``slice``), so the work stays in the JVM; counts are partial aggregates.
+Built-in expressions (``split``, ``explode``, ``sentences``, ``transform``), so the work
+stays in the JVM; counts are partial aggregates. Only estimated n-grams are counted in
+Python, in bounded sketches.
 """
 
 from __future__ import annotations
@@ -9,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkmine.functions.sketch import heavy_hitters
+
 # Fixed values that must equal the reference's behaviour:
 # Python's re.split('\W', line) is Unicode-aware and keeps '_' inside words; the Java
 # form with the same word boundary is the UNICODE_CHARACTER_CLASS flag (?U) on \W.
@@ -76,6 +79,26 @@ def top_ngrams(df: DataFrame, group: str, grams: Column, k: int) -> DataFrame:
             .select(group, "ngram", F.col("_n").cast("double").alias("estfrequency")))
 
 
+# Between the words of an n-gram while it is counted; no word holds it.
+_BETWEEN = "\x1f"
+
+
+def ngrams_estimated(df: DataFrame, group: str, sentences: Column, n: int, k: int, precision: int = 1024) -> DataFrame:
+    """Hive's ``NGRAMS(sentences, n, k, precision)`` per group: the top ``k`` n-grams that stay
+    inside a sentence, ``(group, ngram array<string>, estfrequency double, error double)``,
+    ties by the words. ``sentences``: array of arrays of words.
+
+    Frequencies come from bounded sketches of ``precision * k`` counters a group (see
+    ``sketch.py``): the true one is at least ``estfrequency`` and at most ``error`` more, and
+    ``error`` is 0 where a group has no more distinct n-grams than counters."""
+    grams = F.flatten(F.transform(sentences, lambda s: ngrams_of(s, n, _BETWEEN)))
+    found = heavy_hitters(df, group, grams, precision * k)
+    best = Window.partitionBy(group).orderBy(F.col("n").desc(), F.col("item").asc())
+    top = found.withColumn("_rk", F.row_number().over(best)).filter(F.col("_rk") <= k)
+    return top.select(group, F.split("item", _BETWEEN).alias("ngram"), F.col("n").cast("double").alias("estfrequency"),
+                      F.col("lost").cast("double").alias("error"))
+
+
 def sentence_ngrams(text: Column | str, n: int) -> Column:
     """n-grams that stay inside one sentence of ``SENTENCES(LOWER(text))``."""
     per_sentence = F.transform(sentences(text), lambda s: ngrams_of(s, n))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sparkmine.operators import postings as P
 from sparkmine.operators import seqrules as SR
 from sparkmine.plans import views as V
 from sparkmine.plans.catalog import register
@@ -107,6 +108,39 @@ def pair_cooccurrence(spark, d):
     return SR.pair_cooccurrence(locf)
 
 
+@register("pair_cooccurrence_words", W("""select a.item as item_a, b.item as item_b, count(*) as n_seq from lf a join lf b
+on a.seq_id = b.seq_id and a.item < b.item group by a.item, b.item""", "sequences", extra=_BASE))
+def pair_cooccurrence_words(spark, d):
+    """By posting words: a joined row stands for up to 64 sequences."""
+    seqs = V.sequences(spark, d)
+    locf, _ = SR.frequent_items(seqs, SR.min_count(SR.sequence_count(V.daily_events(spark, d)), MIN_SUPPORT))
+    return P.pair_counts(P.posting_words(locf, P.number_sequences(locf)))
+
+
+@register("item_sequences_words", W("select distinct item, seq_id from sequences where item is not null", "sequences"))
+def item_sequences_words(spark, d):
+    """The item -> sequence index as posting words, read back."""
+    rows = V.daily_events(spark, d).select("item", "seq_id").filter(F.col("item").isNotNull())
+    numbers = P.number_sequences(rows)
+    return P.sequences_of(P.posting_words(rows, numbers), numbers)
+
+
+@register("common_sequences", W("""select p.item as item_a, q.item as item_b, r.item as item_c, count(*) as n_seq
+from (select distinct seq_id, item from lf) p join (select distinct seq_id, item from lf) q on p.seq_id = q.seq_id and p.item < q.item
+join (select distinct seq_id, item from lf) r on q.seq_id = r.seq_id and q.item < r.item
+where p.item = (select min(item) from lf) group by all""", "sequences", extra=_BASE))
+def common_sequences(spark, d):
+    """Sequences that hold the first frequent item and any two others, intersected word by word."""
+    seqs = V.sequences(spark, d)
+    locf, freq = SR.frequent_items(seqs, SR.min_count(SR.sequence_count(V.daily_events(spark, d)), MIN_SUPPORT))
+    words = P.posting_words(locf, P.number_sequences(locf))
+    a, b, c = (freq.select(F.col("item").alias(f"item_{n}")) for n in "abc")
+    first = a.orderBy("item_a").limit(1)
+    sets = first.join(b, F.col("item_a") < F.col("item_b")).join(c, F.col("item_b") < F.col("item_c"))
+    sets = sets.select(F.struct("item_a", "item_b", "item_c").alias("set_id"), F.array("item_a", "item_b", "item_c").alias("items"))
+    return P.set_counts(P.common_words(words, sets), "set_id").select("set_id.*", "n_seq")
+
+
 @register("seq_rules_1_1", _rules_sql(["r11"]))
 def seq_rules_1_1(spark, d):
     return _flat(_mine(spark, d, 1, 1))

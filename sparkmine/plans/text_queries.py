@@ -91,3 +91,11 @@ def top_bigrams_sentences(spark, d):
     """Bigrams that stay inside one sentence, by the plain sentence rule."""
     grams = F.flatten(F.transform(T.plain_sentences("message"), lambda s: T.ngrams_of(s, 2)))
     return T.top_ngrams(V.ratings(spark, d), "prod_id", grams, TOP_K)
+
+
+@register("bigrams_estimated", "select *, 0.0::double as error from (" + _simple_sql(2).replace(_SIMPLE_TOKENS, _SENTENCE_TOKENS) + ")")
+def bigrams_estimated(spark, d):
+    """``NGRAMS(sentences, 2, 5)`` by sketches of 81,920 counters a product, which hold all
+    bigrams of one here, so that nothing is lost."""
+    found = T.ngrams_estimated(V.ratings(spark, d), "prod_id", T.plain_sentences("message"), 2, TOP_K, precision=1 << 14)
+    return found.select("prod_id", F.array_join("ngram", " ").alias("ngram"), "estfrequency", "error")
