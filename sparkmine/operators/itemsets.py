@@ -4,10 +4,12 @@ Level-wise (Apriori) counting, expressed as joins on the basket key instead of t
 reference's cartesian products:
 
 * level 1: item supports, partially aggregated on the map side;
-* level k: the occurrence table of frequent (k-1)-sets ``(basket, items, last)`` is
-  joined to the basket's frequent items on ``basket`` with ``item > last`` (each
-  k-set is built once, in sorted order), counted per itemset, thresholded, and
-  semi-joined back so the next level only grows frequent sets (anti-monotone pruning).
+* level k: candidate sets come before counting: two frequent (k-1)-sets that differ in
+  their last item are joined, and a set with an infrequent subset is left out, by joins on
+  sets alone. The occurrence table of frequent (k-1)-sets ``(basket, items, last)``, of
+  which only sets that a candidate extends are kept, is joined to the basket's frequent
+  items on ``basket`` with ``item > last`` and the item among the candidates' (each k-set is
+  built once, in sorted order), counted per itemset, thresholded, and semi-joined back.
   The distinct basket table and each level's occurrence table are written as tables
   bucketed by basket in the shared checkpoint folder: the basket join of the next
   level needs no exchange, a lost executor never replays earlier levels, and the plan
@@ -19,8 +21,9 @@ reference's cartesian products:
 The join key is the basket, so the work per basket is the number of frequent sets it
 contains. Repeats inside a basket are removed before the join, so a basket never holds
 more rows than there are distinct frequent items. The bucketed joins have no exchange
-that AQE could split: baskets of over ``HOT_ITEMS`` frequent items are joined apart, with
-each one's sets dealt to ``SALTS`` tasks and its items copied to them.
+that AQE could split: a basket of very many frequent items is dealt to several parts by its
+counted size, and its sets stay in their parts, buckets and tasks at every level
+(``spread.Parts``).
 
 Rows whose item is null are left out (their baskets don't count by them).
 
@@ -35,7 +38,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.operators.spread import hot_keys, spread_join
+from sparkmine.operators.spread import Parts
 from sparkmine.session import broadcast_if_small, bucketed_table, cached, fits_broadcast, shuffle_partitions
 
 MASK_ITEMS = 62  # up to this many frequent items, sets travel as bits of one bigint
@@ -65,8 +68,11 @@ def item_support(baskets: DataFrame, mode: str = "transaction", basket: str = "b
 
 def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | None = None,
                       mode: str = "transaction", basket: str = "basket_id", item: str = "item",
-                      n: int | None = None, mask_items: int = MASK_ITEMS) -> DataFrame:
-    """All frequent itemsets: ``(items array<string> sorted, size int, support bigint)``."""
+                      n: int | None = None, mask_items: int = MASK_ITEMS, report: list | None = None) -> DataFrame:
+    """All frequent itemsets: ``(items array<string> sorted, size int, support bigint)``.
+
+    ``report``, a list, gets for each level from 2 (size, occurrences of candidates that were
+    counted), at the price of a job a level."""
     _check_fraction("min_support", min_support)
     if mode not in ("transaction", "occurrence"):
         raise ValueError("mode must be 'transaction' or 'occurrence'")
@@ -77,8 +83,8 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
     spark = baskets.sparkSession
     nb = shuffle_partitions(spark)
     baskets = baskets.filter(F.col(item).isNotNull())
-    tx_all = bucketed_table(baskets.select(F.col(basket).alias("_b"), F.col(item).alias("_i"))
-                            .repartition(nb, "_b").distinct(), "_b", nb, "baskets", aligned=True)
+    # (repeats go before the rows are dealt by basket)
+    tx_all = bucketed_table(baskets.select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct(), "_b", nb, "baskets")
     if n is None:
         n = tx_all.agg(F.count_distinct("_b")).first()[0]
     thr = support_threshold(n, min_support)
@@ -123,17 +129,32 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
 
         def decode(items: Column) -> Column:
             return items
-    occ = tx.select("_b", one(F.col("_i")).alias("items"), F.col("_i").alias("_last"))
-    hot = hot_keys(tx, "_b")
+    parts = Parts(tx, "_b")
+    if parts.hot is None:
+        tx = dealt = parts.copied(tx)
+    else:
+        tx, dealt = (bucketed_table(x, "_k", nb, "parted") for x in (parts.copied(tx), parts.dealt(tx, "_i")))
+    occ = dealt.select("_k", one(F.col("_i")).alias("items"), F.col("_i").alias("_last"))
 
     k = 2
     while max_size is None or k <= max_size:
-        nxt = tx.select("_b", F.col("_i").alias("_next"))
+        nxt = tx.select("_k", F.col("_i").alias("_next"))
+        wide = 16 if masked else 32 * (k + 1)  # bytes of a set
+        fits = F.col("_next") > F.col("_last")
+        if k > 2:
+            extensions = cached(candidate_extensions(fk, k, masked))
+            ne = extensions.count()
+            if ne == 0:
+                break
+            occ = occ.join(broadcast_if_small(extensions, ne, wide + (16 if masked else 32 * n1)), "items")
+            fits &= F.col("_allowed").bitwiseAND(_pow2(F.col("_next"))) != 0 if masked else F.array_contains("_allowed", F.col("_next"))
         # Candidate occurrences of this level (co-partitioned join on the basket),
         # computed once and reused for the counts and the next occurrence table.
-        cand = (spread_join(occ, nxt, "_b", hot).filter(F.col("_next") > F.col("_last"))
-                .select("_b", grow(F.col("items"), F.col("_next")).alias("items"), F.col("_next").alias("_last"))
+        cand = (occ.join(nxt, "_k").filter(fits)
+                .select("_k", grow(F.col("items"), F.col("_next")).alias("items"), F.col("_next").alias("_last"))
                 .persist(StorageLevel.MEMORY_AND_DISK))
+        if report is not None:
+            report.append((k, cand.count()))
         fk = cached(cand.groupBy("items").agg(F.count(F.lit(1)).alias("support"))
                     .filter(F.col("support") >= F.lit(thr)))
         nk = fk.count()
@@ -143,9 +164,8 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
         levels.append(fk.select(decode(F.col("items")).alias("items"), F.lit(k).alias("size"), "support"))
         # Frequent sets broadcast behind their counted size: the semi-join keeps the
         # basket partitioning for the next level.
-        wide = 16 if masked else 32 * (k + 1)  # bytes of a set
         occ = bucketed_table(cand.join(broadcast_if_small(fk.select("items"), nk, wide), "items", "left_semi"),
-                             "_b", nb, "itemset_level", aligned=hot is None and fits_broadcast(nk, wide))
+                             "_k", nb, "itemset_level", aligned=fits_broadcast(nk, wide))
         cand.unpersist()
         k += 1
 
@@ -155,6 +175,32 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, max_size: int | No
     return out
 
 
+def candidate_extensions(frequent: DataFrame, size: int, masked: bool) -> DataFrame:
+    """``(items, _allowed)``: for each of the ``frequent`` sets of ``size - 1`` >= 2 items the
+    items behind its last one with which it makes a candidate of ``size``: both sets without
+    one of the two last items are frequent (they share the items before, on which they are
+    joined), and so is every set without one of those. ``_allowed`` is a mask or an array of
+    frequent items at most. No basket is read."""
+    c = F.col
+    if masked:
+        last = F.length(F.bin("items")) - 1
+        sets = frequent.select("items", last.alias("_l"), (c("items") - _pow2(last)).alias("_p"))
+        grown = c("items").bitwiseOR(_pow2(c("_next")))
+        bits = F.filter(F.sequence(F.lit(0), F.lit(MASK_ITEMS)), lambda i: c("_p").bitwiseAND(_pow2(i)) != 0)
+        subsets = F.transform(bits, lambda i: grown - _pow2(i))
+        allowed = F.bit_or(_pow2(c("_next")))
+    else:
+        sets = frequent.select("items", F.element_at("items", -1).alias("_l"), F.slice("items", 1, size - 2).alias("_p"))
+        grown = F.concat("items", F.array("_next"))
+        subsets = F.transform(F.sequence(F.lit(0), F.lit(size - 3)), lambda i: F.filter(grown, lambda x, j: j != i))
+        allowed = F.collect_set("_next")
+    pairs = sets.join(sets.select("_p", c("_l").alias("_next")), "_p").filter(c("_l") < c("_next"))
+    each = pairs.select("items", "_next", F.explode(subsets).alias("_sub"))
+    held = each.join(frequent.select(c("items").alias("_sub")), "_sub", "left_semi")
+    whole = held.groupBy("items", "_next").agg(F.count(F.lit(1)).alias("_n")).filter(c("_n") == size - 2)
+    return whole.groupBy("items").agg(allowed.alias("_allowed"))
+
+
 def _pow2(i: Column) -> Column:
     return F.pow(F.lit(2), i).cast("bigint")
 

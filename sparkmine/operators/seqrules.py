@@ -22,9 +22,10 @@ a table bucketed by sequence in the shared checkpoint folder (like the location
 table): the next level's growth joins need no exchange, the plan never grows and a
 lost executor never replays earlier levels. Antecedent coverage is grown by prefix,
 as equi-joins on ``(seq, item)``. The join key is the sequence, which contributes at
-most one location row per distinct item; sequences of very many items are joined apart,
-spread over many tasks (``spread.py``), since bucketed joins have no exchange that AQE
-could split. With at most ``MASK_ITEMS`` frequent items, X and Y are bigint masks
+most one location row per distinct item; a sequence of very many items is dealt to several
+parts, by counted sizes, and its rules' rows stay in their parts (and buckets, files and
+tasks) from level to level (``spread.Parts``), since bucketed joins have no exchange that
+AQE could split. With at most ``MASK_ITEMS`` frequent items, X and Y are bigint masks
 of item bits (``_masked_rules``), otherwise sorted arrays.
 """
 
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.operators.sequences import item_locations
-from sparkmine.operators.spread import hot_keys, spread_join
+from sparkmine.operators.spread import Parts, hot_keys, spread_join
 from sparkmine.session import broadcast_if_small, bucketed_table, cached, cut_lineage, fits_broadcast, shuffle_partitions
 
 # Up to this many frequent items, item sets are encoded as bits of one bigint.
@@ -76,10 +77,19 @@ def pair_cooccurrence(locs: DataFrame, seq: str = "seq_id", item: str = "item")
     """Sequences holding both items of a pair, a < b: ``(item_a, item_b, n_seq)``."""
     a = locs.select(seq, F.col(item).alias("item_a"))
     b = locs.select(seq, F.col(item).alias("item_b"))
-    return (a.join(b, seq).filter(F.col("item_a") < F.col("item_b"))
+    return (spread_join(a, b, seq, hot_keys(locs, seq)).filter(F.col("item_a") < F.col("item_b"))
             .groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n_seq")))
 
 
+def _parted(rows: DataFrame, parts: Parts, by: str, nb: int) -> tuple[DataFrame, DataFrame]:
+    """(location rows in all parts of their sequence, the same in one part each), both
+    bucketed by ``_k``. Without hot sequences both are ``rows``, which are bucketed already."""
+    if parts.hot is None:
+        same = parts.copied(rows)
+        return same, same
+    return bucketed_table(parts.copied(rows), "_k", nb, "parted"), bucketed_table(parts.dealt(rows, by), "_k", nb, "dealt")
+
+
 def _locs(locf: DataFrame, seq: str, item: str) -> DataFrame:
     return locf.select(F.col(seq).alias("_s"), F.col(item).alias("_c"),
                        F.col("first").alias("_cf"), F.col("last").alias("_cl"))
@@ -93,12 +103,13 @@ def rule_supports(locf: DataFrame, min_cnt: int, max_antecedent: int = 0, max_co
     level's occurrence table is written bucketed the same way, so the growth joins on
     the sequence key run without an exchange; only the per-rule counts shuffle."""
     nb = buckets or shuffle_partitions(locf.sparkSession)
-    c = _locs(locf, seq, item)
-    a = c.select("_s", F.col("_c").alias("_x"), F.col("_cf").alias("fx"))
-    b = c.select("_s", F.col("_c").alias("_y"), F.col("_cl").alias("ly"))
-    hot = hot_keys(c, "_s")
-    occ = (spread_join(a, b, "_s", hot).filter((F.col("_x") != F.col("_y")) & (F.col("fx") < F.col("ly")))
-           .select("_s", F.array("_x").alias("X"), F.array("_y").alias("Y"), "fx", "ly",
+    rows = _locs(locf, seq, item)
+    parts = Parts(rows, "_s")
+    c, dealt = _parted(rows, parts, "_c", nb)
+    a = dealt.select("_k", F.col("_c").alias("_x"), F.col("_cf").alias("fx"))
+    b = c.select("_k", F.col("_c").alias("_y"), F.col("_cl").alias("ly"))
+    occ = (a.join(b, "_k").filter((F.col("_x") != F.col("_y")) & (F.col("fx") < F.col("ly")))
+           .select("_k", F.array("_x").alias("X"), F.array("_y").alias("Y"), "fx", "ly",
                    F.col("_x").alias("xl"), F.col("_y").alias("yl")))
 
     levels = []
@@ -115,7 +126,7 @@ def rule_supports(locf: DataFrame, min_cnt: int, max_antecedent: int = 0, max_co
         # sequence partitioning of the occurrences it filters.
         wide = 32 * (len(levels) + 3)  # bytes of a rule's items
         kept = occ.join(broadcast_if_small(sup.select("X", "Y"), ns, wide), ["X", "Y"], "left_semi")
-        kept = bucketed_table(kept, "_s", nb, "rule_level", aligned=hot is None and fits_broadcast(ns, wide))
+        kept = bucketed_table(kept, "_k", nb, "rule_level", aligned=fits_broadcast(ns, wide))
         occ.unpersist()
         occ = kept
 
@@ -123,17 +134,17 @@ def rule_supports(locf: DataFrame, min_cnt: int, max_antecedent: int = 0, max_co
         right_ok = F.size("X") == 1
         if max_consequent:
             right_ok = right_ok & (F.size("Y") < max_consequent)
-        right = (spread_join(occ.filter(right_ok), c, "_s", hot)
+        right = (occ.filter(right_ok).join(c, "_k")
                  .filter((F.col("_c") > F.col("yl")) & ~F.array_contains("X", F.col("_c"))
                          & (F.col("_cl") > F.col("fx")))
-                 .select("_s", "X", F.concat("Y", F.array("_c")).alias("Y"), "fx",
+                 .select("_k", "X", F.concat("Y", F.array("_c")).alias("Y"), "fx",
                          F.least("ly", "_cl").alias("ly"), "xl", F.col("_c").alias("yl")))
         grown.append(right)
         left_src = occ if not max_antecedent else occ.filter(F.size("X") < max_antecedent)
-        left = (spread_join(left_src, c, "_s", hot)
+        left = (left_src.join(c, "_k")
                 .filter((F.col("_c") > F.col("xl")) & ~F.array_contains("Y", F.col("_c"))
                         & (F.col("_cf") < F.col("ly")))
-                .select("_s", F.concat("X", F.array("_c")).alias("X"), "Y",
+                .select("_k", F.concat("X", F.array("_c")).alias("X"), "Y",
                         F.greatest("fx", "_cf").alias("fx"), "ly", F.col("_c").alias("xl"), "yl"))
         grown.append(left)
         occ = grown[0].unionByName(grown[1])
@@ -261,10 +272,11 @@ def _masked_rules(loc: DataFrame, freq: DataFrame, n: int, mc: int, min_confiden
          .select(F.col(seq).alias("_s"), F.try_element_at(code, F.col(item)).cast("int").alias("_cb"),
                  F.col("first").alias("_cf"), F.col("last").alias("_cl"))
          .withColumn("_cm", _bit(F.col("_cb"))))
-    a = c.select("_s", F.col("_cm").alias("X"), F.col("_cb").alias("xl"), F.col("_cf").alias("fx"))
-    b = c.select("_s", F.col("_cm").alias("Y"), F.col("_cb").alias("yl"), F.col("_cl").alias("ly"))
-    hot = hot_keys(c, "_s")
-    occ = spread_join(a, b, "_s", hot).filter((F.col("X") != F.col("Y")) & (F.col("fx") < F.col("ly")))
+    cs = c.select("_s", "_cb", "_cm")
+    c, dealt = _parted(c, Parts(c, "_s"), "_cm", nb)
+    a = dealt.select("_k", F.col("_cm").alias("X"), F.col("_cb").alias("xl"), F.col("_cf").alias("fx"))
+    b = c.select("_k", F.col("_cm").alias("Y"), F.col("_cb").alias("yl"), F.col("_cl").alias("ly"))
+    occ = a.join(b, "_k").filter((F.col("X") != F.col("Y")) & (F.col("fx") < F.col("ly")))
 
     levels = []
     while True:
@@ -277,24 +289,24 @@ def _masked_rules(loc: DataFrame, freq: DataFrame, n: int, mc: int, min_confiden
             break
         levels.append(sup)
         kept = occ.join(broadcast_if_small(sup.select("X", "Y"), ns), ["X", "Y"], "left_semi")
-        kept = bucketed_table(kept.select("_s", "X", "Y", "fx", "ly", "xl", "yl"), "_s", nb, "rule_level",
-                              aligned=hot is None and fits_broadcast(ns))
+        kept = bucketed_table(kept.select("_k", "X", "Y", "fx", "ly", "xl", "yl"), "_k", nb, "rule_level",
+                              aligned=fits_broadcast(ns))
         occ.unpersist()
         occ = kept
 
         right_ok = F.bit_count("X") == 1
         if max_consequent:
             right_ok = right_ok & (F.bit_count("Y") < max_consequent)
-        right = (spread_join(occ.filter(right_ok), c, "_s", hot)
+        right = (occ.filter(right_ok).join(c, "_k")
                  .filter((F.col("_cb") > F.col("yl")) & (F.col("X").bitwiseAND(F.col("_cm")) == 0)
                          & (F.col("_cl") > F.col("fx")))
-                 .select("_s", "X", F.col("Y").bitwiseOR(F.col("_cm")).alias("Y"), "fx",
+                 .select("_k", "X", F.col("Y").bitwiseOR(F.col("_cm")).alias("Y"), "fx",
                          F.least("ly", "_cl").alias("ly"), "xl", F.col("_cb").alias("yl")))
         left_src = occ if not max_antecedent else occ.filter(F.bit_count("X") < max_antecedent)
-        left = (spread_join(left_src, c, "_s", hot)
+        left = (left_src.join(c, "_k")
                 .filter((F.col("_cb") > F.col("xl")) & (F.col("Y").bitwiseAND(F.col("_cm")) == 0)
                         & (F.col("_cf") < F.col("ly")))
-                .select("_s", F.col("X").bitwiseOR(F.col("_cm")).alias("X"), "Y",
+                .select("_k", F.col("X").bitwiseOR(F.col("_cm")).alias("X"), "Y",
                         F.greatest("fx", "_cf").alias("fx"), "ly", F.col("_cb").alias("xl"), "yl"))
         occ = right.unionByName(left)
 
@@ -310,7 +322,6 @@ def _masked_rules(loc: DataFrame, freq: DataFrame, n: int, mc: int, min_confiden
     # antecedent of the parent rule, so cover(X) extends cover(prefix) by an equi-join
     # on (sequence, item).
     ante = cached(sup.select("X", "xl").distinct())
-    cs = c.select("_s", "_cb", "_cm")
     rows = ante.count()
     one = ante.filter(F.bit_count("X") == 1).select(F.col("X").alias("_cm"))
     cov = cut_lineage(cs.join(broadcast_if_small(one, rows), "_cm")
