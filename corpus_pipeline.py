@@ -16,8 +16,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmine.llm import bpe, mixing, quality, queries, secret_scan, simhash
 from sparkmine.llm.common import materialised, table
@@ -31,11 +32,22 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return docs.filter(quality.score(F.col("text"), weights) >= 0.3)
 
 
+def _row_hash(docs: DataFrame) -> Column:
+    """A hash of whole rows in which null differs from every value, and so does its place.
+    Maps (which have no hash and no order) go in as their ordered entries."""
+    parts = []
+    for f in docs.schema.fields:
+        c = F.col(f"`{f.name}`")
+        entries = F.transform(F.map_entries(c), lambda e: F.to_json(F.struct(e))) if isinstance(f.dataType, T.MapType) else None
+        parts += [c.isNull(), c if entries is None else F.array_sort(entries)]
+    return F.xxhash64(*parts)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the row with the smallest id; of rows with that id
     the one with the smallest hash of all its columns, and that once. Rows without an id
     are grouped like any other, and stay only where their group has no id at all."""
-    row_hash = F.xxhash64(*docs.columns)
+    row_hash = _row_hash(docs)
     found = simhash.near_duplicates(
         docs.select("doc_id", "text", row_hash.alias("row")), keep=("row",), shingle=3, max_distance=2, root="group")
     first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("f"))
