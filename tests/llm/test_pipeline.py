@@ -123,6 +123,17 @@ def test_near_dedup_keeps_every_group_of_null_ids(spark, sf):
     assert sorted(stay, key=repr) == sorted([(None, fox), (None, sea), (4, rows[3][1]), (7, "")], key=repr)
 
 
+def test_near_dedup_tells_rows_apart_by_the_place_of_nulls(spark, sf):
+    """One id, the same words in different columns; and columns of maps, whose order is none."""
+    words = "some unlike words here"
+    rows = [(5, None, words, {"a": 1, "b": None}), (5, words, None, {"a": 1, "b": None}), (6, "text of six here", "x", None),
+            (6, "text of six here", "x", None), (7, "the seventh has own words", None, {}), (8, None, None, {"b": 2})]
+    docs = materialised(spark.createDataFrame(rows, "doc_id long, text string, source string, extra map<string, int>"), "null-places")
+    stay = [(r["doc_id"], r["text"], r["source"], r["extra"]) for r in corpus_pipeline.near_dedup(spark, docs, sf).collect()]
+    # Rows 5 (its null text) and 8 have no words and are one group; all others are alone.
+    assert sorted(stay, key=repr) == sorted([rows[0], rows[1], rows[2], rows[4]], key=repr)
+
+
 def test_run_is_all_stages(spark, sf):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 0 and {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(out.columns)
