@@ -33,7 +33,6 @@ whole); of the other columns those named in ``keep`` are returned.
 
 from __future__ import annotations
 
-import itertools
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -55,8 +54,9 @@ WORD_ROWS = 1 << 15
 ROUNDS = 3
 SHARD_TOKENS = 6_000_000  # that a task trains on in a round
 BATCH = 8_192  # tokens of an update
-SCORED = 1_024  # tokens scored at once
+SCORED = 2_048  # tokens scored at once
 PIECE = 65_536  # tokens looked up at once
+LIMIT = 80.0  # of a logit
 SHORT = 16  # entries that are summed with others'
 STEP = 1.0
 CHUNK = 1 << 20  # bytes of a text split at once
@@ -211,12 +211,12 @@ def rows_of(history: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarra
             np.stack([_mix(g + in_class) % _U(WORD_ROWS) for g in grams[:3]], axis=1).astype(np.int64))
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    """In place."""
-    logits -= logits.max(axis=1, keepdims=True)
+def _exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exponentials, in place, and their sums by row). Logits beyond LIMIT stop there, where
+    single precision would soon end."""
+    np.clip(logits, -LIMIT, LIMIT, out=logits)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    return logits
+    return logits, logits @ np.ones(logits.shape[1], dtype=np.float32)
 
 
 def _gathered(table: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
@@ -242,7 +242,8 @@ class Model:
 
     def symbols(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(place in the table or -1, symbol): a softmax word's place, else its rare class."""
-        place = np.fromiter(map(self.place.get, words, itertools.repeat(-1)), dtype=np.int64, count=len(words))
+        of = self.place.get
+        place = np.array([of(w, -1) for w in words], dtype=np.int64)
         symbol = self.symbol[place]
         for i in np.flatnonzero(place < 0):
             symbol[i] = SOFTMAX_WORDS + rare_class(words[i])
@@ -254,14 +255,14 @@ class Model:
         return (np.where(rare, symbol - SOFTMAX_WORDS + self.heads, symbol // CLASS_WORDS),
                 np.where(rare, -1, symbol % CLASS_WORDS))
 
-    def probabilities(self, own: np.ndarray, classes: np.ndarray, members: np.ndarray):
-        """(P of all classes; the tokens of softmax words; for these, P of all members of
-        their class) by rows of weights."""
-        p = _softmax(_gathered(self.weights.classes, classes, self.class_bias))
+    def exponentials(self, own: np.ndarray, classes: np.ndarray, members: np.ndarray):
+        """(of all classes, their sums; the tokens of softmax words; for these, of all
+        members of their class, their sums) by rows of weights."""
+        p, total = _exp(_gathered(self.weights.classes, classes, self.class_bias))
         head = np.flatnonzero(own < self.heads)
         if not len(head):
-            return p, head, np.zeros((0, CLASS_WORDS), dtype=np.float32)
-        return p, head, _softmax(_gathered(self.weights.members, members[head], self.member_bias[own[head]]))
+            return p, total, head, np.zeros((0, CLASS_WORDS), dtype=np.float32), np.zeros(0, dtype=np.float32)
+        return p, total, head, *_exp(_gathered(self.weights.members, members[head], self.member_bias[own[head]]))
 
     def log10(self, history: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """log10 P(class | history), and of softmax words times P(word | class, history)."""
@@ -269,9 +270,9 @@ class Model:
         for at in range(0, len(symbol), SCORED):
             own, member = self.targets(symbol[at:at + SCORED])
             past = history[at:at + SCORED]
-            p, head, q = self.probabilities(own, *rows_of(past, own))
-            part = np.log10(np.maximum(p[np.arange(len(own)), own].astype(np.float64), 1e-300))
-            part[head] += np.log10(np.maximum(q[np.arange(len(head)), member[head]].astype(np.float64), 1e-300))
+            p, total, head, q, inner = self.exponentials(own, *rows_of(past, own))
+            part = np.log10(p[np.arange(len(own)), own].astype(np.float64) / total)
+            part[head] += np.log10(q[np.arange(len(head)), member[head]].astype(np.float64) / inner)
             out[at:at + SCORED] = part
         return out
 
@@ -279,7 +280,9 @@ class Model:
         """One AdaGrad step on these tokens."""
         own, member = self.targets(symbol)
         classes, members = rows_of(history, own)
-        p, head, q = self.probabilities(own, classes, members)
+        p, total, head, q, inner = self.exponentials(own, classes, members)
+        p /= total[:, None]
+        q /= inner[:, None]
         p[np.arange(len(own)), own] -= 1
         q[np.arange(len(head)), member[head]] -= 1
         _step(self.weights.classes, self.weights.class_steps, classes, p)
