@@ -134,9 +134,8 @@ def common_sequences(spark, d):
     seqs = V.sequences(spark, d)
     locf, freq = SR.frequent_items(seqs, SR.min_count(SR.sequence_count(V.daily_events(spark, d)), MIN_SUPPORT))
     words = P.posting_words(locf, P.number_sequences(locf))
-    a, b, c = (freq.select(F.col("item").alias(f"item_{n}")) for n in "abc")
-    first = a.orderBy("item_a").limit(1)
-    sets = first.join(b, F.col("item_a") < F.col("item_b")).join(c, F.col("item_b") < F.col("item_c"))
+    pairs = P.pair_counts(words).join(freq.select(F.min("item").alias("item_a")), "item_a", "left_semi").drop("n_seq")
+    sets = pairs.join(pairs.withColumnRenamed("item_b", "item_c"), "item_a").filter("item_b < item_c")
     sets = sets.select(F.struct("item_a", "item_b", "item_c").alias("set_id"), F.array("item_a", "item_b", "item_c").alias("items"))
     return P.set_counts(P.common_words(words, sets), "set_id").select("set_id.*", "n_seq")
 
