@@ -9,8 +9,8 @@
   empty cluster disappears (k shrinks), as in the reference. Points are persisted
   (memory and disk, recomputed from the parquet scan if an executor is lost).
 
-A point that is null, has another length than the centroids, or holds a null or NaN has no
-nearest centroid: its ``cid`` and ``dist`` are null, and it belongs to no cluster.
+A point that is null, has another length than the centroids, or holds a null, NaN or an
+infinite component has no nearest centroid (and doesn't start as one): its ``cid`` and ``dist`` are null, and it belongs to no cluster.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ def _points(vectors: pd.Series, dims: int) -> tuple[np.ndarray, np.ndarray]:
     """(rows that are points of ``dims`` numbers, their matrix)."""
     usable = [i for i, v in enumerate(vectors) if v is not None and len(v) == dims]
     x = np.array([np.asarray(vectors.iat[i], dtype=np.float64) for i in usable]).reshape(len(usable), dims)
-    whole = ~np.isnan(x).any(axis=1)  # a null arrives as NaN
+    whole = np.isfinite(x).all(axis=1)  # a null arrives as NaN
     return np.array(usable, dtype=np.int64)[whole], x[whole]
 
 
@@ -144,7 +144,8 @@ def initial_centroids(points: DataFrame, k: int, id_col: str = "vec_id", vec: st
     """k starting points: the k lowest ids, or the k lowest ``xxhash64(id, seed)``
     (a repeatable sample without replacement). Ordered top-k, no full sort."""
     key = F.col(id_col) if seed is None else F.xxhash64(F.col(id_col), F.lit(seed))
-    rows = points.orderBy(key, F.col(id_col)).limit(k).select(vec).collect()
+    finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = points.filter(finite).orderBy(key, F.col(id_col)).limit(k).select(vec).collect()
     return [(i, list(r[0])) for i, r in enumerate(rows)]
 
 

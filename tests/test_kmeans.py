@@ -66,3 +66,13 @@ def test_seeded_initial_centroids_repeatable(spark):
     b = K.initial_centroids(pts, 3, seed=7)
     assert a == b and len({tuple(v) for _, v in a}) == 3
     assert [c for c, _ in K.initial_centroids(pts, 2)] == [0, 1]
+
+
+def test_infinite_points_belong_to_no_cluster(spark):
+    inf = float("inf")
+    rows = [(0, [inf, 0.0]), (1, [1.0, 2.0]), (2, [1.0, 4.0]), (3, [9.0, 9.0]), (4, [-inf, 1.0]), (5, None), (6, [None, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    fit = K.fit(df, k=2)
+    assert fit.converged and sorted(c for _, c in fit.centroids) == [[1.0, 3.0], [9.0, 9.0]]
+    own = {r.vec_id: r.cid for r in K.assign(df, fit.centroids).collect()}
+    assert [i for i, c in own.items() if c is None] == [0, 4, 5, 6]
