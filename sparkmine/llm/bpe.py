@@ -11,7 +11,8 @@ folded once; their tokens become a table of bounded size that is sent to the tas
 the texts are split, on Arrow batches, and every word is looked up. A word that isn't in
 the table is merged where it occurs, by the same rule and with the same result, and kept
 for a while. So the table saves work but never decides a result, and no occurrence of a
-word is shuffled.
+word is shuffled. Ids and digests are made in one pass over the texts; a Python worker
+reads the table once for all of its tasks.
 
 The literal map is two literal arrays of prime lengths; an entry stands at its key modulo
 the first length or at its key modulo the second, so that two reads find it or show that
@@ -28,19 +29,22 @@ import base64
 import hashlib
 import heapq
 import json
+import uuid
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmine.llm.common import let, materialised
 
-TABLE_WORDS = 200_000
+TABLE_WORDS = 400_000
 TABLE_WORD_BYTES = 48
 KEPT_WORDS = 100_000  # rarer words that a task keeps
 SHORT_WORD = 40  # bytes up to which looking through all pairs is faster than a heap
@@ -235,32 +239,56 @@ def split_words(text: Column, pattern: str) -> Column:
 
 
 def frequent_words(docs: DataFrame, text: str, pattern: str, limit: int) -> DataFrame:
-    """(word, n) of the most frequent distinct words, at most ``limit``: those above the
-    count that leaves so many, which a small histogram of all counts tells."""
+    """(word, n) of the most frequent distinct words, about ``limit`` at most: those above
+    the count that leaves so many, which a small histogram of all counts tells, and of the
+    next step of counts a share by a hash."""
     words = docs.select(F.explode(split_words(F.col(text), pattern)).alias("word"))
     counts = words.filter(F.octet_length("word") <= TABLE_WORD_BYTES).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     counts = materialised(counts.filter("n > 1"), "words")
     step = F.floor(F.log2("n") * 16).cast("int")  # under 1000 steps
-    total, least = 0, 0
+    room, least, share = limit, 0, 0.0
     for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
-        total += row["count"]
-        if total > limit:
-            least = row["step"] + 1
+        if row["count"] > room:
+            least, share = row["step"] + 1, room / row["count"]
             break
-    return counts.filter(step >= least)
+        room -= row["count"]
+    parts = 1 << 20
+    return counts.filter((step >= least) | ((step == least - 1) & (F.pmod(F.xxhash64("word"), F.lit(parts)) < int(share * parts))))
 
 
-def frequent_ids(words: DataFrame, maps: Tables) -> dict[str, bytes]:
-    """The ids, as 32-bit integers, of the most frequent words: a table of bounded size."""
+def frequent_ids(words: DataFrame, maps: Tables) -> bytes:
+    """The words and their ids as an Arrow stream: a table of bounded size, which the
+    driver never holds as objects."""
     folded = words.select("word", maps.bind(lambda t: fold_word(maps, t, F.col("word"))).alias("ids"))
-    rows = folded.toArrow()  # a fraction of what as many Row objects would take
-    ids = rows["ids"].combine_chunks()
-    ends, values = ids.offsets.to_numpy(), ids.values.to_numpy().astype("<i4")
-    return {w: values[a:b].tobytes() for w, a, b in zip(rows["word"].to_pylist(), ends, ends[1:])}
+    rows = folded.toArrow()
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema) as stream:
+        stream.write_table(rows)
+    return out.getvalue().to_pybytes()
+
+
+def read_ids(stream: bytes) -> dict[str, bytes]:
+    """The ids of ``frequent_ids``, as 32-bit integers, by word."""
+    found: dict[str, bytes] = {}
+    for rows in pa.ipc.open_stream(stream):
+        ends, values = rows["ids"].offsets.to_numpy(), rows["ids"].values.to_numpy().astype("<i4")
+        found.update((w, values[a:b].tobytes()) for w, a, b in zip(rows["word"].to_pylist(), ends, ends[1:]))
+    return found
+
+
+class _Lookup(dict):
+    """Words' ids; ``rarer`` gives those of a word that isn't there."""
+
+    def __init__(self, table: dict[str, bytes], rarer: Callable[[str], bytes]):
+        super().__init__(table)
+        self.rarer = rarer
+
+    def __missing__(self, word: str) -> bytes:
+        return self.rarer(word)
 
 
 class Encoder:
-    """Encodes texts in a task: the table, and the rarer words that it has met, are kept."""
+    """Encodes texts in a worker: the table, and the rarer words that it has met, are kept."""
 
     def __init__(self, ranks: Ranks, pattern: str, table: dict[str, bytes]):
         import regex
@@ -268,36 +296,79 @@ class Encoder:
         # \\s is what Unicode calls white space; the controls 1C to 1F aren't.
         pattern = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self.words = regex.compile(pattern).findall
-        self.ranks, self.table, self.kept = ranks, table, {}
+        self.ranks, self.kept = ranks, {}
+        self.ids_of = _Lookup(table, self.rarer).__getitem__
+        self.bytes_of = ranks.tokens.__getitem__
 
     def rarer(self, word: str) -> bytes:
         ids = self.kept.get(word)
         if ids is None:
             if len(self.kept) >= KEPT_WORDS:
                 self.kept.clear()
-            ids = np.array(self.ranks.encode_word(word.encode()), dtype="<i4").tobytes()
+            ids = array("i", self.ranks.encode_word(word.encode())).tobytes()
             if len(word) <= TABLE_WORD_BYTES:
                 self.kept[word] = ids
         return ids
 
     def encode(self, text: str) -> np.ndarray:
-        known, rarer = self.table.get, self.rarer
-        return np.frombuffer(b"".join([known(w) or rarer(w) for w in self.words(text)]), dtype="<i4")
+        return np.frombuffer(b"".join(map(self.ids_of, self.words(text))), dtype="<i4")
 
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of the ids' tokens, concatenated."""
+        return b"".join(map(self.bytes_of, ids.tolist()))
 
-def encode(docs: DataFrame, ranks: Ranks, pattern: str, *, text: str = "text", table_words: int = TABLE_WORDS) -> DataFrame:
-    """``docs`` with ``ids``, the token ids of the whole text as an array<int>."""
-    table = docs.sparkSession.sparkContext.broadcast(frequent_ids(frequent_words(docs, text, pattern, table_words), Tables.of(ranks)))
-    tokens = ranks.tokens  # without what the driver has derived from them
 
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(Ranks(tokens), pattern, table.value)
+GIVES = {"ids": "array<int>", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+_ENCODER: dict[str, Encoder] = {}  # of this worker: the one that it used last
+
+
+def _encoder(key: str, made: Callable[[], Encoder]) -> Encoder:
+    if key not in _ENCODER:
+        _ENCODER.clear()
+        _ENCODER[key] = made()
+    return _ENCODER[key]
+
+
+def _columns(encoder: Encoder, texts: list[str | None], give: tuple[str, ...]) -> list[pa.Array]:
+    """The columns ``give`` of some texts."""
+    rows = [encoder.encode(t or "") for t in texts]
+    made: list[pa.Array] = []
+    for name in give:
+        if name == "ids":
+            ends = np.cumsum([0, *map(len, rows)], dtype=np.int64).astype(np.int32)
+            made.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows) if rows else np.zeros(0, "<i4"), pa.int32())))
+        elif name == "n_tokens":
+            made.append(pa.array([len(r) for r in rows], pa.int64()))
+        else:
+            data = map(encoder.decode, rows) if name == "decoded_sha256" else map(little_endian, rows)
+            made.append(pa.array([hashlib.sha256(d).hexdigest() for d in data], pa.string()))
+    return made
+
+
+def encode(docs: DataFrame, ranks: Ranks, pattern: str, *, text: str = "text", table_words: int = TABLE_WORDS,
+           give: tuple[str, ...] = ("ids",)) -> DataFrame:
+    """``docs`` with the columns ``give``: ``ids``, the token ids of the whole text as an
+    array<int>; ``n_tokens``, their number; ``ids_sha256``, the digest of the ids as
+    little-endian unsigned 32-bit integers; ``decoded_sha256``, that of the bytes which the
+    ids decode to. All are made in one pass."""
+    words = frequent_words(docs, text, pattern, table_words)
+    shared = docs.sparkSession.sparkContext.broadcast((ranks.tokens, frequent_ids(words, Tables.of(ranks))))
+    key = uuid.uuid4().hex
+
+    def made() -> Encoder:
+        tokens, table = shared.value
+        return Encoder(Ranks(tokens), pattern, read_ids(table))
+
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = _encoder(key, made)
         for texts in batches:
             for at in range(0, len(texts), ROWS_AT_ONCE):
-                yield pd.Series([encoder.encode(t or "") for t in texts[at:at + ROWS_AT_ONCE]], dtype=object)
+                yield pa.StructArray.from_arrays(_columns(encoder, texts[at:at + ROWS_AT_ONCE].to_pylist(), give), names=list(give))
 
-    return docs.withColumn("ids", ids(F.col(text)))
+    found.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    of = F.arrow_udf(found, ", ".join(f"{name} {GIVES[name]}" for name in give))
+    encoded = docs.withColumn("__encoded", of(F.col(text)))
+    return encoded.withColumns({name: F.col("__encoded")[name] for name in give}).drop("__encoded")
 
 
 def little_endian(ids: np.ndarray) -> bytes:
@@ -310,33 +381,16 @@ def decode(ids: np.ndarray, tokens: tuple[bytes, ...]) -> bytes:
     return b"".join([tokens[i] for i in np.asarray(ids).tolist()])
 
 
-def _over_rows(encoded: DataFrame, keep: tuple[str, ...], columns: str, use: Callable[[np.ndarray], tuple]) -> DataFrame:
-    """The columns ``keep`` and those that ``use`` makes of each row's ids."""
+def decoded(encoded: DataFrame, ranks: Ranks, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` and ``decoded``, the bytes that the row's ids stand for."""
+    tokens = ranks.tokens
     kept = encoded.select(*keep)
-    schema = T.StructType([*kept.schema.fields, *T._parse_datatype_string(columns).fields])
-    names = [f.name for f in schema.fields[len(keep):]]
+    schema = T.StructType([*kept.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), ROWS_AT_ONCE):
                 part = batch.iloc[at:at + ROWS_AT_ONCE]
-                made = pd.DataFrame([use(ids) for ids in part["__ids"]], columns=names, index=part.index)
-                yield pd.concat([part[list(keep)], made], axis=1)
+                yield part[list(keep)].assign(decoded=[decode(ids, tokens) for ids in part["__ids"]])
 
     return encoded.select(*keep, F.col("ids").alias("__ids")).mapInPandas(rows, schema)
-
-
-def decoded(encoded: DataFrame, ranks: Ranks, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and ``decoded``, the bytes that the row's ids stand for."""
-    tokens = ranks.tokens
-    return _over_rows(encoded, keep, "decoded binary", lambda ids: (decode(ids, tokens),))
-
-
-def digests(encoded: DataFrame, ranks: Ranks, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep``, n_tokens, ids_sha256 and decoded_sha256 of encoded rows."""
-    tokens = ranks.tokens
-
-    def of(ids: np.ndarray) -> tuple:
-        return len(ids), hashlib.sha256(little_endian(ids)).hexdigest(), hashlib.sha256(decode(ids, tokens)).hexdigest()
-
-    return _over_rows(encoded, keep, "n_tokens long, ids_sha256 string, decoded_sha256 string", of)

@@ -65,7 +65,8 @@ def vocabulary(path: str | None = None) -> tuple[bpe.Ranks, str]:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = vocabulary()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.encode(docs, ranks, pattern), ranks)
+    encoded = bpe.encode(docs, ranks, pattern, give=("n_tokens", "ids_sha256", "decoded_sha256"))
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 @query
