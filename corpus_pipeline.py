@@ -80,8 +80,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids and the digests of the ids and of the decoded bytes."""
     ranks, pattern = queries.vocabulary()
-    encoded = bpe.encode(docs.select("doc_id", "source", "text"), ranks, pattern).select("doc_id", "source", "ids")
-    return bpe.digests(encoded, ranks, keep=("doc_id", "source", "ids"))
+    give = ("n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    encoded = bpe.encode(docs.select("doc_id", "source", "text"), ranks, pattern, give=give)
+    return encoded.select("doc_id", "source", *give)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
