@@ -32,7 +32,7 @@ def con(sf):
 
 def test_every_operator_is_registered_once():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
     assert set(queries.ORACLE) <= set(E.oracle_sql()) & set(E.queries())
 
 
