@@ -7,11 +7,12 @@ its windows', weighed by their letters, over the whole text.
 
 Training takes a bounded sample: about ``per_lang`` rows of each language, ``max_train`` in
 all at most, by the smallest hash of their id, with two windows each at places given by the hash.
-It fits on one machine and is trained there (Adam, cross-entropy).
+Rows that share id and language count as one, and the text with the smallest hash stands for
+them. The sample fits on one machine and is trained there (Adam, cross-entropy).
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; so is every
 text if nothing was learned; rows with a null id or language are never trained on;
-repeated rows are predicted alike; an empty table gives no rows; other columns are kept,
+an id with several languages is a row of each, with that language's text; repeated rows are predicted alike; an empty table gives no rows; other columns are kept,
 but for ``lang_pred`` and ``score``, which are replaced.
 """
 
@@ -176,19 +177,22 @@ def predict(net: Network, texts: list[bytes | None]) -> list[tuple[str, float]]:
 
 def training_windows(docs: DataFrame, *, doc_id: str, text: str, lang: str, per_lang: int, max_train: int) -> pd.DataFrame:
     """(id, lang, piece): at most 2 * max_train windows of the sampled rows, on the driver."""
+    pair = ["id", "lang"]
     named = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang")).filter("id is not null and lang is not null")
+    named = materialised(named.distinct(), "named")
     sizes = materialised(named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langs")
-    # A row's hash as a share of all hashes, times its language's rows: about its rank
+    # An id's hash as a share of all hashes, times its language's ids: about its rank
     # within the language, without bringing a language's rows together.
     share = F.shiftrightunsigned(F.xxhash64(F.lit(7), "id"), 11).cast("double") / float(1 << 53)
     ranked = with_lookup(named, sizes, ["lang"]).withColumn("rank", share * F.col("n"))
-    chosen = ranked.filter(F.col("rank") < per_lang).orderBy("rank", "id").limit(max_train).select("id", "lang").distinct()
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter(F.col("text").rlike(r"\p{L}"))
-    rows = rows.join(F.broadcast(chosen), "id")
+    chosen = ranked.filter(F.col("rank") < per_lang).orderBy("rank", *pair).limit(max_train).select(*pair)
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    rows = rows.filter(F.col("text").rlike(r"\p{L}")).join(F.broadcast(chosen), pair)
     data = F.col("text").cast("binary")
     room = F.greatest(F.octet_length("text") - WINDOW, F.lit(0)) + 1
     pieces = F.array(*[F.substring(data, (F.pmod(F.xxhash64(F.lit(i), "id"), room) + 1).cast("int"), F.lit(WINDOW)) for i in (1, 2)])
-    return rows.select("id", "lang", F.explode(pieces).alias("piece")).toPandas()
+    one = rows.groupBy(*pair).agg(F.min(F.struct(F.xxhash64("text").alias("hash"), pieces.alias("pieces"))).alias("first"))
+    return one.select(*pair, F.explode("first.pieces").alias("piece")).toPandas()
 
 
 def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = PER_LANG,

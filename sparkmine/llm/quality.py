@@ -160,6 +160,8 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     shards = max(1, min(shards, n // SHARD_ROWS))
     epochs = max(3, VISITS * shards // max(1, n))
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("text")).join(F.broadcast(chosen), "id")
+    # One text an id, that with the smallest hash, so the sample is bounded where ids repeat.
+    rows = rows.groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = rows.withColumn("shard", F.pmod(order, F.lit(shards)))
 
     def fit(shard: pd.DataFrame) -> pd.DataFrame:

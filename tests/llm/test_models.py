@@ -124,3 +124,69 @@ def test_gradients_are_those_of_the_loss():
             down = loss()
             p[at] = old
             assert (up - down) / (2 * step) == pytest.approx(g[at], rel=1e-3, abs=1e-8)
+
+
+def test_an_id_with_two_languages_teaches_each_its_own_text(spark):
+    rows = [(1, "the cat sat", "en"), (1, "le chat est assis", "fr"), (2, "the dog ran", "en"), (2, "the dog ran", "en"),
+            (3, None, "en"), (4, "12 34", "en"), (None, "no id", "en"), (5, "no language", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.training_windows(df, doc_id="doc_id", text="text", lang="lang", per_lang=9, max_train=9)
+    assert {(r.id, r.lang, bytes(r.piece).decode()) for r in got.itertuples()} == {
+        (1, "en", "the cat sat"), (1, "fr", "le chat est assis"), (2, "en", "the dog ran")}
+    assert len(got) == 6
+
+
+def test_rows_of_one_id_are_one_row_of_the_sample(spark):
+    df = spark.range(3000).select(F.lit(8).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("en").alias("lang"))
+    got = langid.training_windows(df, doc_id="doc_id", text="text", lang="lang", per_lang=5, max_train=9)
+    assert len(got) == 2 and got["id"].tolist() == [8, 8] and got["piece"].nunique() == 1
+    labels = spark.createDataFrame([(8, 1), (9, 0)], "doc_id long, quality int")
+    more = df.drop("lang").union(spark.createDataFrame([(9, "other words")], "doc_id long, text string"))
+    first = quality.train(more, labels, bits=10)
+    assert (first == quality.train(more.repartition(7), labels, bits=10)).all()
+
+
+def test_filters_are_those_of_plain_loops():
+    """Each filter slides over the bytes' vectors, keeps its largest answer, and a softmax
+    over the kept ones follows."""
+    net = langid.new_network(["a", "b", "c"])
+    net.bias += np.linspace(-0.2, 0.2, len(net.bias), dtype=np.float32)
+    windows = np.random.default_rng(5).integers(0, 256, (3, 24)).astype(np.uint8)
+    got = langid.window_probabilities(net, windows)
+    for window, row in zip(windows, got):
+        vectors = [net.bytes_[b] for b in window]
+        hidden = []
+        for f in range(net.filters.shape[1]):
+            width = langid.WIDTHS[f // langid.FILTERS]
+            weights = net.filters[:, f].reshape(max(langid.WIDTHS), langid.BYTE_DIMS)
+            answers = [sum(float(weights[j, i]) * float(vectors[at + j][i]) for j in range(width) for i in range(langid.BYTE_DIMS))
+                       for at in range(len(window) - max(langid.WIDTHS) + 1)]
+            hidden.append(max(0.0, max(answers) + float(net.bias[f])))
+        logits = [sum(h * float(net.dense[f, c]) for f, h in enumerate(hidden)) + float(net.dense_bias[c]) for c in range(3)]
+        total = sum(np.exp(v) for v in logits)
+        assert row == pytest.approx([np.exp(v) / total for v in logits], rel=1e-4)
+
+
+def test_weights_are_those_of_a_plain_ftrl():
+    """FTRL-proximal written out one coordinate at a time, with dictionaries."""
+    rng = np.random.default_rng(9)
+    rows = [(rng.choice(32, 5, replace=False), rng.random(5) + 0.1, int(rng.random() < 0.5)) for _ in range(60)]
+    got = quality.ftrl(rows, 5, 3)
+    z, n = {}, {}
+
+    def weight(i):
+        zi, ni = z.get(i, 0.0), n.get(i, 0.0)
+        if abs(zi) <= quality.L1:
+            return 0.0
+        return (np.sign(zi) * quality.L1 - zi) / ((quality.BETA + np.sqrt(ni)) / quality.ALPHA + quality.L2)
+
+    for _ in range(3):
+        for places, values, y in rows:
+            now = {int(i): weight(int(i)) for i in places}
+            p = 1 / (1 + np.exp(-sum(now[int(i)] * v for i, v in zip(places, values))))
+            for i, v in zip(places, values):
+                i, g = int(i), (p - y) * v
+                sigma = (np.sqrt(n.get(i, 0.0) + g * g) - np.sqrt(n.get(i, 0.0))) / quality.ALPHA
+                z[i] = z.get(i, 0.0) + g - sigma * now[i]
+                n[i] = n.get(i, 0.0) + g * g
+    assert got == pytest.approx([weight(i) for i in range(32)], rel=1e-9, abs=1e-12)
