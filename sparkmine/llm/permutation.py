@@ -65,11 +65,12 @@ def footrule(order: np.ndarray, files: dict[int, tuple[np.ndarray, np.ndarray]],
     at length n it is n (n + 1) less twice the sum, over the shared pivots, of n less the
     later of the two places (places from 0)."""
     n = len(order)
-    read = [(*files[p], place) for place, p in enumerate(order.tolist()) if p in files]
+    read = [(place, *files[p]) for place, p in enumerate(order.tolist()) if p in files]
     if not read:
         return np.full(rows, n * (n + 1), dtype=np.int64)
-    agree = np.bincount(np.concatenate([posted for posted, _, _ in read]),
-                        np.concatenate([n - np.maximum(places, place) for _, places, place in read]), rows)
+    own = np.repeat([place for place, _, _ in read], [len(posted) for _, posted, _ in read])
+    later = np.maximum(own, np.concatenate([places for _, _, places in read]))
+    agree = np.bincount(np.concatenate([posted for _, posted, _ in read]), n - later, rows)
     return n * (n + 1) - 2 * agree.astype(np.int64)
 
 
@@ -139,19 +140,21 @@ def search_part(index: pd.DataFrame, asking: pd.DataFrame, k: int, read: int) ->
     x = np.frombuffer(files.pop(VECTORS)[1], "<f8").reshape(-1, d)
     files = {p: (r, np.frombuffer(v, "<u2").astype(np.int64)) for p, (r, v) in files.items()}
     starts = np.searchsorted(owner, np.arange(len(x) + 1))
-    out = []
+    sizes = np.diff(starts)
+    out: list[tuple[np.ndarray, ...]] = []
     for key, own, v, order in zip(asking["key"], asking["query_id"], asking["v"], asking["order"]):
         near = np.argsort(footrule(np.asarray(order), files, len(x)), kind="stable")
-        alone = starts[near + 1] - starts[near] == (ids[starts[near]] == own)  # the query's own row and no other
+        alone = sizes[near] == (ids[starts[near]] == own)  # the query's own row and no other
         near = near[~alone][:read]
         far = np.sqrt(((x[near] - np.asarray(v)) ** 2).sum(axis=1))
-        rows = np.concatenate([np.arange(starts[i], starts[i + 1]) for i in near] or [np.zeros(0, np.int64)]).astype(np.int64)
-        far = np.repeat(far, starts[near + 1] - starts[near])
-        other = ids[rows] != own
-        found, far = ids[rows][other], far[other]
+        # The ids of these vectors lie in runs, one a vector.
+        length = sizes[near]
+        rows = np.repeat(starts[near] - (np.cumsum(length) - length), length) + np.arange(length.sum())
+        found, far = ids[rows], np.repeat(far, length)
+        found, far = found[found != own], far[found != own]
         best = np.lexsort((found, far))[:k]
-        out.append(pd.DataFrame({"key": key, "query_id": own, "vec_id": found[best], "score": far[best]}))
-    return pd.concat(out)
+        out.append((np.full(len(best), key), np.full(len(best), own), found[best], far[best]))
+    return pd.DataFrame(dict(zip(("key", "query_id", "vec_id", "score"), map(np.concatenate, zip(*out)))))
 
 
 def nearest(rows: DataFrame, is_query: Column, *, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding",
