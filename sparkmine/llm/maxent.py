@@ -35,6 +35,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -49,7 +51,7 @@ TABLE_WORDS = 131_072
 SOFTMAX_WORDS = 4_096
 CLASS_WORDS = 64
 RARE_CLASSES = 32
-CLASS_ROWS = 1 << 14
+CLASS_ROWS = 1 << 14  # powers of two
 WORD_ROWS = 1 << 15
 ROUNDS = 3
 SHARD_TOKENS = 6_000_000  # that a task trains on in a round
@@ -57,11 +59,12 @@ BATCH = 8_192  # tokens of an update
 SCORED = 2_048  # tokens scored at once
 PIECE = 65_536  # tokens looked up at once
 LIMIT = 80.0  # of a logit
-SHORT = 16  # entries that are summed with others'
+SHORT = 64  # entries that are summed with others'
 STEP = 1.0
 CHUNK = 1 << 20  # bytes of a text split at once
 COUNTED = 400_000  # distinct words that a task holds before it passes them on
 BLOCK = 32  # rows of weights that are merged at once
+NEAR = 512  # rows gathered at once, which stay in a core's cache
 
 _U = np.uint64
 _BLANK = b" \t\n\x0b\x0c\r"
@@ -112,6 +115,13 @@ def rare_class(word: bytes) -> int:
     return (word[-1] * 31 + (word[-2] if len(word) > 1 else 0) * 17) % RARE_CLASSES
 
 
+def rare_classes(words: list[bytes]) -> np.ndarray:
+    """``rare_class`` of each word."""
+    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    end, line = np.cumsum(size), np.frombuffer(b"".join(words), dtype=np.uint8).astype(np.int64)
+    return (line[end - 1] * 31 + np.where(size > 1, line[end - 2], 0) * 17) % RARE_CLASSES
+
+
 class Vocabulary(NamedTuple):
     """What tasks know of the counts; its size doesn't grow with the corpus."""
 
@@ -200,53 +210,71 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(32))
 
 
+@lru_cache(maxsize=4)
+def _mixed(symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mixes of all symbols, one row a feature, and of all classes (fewer than symbols)."""
+    each = np.arange(symbols, dtype=np.uint64)
+    return np.stack([_mix(each + _U(1) + _U(j << 40)) for j in range(5)]), _mix(each + _U(5 << 40))
+
+
 def rows_of(history: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(class rows, member rows), one column a feature, of tokens with the symbols
     ``history`` (one before, two before, three before) and the classes ``own``."""
-    one, two, three = (history[:, j].astype(np.uint64) + _U(1) for j in range(3))
-    pair = _mix(one) + two * _U(0x2545F4914F6CDD1D)
-    grams = [_mix(one + _U(1 << 40)), _mix(pair + _U(2 << 40)), _mix(two + _U(3 << 40)), _mix(three + _U(4 << 40))]
-    in_class = _mix(own.astype(np.uint64) + _U(5 << 40))
-    return (np.stack([g % _U(CLASS_ROWS) for g in grams], axis=1).astype(np.int64),
-            np.stack([_mix(g + in_class) % _U(WORD_ROWS) for g in grams[:3]], axis=1).astype(np.int64))
-
-
-def _exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(exponentials, in place, and their sums by row). Logits beyond LIMIT stop there, where
-    single precision would soon end."""
-    np.clip(logits, -LIMIT, LIMIT, out=logits)
-    np.exp(logits, out=logits)
-    return logits, logits @ np.ones(logits.shape[1], dtype=np.float32)
-
-
-def _gathered(table: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    total = table.take(rows[:, 0], axis=0)
-    for j in range(1, rows.shape[1]):
-        total += table.take(rows[:, j], axis=0)
-    total += bias
-    return total
+    mixed, classes = _mixed(SOFTMAX_WORDS + RARE_CLASSES + 1)
+    one, two, three = (history[:, j] for j in range(3))
+    pair = mixed[0].take(one) + (two.astype(np.uint64) + _U(1)) * _U(0x2545F4914F6CDD1D)
+    grams = [mixed[1].take(one), _mix(pair + _U(2 << 40)), mixed[3].take(two), mixed[4].take(three)]
+    in_class = classes.take(own)
+    return (np.stack([g & _U(CLASS_ROWS - 1) for g in grams], axis=1).astype(np.int64),
+            np.stack([_mix(g + in_class) & _U(WORD_ROWS - 1) for g in grams[:3]], axis=1).astype(np.int64))
+
+
+def _exponentials(table: np.ndarray, rows: np.ndarray, bias: np.ndarray, place: np.ndarray | None = None,
+                  normal: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(exponentials of the sums of ``table``'s ``rows`` and of ``bias``, or its row
+    ``place``, and their sums by row); ``normal``: divided by these. Logits beyond LIMIT stop
+    there, where single precision would soon end."""
+    n, width = len(rows), table.shape[1]
+    out, total = np.empty((n, width), dtype=np.float32), np.empty(n, dtype=np.float32)
+    more, ones, columns = np.empty((NEAR, width), dtype=np.float32), np.ones(width, dtype=np.float32), np.ascontiguousarray(rows.T)
+    for at in range(0, n, NEAR):
+        logits = out[at:at + NEAR]
+        part = more[:len(logits)]
+        table.take(columns[0, at:at + NEAR], axis=0, out=logits, mode="clip")  # in place only with a mode
+        for own in columns[1:]:
+            logits += table.take(own[at:at + NEAR], axis=0, out=part, mode="clip")
+        logits += bias if place is None else bias.take(place[at:at + NEAR], axis=0, out=part, mode="clip")
+        np.clip(logits, -LIMIT, LIMIT, out=logits)
+        np.exp(logits, out=logits)
+        np.matmul(logits, ones, out=total[at:at + NEAR])
+        if normal:
+            logits /= total[at:at + NEAR, None]
+    return out, total
 
 
 class Model:
-    """A vocabulary and weights, as tasks use them."""
-
-    def __init__(self, vocab: Vocabulary, weights: Weights):
-        self.vocab, self.weights = vocab, weights
-        self.place = {w: i for i, w in enumerate(vocab.words)}
+    """A vocabulary and weights, as tasks use them; without ``places`` rare words have none,
+    and their symbols only."""
+
+    def __init__(self, vocab: Vocabulary, weights: Weights, places: bool = True):
+        self.vocab, self.weights, self.places = vocab, weights, places
+        # Apart, as most tokens are among the few first, which stay in a core's cache.
+        self.first = {w: i for i, w in enumerate(vocab.words[:SOFTMAX_WORDS])}
+        self.others = {w: i for i, w in enumerate(vocab.words[SOFTMAX_WORDS:], SOFTMAX_WORDS)} if places else {}
         self.class_bias, self.member_bias = vocab.biases()
         self.heads = vocab.softmax_classes
-        rest = [SOFTMAX_WORDS + rare_class(w) for w in vocab.words[SOFTMAX_WORDS:]]
-        self.symbol = np.array([*range(min(len(vocab.words), SOFTMAX_WORDS)), *rest, -1], dtype=np.int64)
         self.start = SOFTMAX_WORDS + RARE_CLASSES  # the symbol before a text
         self.log_counts = np.append(np.log10(vocab.counts + 1.0), 0.0)  # place -1: no count
 
     def symbols(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(place in the table or -1, symbol): a softmax word's place, else its rare class."""
-        of = self.place.get
-        place = np.array([of(w, -1) for w in words], dtype=np.int64)
-        symbol = self.symbol[place]
-        for i in np.flatnonzero(place < 0):
-            symbol[i] = SOFTMAX_WORDS + rare_class(words[i])
+        place = np.fromiter(map(self.first.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        symbol, rare = place.copy(), np.flatnonzero(place < 0)
+        if len(rare):
+            found = [words[i] for i in rare.tolist()]
+            symbol[rare] = SOFTMAX_WORDS + rare_classes(found)
+            if self.places:
+                place[rare] = np.fromiter(map(self.others.get, found, repeat(-1)), dtype=np.int64, count=len(found))
         return place, symbol
 
     def targets(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -255,14 +283,14 @@ class Model:
         return (np.where(rare, symbol - SOFTMAX_WORDS + self.heads, symbol // CLASS_WORDS),
                 np.where(rare, -1, symbol % CLASS_WORDS))
 
-    def exponentials(self, own: np.ndarray, classes: np.ndarray, members: np.ndarray):
+    def exponentials(self, own: np.ndarray, classes: np.ndarray, members: np.ndarray, normal: bool = False):
         """(of all classes, their sums; the tokens of softmax words; for these, of all
         members of their class, their sums) by rows of weights."""
-        p, total = _exp(_gathered(self.weights.classes, classes, self.class_bias))
+        p, total = _exponentials(self.weights.classes, classes, self.class_bias, normal=normal)
         head = np.flatnonzero(own < self.heads)
         if not len(head):
             return p, total, head, np.zeros((0, CLASS_WORDS), dtype=np.float32), np.zeros(0, dtype=np.float32)
-        return p, total, head, *_exp(_gathered(self.weights.members, members[head], self.member_bias[own[head]]))
+        return p, total, head, *_exponentials(self.weights.members, members[head], self.member_bias, own[head], normal)
 
     def log10(self, history: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """log10 P(class | history), and of softmax words times P(word | class, history)."""
@@ -280,27 +308,24 @@ class Model:
         """One AdaGrad step on these tokens."""
         own, member = self.targets(symbol)
         classes, members = rows_of(history, own)
-        p, total, head, q, inner = self.exponentials(own, classes, members)
-        p /= total[:, None]
-        q /= inner[:, None]
+        p, _, head, q, _ = self.exponentials(own, classes, members, normal=True)
         p[np.arange(len(own)), own] -= 1
         q[np.arange(len(head)), member[head]] -= 1
         _step(self.weights.classes, self.weights.class_steps, classes, p)
         _step(self.weights.members, self.weights.member_steps, members[head], q)
 
 
-def _row_sums(gradient: np.ndarray, source: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Sums of ``gradient`` over segments of ``source``, which start at ``first`` and have
-    ``n`` entries: short segments together, entry by entry, long ones each by itself."""
-    total = gradient[source[first]]
-    more, k = np.flatnonzero((n > 1) & (n <= SHORT)), 1
-    while len(more):
-        total[more] += gradient[source[first[more] + k]]
-        k += 1
-        more = more[n[more] > k]
-    for i in np.flatnonzero(n > SHORT):
-        total[i] = gradient[source[first[i]:first[i] + n[i]]].sum(axis=0)
-    return total
+def _row_sums(gradient: np.ndarray, source: np.ndarray, first: np.ndarray, n: np.ndarray, total: np.ndarray, more: np.ndarray) -> None:
+    """Sums of ``gradient`` over segments of ``source``, which start at ``first`` and have ``n``
+    entries, most first, into ``total``: short segments together, entry by entry, long ones
+    each by itself."""
+    gradient.take(source[first], axis=0, out=total, mode="clip")
+    long = int(np.searchsorted(-n, -SHORT))
+    for k in range(1, int(n[long]) if long < len(n) else 1):
+        upto = int(np.searchsorted(-n, -k))
+        total[long:upto] += gradient.take(source[first[long:upto] + k], axis=0, out=more[:upto - long], mode="clip")
+    for i in range(long):
+        total[i] = gradient.take(source[first[i]:first[i] + n[i]], axis=0).sum(axis=0)
 
 
 def _step(table: np.ndarray, steps: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
@@ -310,40 +335,63 @@ def _step(table: np.ndarray, steps: np.ndarray, rows: np.ndarray, gradient: np.n
     order = np.argsort(flat.astype(np.uint16), kind="stable")  # there are fewer rows than 1 << 16
     own, source = flat[order], order // rows.shape[1]
     first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-    total = _row_sums(gradient, source, first, np.diff(np.append(first, len(own))))
-    touched = own[first]
-    steps[touched] += np.einsum("ij,ij->i", total, total)
-    total *= (-STEP / np.sqrt(steps[touched]))[:, None]
-    total += table.take(touched, axis=0)
-    table[touched] = total
-
-
-def with_history(symbols: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(history of each symbol, the last three symbols), after the three in ``past``."""
+    n = np.diff(np.append(first, len(own)))
+    by_size = np.argsort(-n, kind="stable")
+    first, n = first[by_size], n[by_size]
+    room = np.empty((2, NEAR, table.shape[1]), dtype=table.dtype)
+    for at in range(0, len(first), NEAR):
+        touched = own[first[at:at + NEAR]]
+        total, more = room[:, :len(touched)]
+        _row_sums(gradient, source, first[at:at + NEAR], n[at:at + NEAR], total, more)
+        steps[touched] += np.einsum("ij,ij->i", total, total)
+        total *= (-STEP / np.sqrt(steps[touched]))[:, None]
+        total += table.take(touched, axis=0, out=more, mode="clip")
+        table[touched] = total
+
+
+def with_history(symbols: np.ndarray, past: np.ndarray, starts: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """(history of each symbol, the last three symbols), after the three in ``past``; texts
+    begin at ``starts``, and what was before them is ``start``."""
     line = np.concatenate((past, symbols))
     n = len(symbols)
-    return np.stack([line[2:2 + n], line[1:1 + n], line[:n]], axis=1), line[-3:]
+    history = np.stack([line[2:2 + n], line[1:1 + n], line[:n]], axis=1)
+    for k in range(3):
+        history[starts[starts + k < n] + k, k:] = start
+    last = line[-3:].copy()
+    if len(starts):
+        last[:max(0, 3 - (n - int(starts[-1])))] = start
+    return history, last
 
 
 def pieces(model: Model, texts: Iterator[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[tuple[int, list[bytes]]]]]:
     """(number of the text, places, symbols, histories of the tokens, and for each text the
     words outside the table, with its number) of about PIECE tokens each."""
-    held: list[tuple] = []
-    unknown: list[tuple[int, list[bytes]]] = []
-    n = 0
+    words: list[bytes] = []
+    parts: list[tuple[int, int]] = []  # (number of the text, where its part of the words begins)
+    starts: list[int] = []
+    past = np.full(3, model.start)
+
+    def piece():
+        nonlocal past
+        place, symbol = model.symbols(words)
+        history, past = with_history(symbol, past, np.array(starts, dtype=np.int64), model.start)
+        of, begin = (np.array(x, dtype=np.int64) for x in zip(*parts))
+        outside = np.flatnonzero(place < 0) if model.places else begin[:0]
+        unknown = [words[j] for j in outside.tolist()]
+        cuts = [*np.searchsorted(outside, begin).tolist(), len(outside)]
+        return (np.repeat(of, np.diff(np.append(begin, len(words)))), place, symbol, history,
+                [(i, unknown[a:b]) for (i, _), a, b in zip(parts, cuts, cuts[1:])])
+
     for i, text in enumerate(texts):
-        past = np.full(3, model.start)
+        starts.append(len(words))
         for part in tokens(text):
-            place, symbol = model.symbols(part)
-            history, past = with_history(symbol, past)
-            held.append((np.full(len(part), i), place, symbol, history))
-            unknown.append((i, [part[j] for j in np.flatnonzero(place < 0)]))
-            n += len(part)
-            if n >= PIECE:
-                yield *(np.concatenate(x) for x in zip(*held)), unknown
-                held, unknown, n = [], [], 0
-    if held:
-        yield *(np.concatenate(x) for x in zip(*held)), unknown
+            parts.append((i, len(words)))
+            words += part
+            if len(words) >= PIECE:
+                yield piece()
+                words, parts, starts = [], [], []
+    if words:
+        yield piece()
 
 
 # ---- training --------------------------------------------------------------------------
@@ -360,7 +408,7 @@ def _learner(vocab: Vocabulary, weights: Weights):
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Weights(*(x.copy() for x in weights))
-        model = Model(vocab, own)
+        model = Model(vocab, own, places=False)
         symbols, history = np.empty(0, dtype=np.int64), np.empty((0, 3), dtype=np.int64)
         for batch in batches:
             for _, _, symbol, past, _ in pieces(model, batch["text"]):

@@ -181,3 +181,54 @@ def test_odd_documents(spark, odd_documents):
     rows = maxent.score(odd_documents, none).collect()
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 and math.isfinite(r["score"]) for r in rows)
     assert maxent.score(odd_documents.limit(0), trained).count() == 0
+
+
+def test_rare_classes_of_many_words():
+    words = [b"a", b"xy", b"\x00", b"x\x00", "É".encode(), maxent.END, b"abc" * 9]
+    assert maxent.rare_classes(words).tolist() == [maxent.rare_class(w) for w in words]
+    assert maxent.rare_classes([]).tolist() == []
+
+
+@pytest.mark.parametrize("places", [True, False])
+@pytest.mark.parametrize("chunk", [1 << 20, 2])
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 1 << 16])
+def test_pieces_by_plain_loops(monkeypatch, piece, chunk, places):
+    """Texts of any length, cut anywhere: no history reaches into the text before, and
+    training looks up no word but those of the softmax."""
+    monkeypatch.setattr(maxent, "PIECE", piece)
+    monkeypatch.setattr(maxent, "CHUNK", chunk)
+    model = small_model(monkeypatch)
+    model = maxent.Model(model.vocab, model.weights, places)
+    assert bool(model.others) == places
+    texts = [b"a b dd unknown c xy", None, b"c", b"zz a", b"", b"a a a b new ff zy a b c"]
+    found, unknown = [], {}
+    for text, place, symbol, history, outside in maxent.pieces(model, iter(texts)):
+        found += zip(text.tolist(), place.tolist() if places else [None] * len(place), symbol.tolist(), map(tuple, history.tolist()))
+        for i, words in outside:
+            unknown.setdefault(i, []).extend(words)
+    want = []
+    for i, text in enumerate(texts):
+        past = [model.start] * 3
+        for word in plain_tokens((text or b"").decode()):
+            at = model.vocab.words.index(word) if word in model.vocab.words else -1
+            symbol = at if 0 <= at < maxent.SOFTMAX_WORDS else maxent.SOFTMAX_WORDS + maxent.rare_class(word)
+            want.append((i, at if places else None, symbol, tuple(past)))
+            past = [symbol, *past[:2]]
+    assert found == want
+    rest = {i: [w for w in plain_tokens((t or b"").decode()) if w not in model.vocab.words] for i, t in enumerate(texts)}
+    assert {i: w for i, w in unknown.items() if w} == ({i: w for i, w in rest.items() if w} if places else {})
+
+
+@pytest.mark.parametrize("near", [2, 512])
+def test_step_in_blocks_of_rows(monkeypatch, near):
+    """Rows of one entry, of some and of more than SHORT, over several blocks."""
+    monkeypatch.setattr(maxent, "NEAR", near)
+    rng = np.random.default_rng(6)
+    rows = np.concatenate((np.zeros(maxent.SHORT * 2), np.ones(maxent.SHORT), np.full(maxent.SHORT + 1, 2), np.arange(3, 30), np.arange(20, 30)))
+    rows = rng.permutation(rows.astype(np.int64))[:, None]
+    gradient = rng.normal(size=(len(rows), 5)).astype(np.float32)
+    table, steps = np.zeros((30, 5), dtype=np.float32), np.full(30, 1e-6, dtype=np.float32)
+    maxent._step(table, steps, rows, gradient)
+    for r in range(30):
+        total = gradient[rows[:, 0] == r].astype(float).sum(axis=0)
+        assert np.allclose(table[r], -maxent.STEP * total / math.sqrt(1e-6 + (total**2).sum()), atol=1e-4)
