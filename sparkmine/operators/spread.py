@@ -3,7 +3,7 @@ values are spread over many tasks and all others stay where they are (in buckets
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmine.session import broadcast_if_small, cached
@@ -12,10 +12,14 @@ HOT_ITEMS = 4096  # rows of one key in the small side from which on it is spread
 SALTS = 64
 
 
+def hot_limit(spark: SparkSession) -> int:
+    """``HOT_ITEMS``, or what session conf ``sparkmine.spread.hotItems`` sets."""
+    return int(spark.conf.get("sparkmine.spread.hotItems", str(HOT_ITEMS)))
+
+
 def hot_keys(rows: DataFrame, key: str) -> DataFrame | None:
-    """The keys with over ``HOT_ITEMS`` rows; None if there are none. Session conf
-    ``sparkmine.spread.hotItems`` overrides the number."""
-    limit = int(rows.sparkSession.conf.get("sparkmine.spread.hotItems", str(HOT_ITEMS)))
+    """The keys with over ``hot_limit`` rows; None if there are none."""
+    limit = hot_limit(rows.sparkSession)
     hot = cached(rows.groupBy(key).count().filter(F.col("count") > limit).select(key))
     return None if hot.isEmpty() else hot
 
@@ -39,7 +43,7 @@ class Parts:
     ``_k`` still run from bucket to bucket. Without hot keys ``_k`` is the key itself."""
 
     def __init__(self, rows: DataFrame, key: str):
-        limit = int(rows.sparkSession.conf.get("sparkmine.spread.hotItems", str(HOT_ITEMS)))
+        limit = hot_limit(rows.sparkSession)
         counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
         hot = cached(counts.select(key, F.ceil(F.col("_rows") / limit).cast("int").alias("_parts")))
         self.key, self.keys = key, hot.count()
