@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmine.operators.sequences import with_positions
+from sparkmine.session import shuffle_partitions
 from sparkmine.sources.lines import CATEGORIES
 
 TABLES = (
@@ -134,6 +135,8 @@ def weekly_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts", "event_id",
         F.concat(F.col("event_type"), F.lit("_"), k.cast("string")).alias("item"),
     )
+    # Dealt by number: AQE doesn't join the parts, which are sorted and go on to be bucketed.
+    seq = seq.repartition(shuffle_partitions(spark), "seq_id")
     return with_positions(seq, "seq_id", ["ts", "event_id"]).select("seq_id", "pos", "item")
 
 
